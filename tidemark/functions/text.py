@@ -3,8 +3,10 @@
 The original program cleans text with Python's Unicode-aware ``re``:
 lower-case, delete ``[^\\w\\s]``, delete ``\\d+``, split on whitespace. Java's
 ``\\w``/``\\s`` are ASCII-only, so the classes are spelled with Unicode
-properties: Python's ``\\w`` is ``[\\p{L}\\p{N}_]``, its ``\\s`` adds the
-Unicode spaces ``\\p{Z}`` and the separators U+001C..U+001F and U+0085.
+properties: Python's ``\\w`` is ``[\\p{L}\\p{N}_]``; its ``\\s`` is the ASCII
+whitespace (incl. vertical tab), the Unicode spaces ``\\p{Z}`` and the
+separators U+001C..U+001F and U+0085 - spelled out, as Java and RE2
+disagree on the vertical tab.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.fixed import ENGLISH_STOP_WORDS, KEY_PHRASES
 
 # Characters kept by the punctuation step: word characters and whitespace.
-_WS = r"\s\p{Z}\x{1C}-\x{1F}\x{85}"
+_WS = r"\t\n\x{0B}\f\r \p{Z}\x{1C}-\x{1F}\x{85}"
 PUNCT_PATTERN = r"[^\p{L}\p{N}_" + _WS + r"]"
 DIGITS_PATTERN = r"\p{Nd}+"
 SPLIT_PATTERN = r"[" + _WS + r"]+"

@@ -177,7 +177,8 @@ def fill_nulls(df: DataFrame, cols: Sequence[str], value: float = 0.0) -> DataFr
     return out
 
 
-def global_row_index(df: DataFrame, order: Sequence[str], out_col: str = "row_index") -> DataFrame:
+def global_row_index(df: DataFrame, order: Sequence[str | Column],
+                     out_col: str = "row_index") -> DataFrame:
     """1-based position of every row in the total order ``order``.
 
     Distributed: range-partition and sort, number rows inside each partition

@@ -26,8 +26,9 @@ def sentiment_score(df: DataFrame, lexicon: DataFrame, tokens_col: str = "tokens
     if m is not None:
         total = F.aggregate(F.col(tokens_col), F.lit(0.0).cast("double"),
                             lambda acc, t: acc + F.coalesce(
-                                F.try_element_at(m, t).cast("double"), F.lit(0.0)))
-        out = df.withColumn("__s", total)
+                                F.try_element_at(F.col("__lex"), t).cast("double"), F.lit(0.0)))
+        # The map is projected first: subqueries may not sit inside lambdas.
+        out = df.withColumn("__lex", m).withColumn("__s", total).drop("__lex")
     else:
         sums = (df.select(key_col, F.explode(tokens_col).alias("token"))
                   .join(lexicon.select("token", "valence"), "token")

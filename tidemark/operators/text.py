@@ -88,9 +88,11 @@ def apply_token_mapping(df: DataFrame, mapping: DataFrame, tokens_col: str = "to
     changed = mapping.where(F.col("out") != F.col("token"))
     m = bounded_map(changed, "token", "out", map_limit)
     if m is not None:
-        return df.withColumn(
-            tokens_col,
-            F.transform(tokens_col, lambda t: F.coalesce(F.try_element_at(m, t), t)))
+        # The map is projected first: subqueries may not sit inside lambdas.
+        return (df.withColumn("__map", m)
+                  .withColumn(tokens_col, F.transform(
+                      tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("__map"), t), t)))
+                  .drop("__map"))
     ex = explode_tokens(df, [key_col], tokens_col)
     fixed = (ex.join(changed, "token", "left")
                .select(key_col, "pos", F.coalesce("out", "token").alias("token"))
