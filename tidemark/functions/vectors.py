@@ -12,4 +12,5 @@ def zero_vector(dim: int) -> Column:
 
 def round_vector(vec: str | Column, decimals: int) -> Column:
     v = F.col(vec) if isinstance(vec, str) else vec
-    return F.transform(v, lambda x: F.round(x, decimals))
+    # + 0.0 turns a rounded -0.0 into 0.0, so equal vectors compare equal.
+    return F.transform(v, lambda x: F.round(x, decimals) + F.lit(0.0))

@@ -16,6 +16,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_dir
+
 PERIOD_KEYS = ("match_id", "period_id", "id")
 
 
@@ -187,6 +189,7 @@ def global_row_index(df: DataFrame, order: Sequence[str | Column],
     has one row per partition (bounded by the partition count). The sorted,
     numbered table is checkpointed so counts and ids come from one run.
     """
+    checkpoint_dir(df.sparkSession)
     sorted_df = (df.repartitionByRange(*order).sortWithinPartitions(*order)
                    .withColumn("__mid", F.monotonically_increasing_id()))
     sorted_df = sorted_df.checkpoint(eager=True)

@@ -72,3 +72,34 @@ LEXICON = f"""
 lexicon AS (
   SELECT token, ((length(token) % 9) - 4) / 2.0 AS valence
   FROM (SELECT DISTINCT unnest({tokens(clean('text'))}) AS token FROM benchmark))"""
+
+EMB_DIM = "(SELECT max(len(embedding)) FROM embeddings)"
+
+
+def zeros(dim_expr: str = EMB_DIM) -> str:
+    return f"list_transform(range({dim_expr}), lambda x: 0.0)"
+
+
+def round_list(list_expr: str, decimals: int = 4) -> str:
+    return f"list_transform({list_expr}, lambda x: round(x, {decimals}) + 0.0)"
+
+
+# Per-post mean word vector as (post_id, i, x) rows, from a (post_id, token) table.
+def post_vec_rows(toks: str) -> str:
+    return f"""
+  SELECT post_id, i, avg(x) AS x FROM (
+    SELECT t.post_id, unnest(range(len(w.vec))) AS i, unnest(w.vec) AS x
+    FROM {toks} t JOIN word_vectors w ON t.token = w.word)
+  GROUP BY ALL"""
+
+
+# Row-level volume change over posts (post_id order inside a period).
+ROW_LAG = """
+sized AS (SELECT *, count(*) OVER (PARTITION BY match_id, period_id, id) AS tn FROM posts),
+lagged AS (SELECT *, lag(tn, 2) OVER (PARTITION BY match_id ORDER BY period_id, id, post_id) AS tn2
+           FROM sized),
+rowlag AS (
+  SELECT match_id, period_id, id,
+         avg(CASE WHEN tn2 IS NULL THEN 0 ELSE tn - tn2 END) AS vc,
+         max(abs(CASE WHEN tn2 IS NULL THEN 0 ELSE tn - tn2 END)) AS absmax
+  FROM lagged GROUP BY ALL)"""
