@@ -1,28 +1,53 @@
 """Size-checked lookups.
 
-A key->value table that is known to be small is applied as a map-valued
-scalar subquery: evaluated once, shipped to every task as a literal, used
-with ``try_element_at`` inside the projection (no shuffle of the big side).
-The size is checked first; above the limit callers fall back to a join.
+``bounded_count`` proves a table small before it is broadcast or inlined.
+``value_sets`` turns a small ``key -> numeric value`` table into one
+literal key set per distinct value; ``t.isin(set)`` compiles to a hash-set
+test inside the projection, so a lexicon lookup costs O(1) per token with
+no join and no shuffle of the big side. (A map literal would not do: map
+lookups in Spark scan the keys linearly.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Entries allowed in a shipped lookup map. ~2M short strings is tens of MB.
-DEFAULT_MAP_LIMIT = 2_000_000
+# Rows allowed in a broadcast lookup table (a few hundred MB at most).
+DEFAULT_BROADCAST_ROWS = 5_000_000
+# Keys allowed as literal sets in a plan, and distinct values among them.
+DEFAULT_INLINE_KEYS = 200_000
+DEFAULT_INLINE_VALUES = 200
 
 
-def bounded_map(table: DataFrame, key: str, value: str,
-                max_entries: int = DEFAULT_MAP_LIMIT) -> Column | None:
-    """Map Column of ``table`` if it has at most ``max_entries`` rows, else None.
+def bounded_count(table: DataFrame, limit: int) -> int | None:
+    """Row count of ``table`` if it is at most ``limit``, else None
+    (reads at most ``limit + 1`` rows)."""
+    if limit <= 0:
+        return None
+    n = table.limit(limit + 1).count()
+    return n if n <= limit else None
+
+
+def broadcast_if_bounded(table: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only behind a counted bound; otherwise the plain table
+    (AQE may still broadcast it from runtime statistics, or shuffle it with
+    skew splitting)."""
+    return F.broadcast(table) if bounded_count(table, limit) is not None else table
 
-    ``table`` must have unique keys; materialise it first if it is costly to
-    compute, as it is read twice (count, then the map).
+
+def value_sets(table: DataFrame, key: str, value: str,
+               max_keys: int = DEFAULT_INLINE_KEYS,
+               max_values: int = DEFAULT_INLINE_VALUES) -> list[tuple[float, list[str]]] | None:
+    """``[(value, [keys...]), ...]`` when the table is within both bounds.
+
+    Only a table proven small (counted first) is collected, grouped by value
+    on the executors; at most ``max_values`` rows reach the driver.
     """
-    if max_entries <= 0 or table.limit(max_entries + 1).count() > max_entries:
+    if bounded_count(table, max_keys) is None:
+        return None
+    if bounded_count(table.select(value).distinct(), max_values) is None:
         return None
-    return table.select(
-        F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))).scalar()
+    rows = (table.where(F.col(value).isNotNull() & (F.col(value) != 0))
+                 .groupBy(value).agg(F.collect_set(key).alias("keys")).collect())
+    return [(float(r[value]), sorted(r["keys"])) for r in rows]

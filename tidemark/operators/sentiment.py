@@ -2,8 +2,12 @@
 
 Per post: ``s`` = sum of lexicon valences of its tokens (with multiplicity),
 compound = ``s / sqrt(s^2 + alpha)`` rounded to 4 decimals, then its
-absolute value. A lexicon within the size limit is applied as a shipped map
-inside the projection; a larger one is joined on token and summed per post.
+absolute value.
+
+A lexicon within the inline bounds (counted first; a published lexicon has
+a few thousand words and a few dozen distinct valences) is applied inside
+the projection: one literal key set per valence, tested as a hash set. A
+larger one is joined on the exploded tokens and summed per post.
 """
 
 from __future__ import annotations
@@ -13,26 +17,36 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import SENTIMENT_ALPHA, SENTIMENT_DECIMALS
 from tidemark.functions.text import normalise_sentiment
-from tidemark.operators.lookup import DEFAULT_MAP_LIMIT, bounded_map
+from tidemark.operators.lookup import (
+    DEFAULT_INLINE_KEYS,
+    DEFAULT_INLINE_VALUES,
+    broadcast_if_bounded,
+    value_sets,
+)
 
 
 def sentiment_score(df: DataFrame, lexicon: DataFrame, tokens_col: str = "tokens",
                     out_col: str = "sentiment", absolute: bool = True,
                     key_col: str = "post_id", alpha: float = SENTIMENT_ALPHA,
                     decimals: int = SENTIMENT_DECIMALS,
-                    map_limit: int = DEFAULT_MAP_LIMIT) -> DataFrame:
+                    inline_keys: int = DEFAULT_INLINE_KEYS,
+                    inline_values: int = DEFAULT_INLINE_VALUES) -> DataFrame:
     """Add ``out_col``; ``lexicon`` is ``token, valence`` with unique tokens."""
-    m = bounded_map(lexicon, "token", "valence", map_limit)
-    if m is not None:
+    sets = value_sets(lexicon, "token", "valence", inline_keys, inline_values)
+    if sets is not None:
+        def valence(t):
+            v = F.lit(0.0)
+            for value, keys in reversed(sets):
+                v = F.when(t.isin(keys), F.lit(value)).otherwise(v)
+            return v
         total = F.aggregate(F.col(tokens_col), F.lit(0.0).cast("double"),
-                            lambda acc, t: acc + F.coalesce(
-                                F.try_element_at(F.col("__lex"), t).cast("double"), F.lit(0.0)))
-        # The map is projected first: subqueries may not sit inside lambdas.
-        out = df.withColumn("__lex", m).withColumn("__s", total).drop("__lex")
+                            lambda acc, t: acc + valence(t))
+        out = df.withColumn("__s", total)
     else:
+        lex = broadcast_if_bounded(lexicon.select("token", F.col("valence").cast("double")))
         sums = (df.select(key_col, F.explode(tokens_col).alias("token"))
-                  .join(lexicon.select("token", "valence"), "token")
-                  .groupBy(key_col).agg(F.sum(F.col("valence").cast("double")).alias("__s")))
+                  .join(lex, "token")
+                  .groupBy(key_col).agg(F.sum("valence").alias("__s")))
         out = df.join(sums, key_col, "left")
     score = normalise_sentiment("__s", alpha, decimals)
     if absolute:

@@ -68,20 +68,55 @@ def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([osa(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
+def _sorted_chars(c: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(c, "")), "")
+
+
+def _one_adjacent_swap(a: Column, b: Column) -> Column:
+    """``b`` is ``a`` with exactly one pair of neighbours swapped."""
+    swapped = lambda i: F.concat(a.substr(F.lit(1), i - 1), a.substr(i + 1, F.lit(1)),
+                                 a.substr(i, F.lit(1)), a.substr(i + 2, F.length(a)))
+    return (F.length(a) == F.length(b)) & (F.length(a) >= 2) & F.exists(
+        F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), lambda i: swapped(i) == b)
+
+
 def candidate_pairs(tokens: DataFrame, dictionary: DataFrame,
                     max_distance: int = SPELL_MAX_DISTANCE,
                     prefix_length: int = SPELL_PREFIX_LENGTH) -> DataFrame:
-    """``token, term, cnt, dist`` for all pairs within ``max_distance``."""
+    """``token, term, cnt, dist`` for all pairs within ``max_distance`` (OSA).
+
+    Exact OSA is decided in the JVM where Levenshtein settles it: OSA <= Lev,
+    and they differ only through adjacent transpositions (Lev 2 each). So
+    Lev <= 1 gives OSA = Lev; Lev = 2 gives OSA 1 iff one adjacent swap maps
+    one word onto the other. Pairs with larger Lev can be within
+    ``max_distance`` only through transpositions, which keep the multiset of
+    characters: their sorted-character strings must be within the
+    non-transposition budget. Only those rare pairs go to the Python OSA.
+    """
     tk = tokens.select("token", F.explode(delete_keys("token", max_distance,
                                                        prefix_length)).alias("key"))
     dk = dictionary.select("term", "cnt", F.explode(delete_keys("term", max_distance,
                                                                  prefix_length)).alias("key"))
     pairs = (tk.join(dk, "key")
                .where(F.abs(F.length("token") - F.length("term")) <= max_distance)
-               .select("token", "term", "cnt").distinct())
-    pairs = pairs.where(F.levenshtein("token", "term", 2 * max_distance) >= 0)
-    return (pairs.withColumn("dist", osa_distance("token", "term"))
-                 .where(F.col("dist") <= max_distance))
+               .select("token", "term", "cnt").distinct()
+               .withColumn("lev", F.levenshtein("token", "term", 2 * max_distance))
+               .where(F.col("lev") >= 0))
+    a, b, lev = F.col("token"), F.col("term"), F.col("lev")
+    if max_distance >= 2:
+        near = (pairs.where(lev <= 2)
+                     .withColumn("dist", F.when((lev == 2) & _one_adjacent_swap(a, b), F.lit(1))
+                                 .otherwise(lev).cast("int")))
+    else:
+        near = pairs.where(lev <= max_distance).withColumn(
+            "dist", F.when((lev == 2) & _one_adjacent_swap(a, b), F.lit(1)).otherwise(lev)
+            .cast("int"))
+    lo = 3 if max_distance >= 2 else 2
+    far = (pairs.where(lev >= lo)
+                .where(F.levenshtein(_sorted_chars(a), _sorted_chars(b), max_distance) >= 0)
+                .withColumn("dist", osa_distance(a, b)))
+    return (near.unionByName(far).where(F.col("dist") <= max_distance)
+                .select("token", "term", "cnt", "dist"))
 
 
 def correct_tokens(tokens: DataFrame, dictionary: DataFrame,

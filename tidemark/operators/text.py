@@ -21,7 +21,7 @@ from tidemark.functions.text import (
     tokenize,
 )
 from tidemark.operators.lemma import lemmatize_tokens
-from tidemark.operators.lookup import DEFAULT_MAP_LIMIT, bounded_map
+from tidemark.operators.lookup import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 from tidemark.operators.spelling import correct_tokens
 from tidemark.sources.io import materialize
 
@@ -76,32 +76,28 @@ def token_mapping(vocab: DataFrame, dictionary: DataFrame | None = None,
 
 
 def apply_token_mapping(df: DataFrame, mapping: DataFrame, tokens_col: str = "tokens",
-                        key_col: str = "post_id",
-                        map_limit: int = DEFAULT_MAP_LIMIT) -> DataFrame:
-    """Replace tokens of ``tokens_col`` by ``mapping`` (token, out).
-
-    Only changed tokens are applied. When their count is within
-    ``map_limit`` they ship as one map (a projection, no shuffle of posts);
-    otherwise tokens are exploded, joined on token (AQE splits hot tokens)
-    and re-assembled per post in position order.
+                        key_col: str = "post_id", drop: Iterable[str] = ("text",),
+                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Replace the tokens of ``tokens_col`` by ``mapping`` (token, out).
+
+    Only changed tokens are applied. Tokens are exploded with their position,
+    joined on token - broadcast when the changed set is counted within
+    ``broadcast_rows``, else a shuffle join where AQE splits hot tokens - and
+    re-assembled in position order by one group-by that carries the post's
+    other columns (no join back to the posts). Posts without tokens survive
+    via ``posexplode_outer``. Columns in ``drop`` (raw text) are not carried.
     """
-    changed = mapping.where(F.col("out") != F.col("token"))
-    m = bounded_map(changed, "token", "out", map_limit)
-    if m is not None:
-        # The map is projected first: subqueries may not sit inside lambdas.
-        return (df.withColumn("__map", m)
-                  .withColumn(tokens_col, F.transform(
-                      tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("__map"), t), t)))
-                  .drop("__map"))
-    ex = explode_tokens(df, [key_col], tokens_col)
+    changed = broadcast_if_bounded(mapping.where(F.col("out") != F.col("token")), broadcast_rows)
+    carry = [c for c in df.columns if c != tokens_col and c not in set(drop)]
+    if key_col not in carry:
+        raise ValueError(f"{key_col} must be a column of df")
+    ex = df.select(*carry, F.posexplode_outer(tokens_col).alias("pos", "token"))
     fixed = (ex.join(changed, "token", "left")
-               .select(key_col, "pos", F.coalesce("out", "token").alias("token"))
-               .groupBy(key_col)
-               .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("__toks")))
-    fixed = fixed.select(key_col, F.transform("__toks", lambda s: s["token"]).alias("__new"))
-    return (df.join(fixed, key_col, "left")
-              .withColumn(tokens_col, F.coalesce("__new", F.array().cast("array<string>")))
-              .drop("__new"))
+               .withColumn("token", F.coalesce("out", "token"))
+               .groupBy(*carry)
+               .agg(F.array_sort(F.collect_list(
+                   F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("__toks")))
+    return fixed.select(*carry, F.transform("__toks", lambda s: s["token"]).alias(tokens_col))
 
 
 def clean_text(posts: DataFrame, text_col: str = "text", out_col: str = "clean",
@@ -111,18 +107,20 @@ def clean_text(posts: DataFrame, text_col: str = "text", out_col: str = "clean",
                lemma_vocab: DataFrame | None = None,
                lemma_exceptions: DataFrame | None = None,
                key_col: str = "post_id",
-               map_limit: int = DEFAULT_MAP_LIMIT) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """The composed cleaning operator (X1 -> X2 -> X3 -> X4 -> P5 -> J5 -> J6 -> X5).
 
     Adds ``tokens_col`` (array) and ``out_col`` (tokens joined by a space).
     A corrected word is not re-checked against the stop list, as in the
     original. Without ``dictionary``/``lemma_vocab`` everything is one
-    projection.
+    projection; with them the raw ``text_col`` is not carried further.
     """
     df = with_tokens(posts, text_col, tokens_col, stop_words)
     if dictionary is not None or lemma_vocab is not None:
-        mapping = token_mapping(vocabulary(df, tokens_col), dictionary, lemma_vocab,
-                                lemma_exceptions)
+        # The distinct vocabulary feeds several branches of the mapping plan;
+        # write it once (small next to the text) instead of re-cleaning posts.
+        vocab = materialize(vocabulary(df, tokens_col), "vocab")
+        mapping = token_mapping(vocab, dictionary, lemma_vocab, lemma_exceptions)
         mapping = materialize(mapping.where(F.col("out") != F.col("token")), "token-map")
-        df = apply_token_mapping(df, mapping, tokens_col, key_col, map_limit)
+        df = apply_token_mapping(df, mapping, tokens_col, key_col, (text_col,), broadcast_rows)
     return df.withColumn(out_col, join_tokens(tokens_col))

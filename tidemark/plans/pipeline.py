@@ -1,0 +1,62 @@
+"""Train and score: the original program's two entry points as one plan.
+
+``train``: feature table -> assembled vectors -> fit (any estimator or
+ensemble). ``score``: same features for new posts -> ``model.transform`` ->
+``id, event_type``. Keys stay on every row from scan to prediction.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.learn.estimators import logistic
+from tidemark.plans.features import Resources, assemble, build_features
+from tidemark.plans.resources import (
+    benchmark_lexicon,
+    corpus_dictionary,
+    corpus_word_vectors,
+    embedding_dim,
+    lemma_exceptions,
+)
+from tidemark.sources.adapters import document_posts
+
+
+def document_resources(spark: SparkSession, sf_dir: str) -> Resources:
+    """Full cleaning (spelling + lemmas) and all feature resources."""
+    dictionary = corpus_dictionary(spark, sf_dir)
+    return Resources(dictionary=dictionary, lemma_vocab=dictionary.select("term"),
+                     lemma_exceptions=lemma_exceptions(spark),
+                     word_vectors=corpus_word_vectors(spark, sf_dir),
+                     dim=embedding_dim(spark, sf_dir), lexicon=benchmark_lexicon(spark, sf_dir))
+
+
+def train(features: DataFrame, config: str, estimator):
+    """Fit ``estimator`` on the labelled periods of a feature table."""
+    data = assemble(features, config).where(F.col("label").isNotNull())
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(data)
+    finally:
+        data.unpersist()
+
+
+def score(model, features: DataFrame, config: str) -> DataFrame:
+    """``id, event_type`` for every period of ``features``."""
+    data = assemble(features, config, label_col="__none__")
+    out = model.transform(data)
+    return out.select("id", F.col("prediction").cast("double").alias("event_type"))
+
+
+def flagship(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment",
+             estimator=None) -> DataFrame:
+    """Documents as posts: clean -> features -> fit on labelled periods ->
+    predict every period. Returns ``id, event_type, labelled``."""
+    res = document_resources(spark, sf_dir)
+    feats = build_features(document_posts(spark, sf_dir), config, res, label_agg="max")
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    model = train(feats, config, estimator or logistic(max_iter=100))
+    pred = score(model, feats, config)
+    labelled = feats.select("id", F.col("event_type").isNotNull().alias("labelled"))
+    return pred.join(labelled, "id")

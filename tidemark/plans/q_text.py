@@ -139,7 +139,7 @@ FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id""",
 def q_sentiment_abs_join(spark, sf_dir):
     df = with_tokens(_docs(spark, sf_dir))
     return sentiment_score(df, benchmark_lexicon(spark, sf_dir), key_col="doc_id",
-                           map_limit=0).select("doc_id", "sentiment")
+                           inline_keys=0).select("doc_id", "sentiment")
 
 
 @query("sentiment_spread_by_period", sql=f"""
