@@ -118,3 +118,19 @@ def q_leaderboard(spark, sf_dir):
 @query("predictions_flagship", note="rows-only: clean -> features -> LR -> predictions")
 def q_predictions_flagship(spark, sf_dir):
     return flagship(spark, sf_dir)
+
+
+@query("predictions_scaled_per_match", note="rows-only: train with global maxima, score the "
+       "unlabelled periods with maxima per match (per file), as the original scoring loop")
+def q_predictions_scaled_per_match(spark, sf_dir):
+    from tidemark.plans.features import Resources, build_features
+    from tidemark.plans.pipeline import score, train
+    from tidemark.plans.resources import benchmark_lexicon
+    from tidemark.sources.adapters import document_posts
+
+    res = Resources(lexicon=benchmark_lexicon(spark, sf_dir))
+    posts = document_posts(spark, sf_dir)
+    model = train(build_features(posts, "features_only", res, label_agg="max"), "features_only",
+                  logistic(max_iter=100))
+    per_match = build_features(posts, "features_only", res, scale_by="match_id", label_agg="max")
+    return score(model, per_match.where(F.col("event_type").isNull()), "features_only")

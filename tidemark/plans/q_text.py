@@ -187,3 +187,15 @@ def q_sentiment_conversations(spark, sf_dir):
                     F.round("sentiment", R).alias("sentiment"),
                     F.round("std_sentiment", R).alias("std_sentiment"),
                     F.round("phrase_hits", R).alias("phrase_hits"))
+
+
+@query("clean_text_full", note="rows-only: spelling has no SQL oracle; its parts are checked "
+       "separately (spell_correct by brute force, lemma_lookup by SQL)")
+def q_clean_text_full(spark, sf_dir):
+    from tidemark.operators.text import clean_text
+
+    dictionary = corpus_dictionary(spark, sf_dir)
+    out = clean_text(_docs(spark, sf_dir).withColumnRenamed("doc_id", "post_id"),
+                     dictionary=dictionary, lemma_vocab=dictionary.select("term"),
+                     lemma_exceptions=lemma_exceptions(spark))
+    return out.select(F.col("post_id").alias("doc_id"), "clean", F.size("tokens").alias("n_tokens"))
