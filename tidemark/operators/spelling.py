@@ -16,11 +16,13 @@ then the exact OSA distance on the survivors only.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.fixed import SPELL_MAX_DISTANCE, SPELL_PREFIX_LENGTH
+from tidemark.sources.io import materialize
 
 
 def _deletes(s: Column) -> Column:
@@ -83,40 +85,47 @@ def _one_adjacent_swap(a: Column, b: Column) -> Column:
 def candidate_pairs(tokens: DataFrame, dictionary: DataFrame,
                     max_distance: int = SPELL_MAX_DISTANCE,
                     prefix_length: int = SPELL_PREFIX_LENGTH) -> DataFrame:
-    """``token, term, cnt, dist`` for all pairs within ``max_distance`` (OSA).
+    """``token, term, cnt, dist`` for pairs within ``max_distance`` (OSA).
 
-    Exact OSA is decided in the JVM where Levenshtein settles it: OSA <= Lev,
-    and they differ only through adjacent transpositions (Lev 2 each). So
+    A pair may appear more than once (it can share several delete keys);
+    the per-token choice downstream is a ``min_by``, which duplicates do not
+    change, so the large key-join output is never de-duplicated.
+
+    Exact OSA is decided in the JVM where Levenshtein settles it (OSA <= Lev,
+    and they differ only through adjacent transpositions, each 2 for Lev):
     Lev <= 1 gives OSA = Lev; Lev = 2 gives OSA 1 iff one adjacent swap maps
-    one word onto the other. Pairs with larger Lev can be within
-    ``max_distance`` only through transpositions, which keep the multiset of
-    characters: their sorted-character strings must be within the
-    non-transposition budget. Only those rare pairs go to the Python OSA.
+    one word onto the other. A larger Lev is within ``max_distance`` only
+    through transpositions, which keep the multiset of characters: with
+    t transpositions and e other edits (t + e <= k, Lev <= 2t + e) the sorted
+    character strings are within Levenshtein 2e. Sorted strings are computed
+    once per word, before the join. Only pairs passing that test reach the
+    exact OSA in Python (de-duplicated first).
     """
-    tk = tokens.select("token", F.explode(delete_keys("token", max_distance,
-                                                       prefix_length)).alias("key"))
-    dk = dictionary.select("term", "cnt", F.explode(delete_keys("term", max_distance,
-                                                                 prefix_length)).alias("key"))
-    pairs = (tk.join(dk, "key")
-               .where(F.abs(F.length("token") - F.length("term")) <= max_distance)
-               .select("token", "term", "cnt").distinct()
-               .withColumn("lev", F.levenshtein("token", "term", 2 * max_distance))
-               .where(F.col("lev") >= 0))
+    tk = tokens.select("token", _sorted_chars(F.col("token")).alias("ts"),
+                       F.explode(delete_keys("token", max_distance, prefix_length)).alias("key"))
+    dk = dictionary.select("term", "cnt", _sorted_chars(F.col("term")).alias("ss"),
+                           F.explode(delete_keys("term", max_distance, prefix_length)).alias("key"))
     a, b, lev = F.col("token"), F.col("term"), F.col("lev")
-    if max_distance >= 2:
-        near = (pairs.where(lev <= 2)
-                     .withColumn("dist", F.when((lev == 2) & _one_adjacent_swap(a, b), F.lit(1))
-                                 .otherwise(lev).cast("int")))
-    else:
-        near = pairs.where(lev <= max_distance).withColumn(
-            "dist", F.when((lev == 2) & _one_adjacent_swap(a, b), F.lit(1)).otherwise(lev)
-            .cast("int"))
-    lo = 3 if max_distance >= 2 else 2
-    far = (pairs.where(lev >= lo)
-                .where(F.levenshtein(_sorted_chars(a), _sorted_chars(b), max_distance) >= 0)
-                .withColumn("dist", osa_distance(a, b)))
-    return (near.unionByName(far).where(F.col("dist") <= max_distance)
-                .select("token", "term", "cnt", "dist"))
+    sa, sb = F.col("ts"), F.col("ss")
+    possible = F.lit(False)
+    for extra in range(1, max_distance + 1):
+        e = max_distance - extra          # edits left beside the transpositions
+        possible = possible | ((lev == max_distance + extra) & (
+            (sa == sb) if e == 0 else (F.levenshtein(sa, sb, 2 * e) >= 0)))
+    kept = (tk.join(dk, "key")
+              .where(F.abs(F.length("token") - F.length("term")) <= max_distance)
+              .withColumn("lev", F.levenshtein("token", "term", 2 * max_distance))
+              .where(((lev >= 0) & (lev <= max_distance)) | possible)
+              .select("token", "term", "cnt", "lev")
+              .persist(StorageLevel.MEMORY_AND_DISK))   # read by both branches below
+    near = (kept.where(lev <= max_distance)
+                .select("token", "term", "cnt",
+                        F.when((lev == 2) & _one_adjacent_swap(a, b), F.lit(1))
+                         .otherwise(lev).cast("int").alias("dist")))
+    far = (kept.where(lev > max_distance).select("token", "term", "cnt").distinct()
+               .withColumn("dist", osa_distance(a, b))
+               .where(F.col("dist") <= max_distance))
+    return near.unionByName(far)
 
 
 def correct_tokens(tokens: DataFrame, dictionary: DataFrame,
@@ -125,19 +134,21 @@ def correct_tokens(tokens: DataFrame, dictionary: DataFrame,
     """``token, corrected, distance`` for every distinct ``token``.
 
     ``dictionary`` is ``term, cnt`` with unique terms. ``distance`` is NULL
-    when the token is kept because nothing is close enough.
+    when the token is kept because nothing is close enough. The distinct
+    tokens, flagged as known or not, are written once (one row per word) as
+    they feed the candidate join and the final result.
     """
-    tokens = tokens.select("token").distinct()
-    terms = dictionary.select(F.col("term").alias("token"))
-    known = (tokens.join(terms, "token", "left_semi")
-                   .select("token", F.col("token").alias("corrected"),
-                           F.lit(0).alias("distance")))
-    unknown = tokens.join(terms, "token", "left_anti")
+    terms = dictionary.select(F.col("term").alias("token"), F.lit(True).alias("known"))
+    flagged = materialize(tokens.select("token").distinct().join(terms, "token", "left"),
+                          "spell-vocab")
+    unknown = flagged.where(F.col("known").isNull()).select("token")
     best = (candidate_pairs(unknown, dictionary, max_distance, prefix_length)
             .groupBy("token")
             .agg(F.min_by(F.struct("term", "dist"),
                           F.struct("dist", (-F.col("cnt")).alias("neg_cnt"), "term")).alias("b")))
-    fixed = (unknown.join(best, "token", "left")
-                    .select("token", F.coalesce(F.col("b.term"), F.col("token")).alias("corrected"),
-                            F.col("b.dist").alias("distance")))
-    return known.unionByName(fixed)
+    return (flagged.join(best, "token", "left")
+                   .select("token",
+                           F.when(F.col("known"), F.col("token"))
+                            .otherwise(F.coalesce(F.col("b.term"), F.col("token"))).alias("corrected"),
+                           F.when(F.col("known"), F.lit(0)).otherwise(F.col("b.dist"))
+                            .alias("distance")))
