@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.vectors import zero_vector
+from tidemark.operators.lookup import join_lookup
 
 
 def post_vectors(df: DataFrame, vectors: DataFrame, keys: Sequence[str],
@@ -28,13 +29,13 @@ def post_vectors(df: DataFrame, vectors: DataFrame, keys: Sequence[str],
     """``keys..., out_col`` for posts with at least one known token.
 
     ``vectors`` is ``word, vec array<float|double>`` with unique words. The
-    join is on token: AQE broadcasts the vector table when its measured size
-    allows and otherwise splits hot tokens (skew join).
+    join is on token: the vector table is broadcast behind a counted bound,
+    else a sort-merge join where AQE splits hot tokens.
     """
     keys = list(keys)
     ex = df.select(*keys, F.explode(tokens_col).alias("word"))
-    hit = ex.join(vectors.select("word", array_to_vector(F.col("vec").cast("array<double>"))
-                                 .alias("__v")), "word")
+    hit = join_lookup(ex, vectors.select(
+        "word", array_to_vector(F.col("vec").cast("array<double>")).alias("__v")), "word")
     return (hit.groupBy(*keys).agg(Summarizer.mean(F.col("__v")).alias("__m"))
                .select(*keys, vector_to_array("__m", "float64").alias(out_col)))
 

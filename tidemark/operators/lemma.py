@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import NOUN_SUFFIX_RULES
+from tidemark.operators.lookup import join_lookup
 
 
 def _apply_rules(forms: Column) -> Column:
@@ -61,7 +62,7 @@ def lemmatize_tokens(tokens: DataFrame, vocab: DataFrame,
         tok = tokens
         cands = lemma_candidates(F.col("token"), max_rounds)
     ex = tok.select("token", F.explode(cands).alias("c")).select("token", "c.*")
-    hits = ex.join(vocab, "form")
+    hits = join_lookup(ex, vocab, "form")
     best = hits.groupBy("token").agg(
         F.min_by("form", F.struct("lvl", F.length("form"), "ord")).alias("lemma"))
     return (tokens.join(best, "token", "left")

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows allowed in a broadcast lookup table (a few hundred MB at most).
-DEFAULT_BROADCAST_ROWS = 5_000_000
+# Rows allowed in a broadcast lookup table (short keys: tens of MB).
+DEFAULT_BROADCAST_ROWS = 1_000_000
 # Keys allowed as literal sets in a plan, and distinct values among them.
 DEFAULT_INLINE_KEYS = 200_000
 DEFAULT_INLINE_VALUES = 200
@@ -36,6 +36,20 @@ def broadcast_if_bounded(table: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(table) if bounded_count(table, limit) is not None else table
 
 
+def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join a large (often exploded) table with a lookup table.
+
+    The lookup side is broadcast only behind a counted bound. Otherwise the
+    join is pinned to a shuffle sort-merge join: an exploded side can carry
+    a tiny static size estimate (it inherits its parent's), and the planner
+    must never try to broadcast it; AQE still splits skewed (hot) keys.
+    """
+    if bounded_count(small, limit) is not None:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small.hint("shuffle_merge"), on, how)
+
+
 def value_sets(table: DataFrame, key: str, value: str,
                max_keys: int = DEFAULT_INLINE_KEYS,
                max_values: int = DEFAULT_INLINE_VALUES) -> list[tuple[float, list[str]]] | None:

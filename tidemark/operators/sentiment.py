@@ -20,7 +20,7 @@ from tidemark.functions.text import normalise_sentiment
 from tidemark.operators.lookup import (
     DEFAULT_INLINE_KEYS,
     DEFAULT_INLINE_VALUES,
-    broadcast_if_bounded,
+    join_lookup,
     value_sets,
 )
 
@@ -43,9 +43,8 @@ def sentiment_score(df: DataFrame, lexicon: DataFrame, tokens_col: str = "tokens
                             lambda acc, t: acc + valence(t))
         out = df.withColumn("__s", total)
     else:
-        lex = broadcast_if_bounded(lexicon.select("token", F.col("valence").cast("double")))
-        sums = (df.select(key_col, F.explode(tokens_col).alias("token"))
-                  .join(lex, "token")
+        lex = lexicon.select("token", F.col("valence").cast("double"))
+        sums = (join_lookup(df.select(key_col, F.explode(tokens_col).alias("token")), lex, "token")
                   .groupBy(key_col).agg(F.sum("valence").alias("__s")))
         out = df.join(sums, key_col, "left")
     score = normalise_sentiment("__s", alpha, decimals)

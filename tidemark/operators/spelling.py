@@ -112,7 +112,9 @@ def candidate_pairs(tokens: DataFrame, dictionary: DataFrame,
         e = max_distance - extra          # edits left beside the transpositions
         possible = possible | ((lev == max_distance + extra) & (
             (sa == sb) if e == 0 else (F.levenshtein(sa, sb, 2 * e) >= 0)))
-    kept = (tk.join(dk, "key")
+    # Both sides are exploded (their static size estimates are too small):
+    # pin a shuffle sort-merge join so neither is broadcast; AQE splits hot keys.
+    kept = (tk.join(dk.hint("shuffle_merge"), "key")
               .where(F.abs(F.length("token") - F.length("term")) <= max_distance)
               .withColumn("lev", F.levenshtein("token", "term", 2 * max_distance))
               .where(((lev >= 0) & (lev <= max_distance)) | possible)

@@ -21,7 +21,7 @@ from tidemark.functions.text import (
     tokenize,
 )
 from tidemark.operators.lemma import lemmatize_tokens
-from tidemark.operators.lookup import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from tidemark.operators.lookup import DEFAULT_BROADCAST_ROWS, join_lookup
 from tidemark.operators.spelling import correct_tokens
 from tidemark.sources.io import materialize
 
@@ -66,7 +66,10 @@ def token_mapping(vocab: DataFrame, dictionary: DataFrame | None = None,
     """
     mapping = vocab.select("token", F.col("token").alias("out"))
     if dictionary is not None:
-        mapping = correct_tokens(vocab, dictionary).select("token", F.col("corrected").alias("out"))
+        # One row per vocabulary word, read twice below (lemma input, join):
+        # written once instead of running the spelling join twice.
+        mapping = materialize(correct_tokens(vocab, dictionary)
+                              .select("token", F.col("corrected").alias("out")), "spelled")
     if lemma_vocab is not None:
         outs = mapping.select(F.col("out").alias("token")).distinct()
         lemmas = lemmatize_tokens(outs, lemma_vocab, lemma_exceptions)
@@ -87,12 +90,12 @@ def apply_token_mapping(df: DataFrame, mapping: DataFrame, tokens_col: str = "to
     other columns (no join back to the posts). Posts without tokens survive
     via ``posexplode_outer``. Columns in ``drop`` (raw text) are not carried.
     """
-    changed = broadcast_if_bounded(mapping.where(F.col("out") != F.col("token")), broadcast_rows)
+    changed = mapping.where(F.col("out") != F.col("token"))
     carry = [c for c in df.columns if c != tokens_col and c not in set(drop)]
     if key_col not in carry:
         raise ValueError(f"{key_col} must be a column of df")
     ex = df.select(*carry, F.posexplode_outer(tokens_col).alias("pos", "token"))
-    fixed = (ex.join(changed, "token", "left")
+    fixed = (join_lookup(ex, changed, "token", "left", broadcast_rows)
                .withColumn("token", F.coalesce("out", "token"))
                .groupBy(*carry)
                .agg(F.array_sort(F.collect_list(
