@@ -96,3 +96,22 @@ def test_result_independent_of_partitioning(spark):
     a = volume_change(period_volume(posts)).collect()
     b = volume_change(period_volume(posts.repartition(5, "post_id"))).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_index_method_equals_window(spark):
+    rng = random.Random(3)
+    rows, pid = [], 0
+    for m in ("a", "b", "c"):
+        for p in range(rng.randint(1, 9)):
+            for _ in range(rng.randint(1, 4)):
+                rows.append((m, p, f"{m}:{p}", pid, 1.0))
+                pid += 1
+    posts = spark.createDataFrame(rows, "match_id string, period_id long, id string, post_id long, value double")
+    vol = period_volume(posts)
+    for mode in ("row_lag", "period_lag"):
+        a = volume_change(vol, mode=mode, method="window").collect()
+        b = volume_change(vol, mode=mode, method="index").collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    a = period_change(vol, "n_posts", method="window").collect()
+    b = period_change(vol, "n_posts", method="index").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

@@ -16,6 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookup import join_lookup
 from tidemark.session import checkpoint_dir
 
 PERIOD_KEYS = ("match_id", "period_id", "id")
@@ -78,34 +79,88 @@ def period_spread(posts: DataFrame, col: str, keys: Sequence[str] = PERIOD_KEYS)
         F.stddev_samp(_nan_to_null(col)).alias(f"std_{col}"))
 
 
+# A group (match) with more periods than this is not sorted in one window
+# task; its neighbours come from a self-join on a global row index instead.
+WINDOW_GROUP_LIMIT = 2_000_000
+
+
 def _period_window(by: Sequence[str] | str, order: Sequence[str]):
     by = [by] if isinstance(by, str) else list(by)
     return Window.partitionBy(*by).orderBy(*order)
 
 
+def neighbour_values(periods: DataFrame, col: str, offsets: Sequence[int],
+                     by: Sequence[str] | str = "match_id",
+                     order: Sequence[str] = ("period_id", "id"),
+                     method: str = "auto") -> tuple[DataFrame, dict[int, Column]]:
+    """Values of ``col`` ``k`` rows back (k > 0) or ahead (k < 0) in the same
+    group, in ``order``; NULL past the group's ends.
+
+    ``method="window"``: ``lag``/``lead`` over a window partitioned by group -
+    one task sorts a whole group. ``method="index"``: number all periods in
+    the total order (group, order) with the distributed ``global_row_index``
+    and fetch neighbours by an equi-join on the shifted index (unique keys,
+    so no skew however large a group is). ``method="auto"`` counts the
+    largest group (one aggregate over the period table) and uses the window
+    only below ``WINDOW_GROUP_LIMIT``.
+    Returns the frame and a Column per offset.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    if method == "auto":
+        largest = periods.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+        method = "window" if largest <= WINDOW_GROUP_LIMIT else "index"
+    if method == "window":
+        w = _period_window(by, order)
+        cols = {k: (F.lag(F.col(col), k) if k > 0 else F.lead(F.col(col), -k)).over(w)
+                for k in offsets}
+        return periods, cols
+    if method != "index":
+        raise ValueError(f"method must be 'auto', 'window' or 'index', got {method!r}")
+    out = global_row_index(periods, by + list(order), "__r")
+    cols = {}
+    for k in offsets:
+        name = f"__nb{k}".replace("-", "m")
+        shifted = out.select((F.col("__r") + F.lit(k)).alias("__r"),
+                             *[F.col(b).alias(f"{name}_{b}") for b in by],
+                             F.col(col).alias(name))
+        out = out.join(shifted, "__r", "left")
+        same = F.lit(True)
+        for b in by:
+            same = same & F.col(f"{name}_{b}").eqNullSafe(F.col(b))
+        out = out.withColumn(name, F.when(same, F.col(name))).drop(*[f"{name}_{b}" for b in by])
+        cols[k] = F.col(name)
+    return out, cols
+
+
+def _drop_helpers(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("__nb") or c == "__r"])
+
+
 def period_change(periods: DataFrame, col: str,
                   lags: Sequence[int] = (1, 2, 3), leads: Sequence[int] = (1,),
                   by: Sequence[str] | str = "match_id",
-                  order: Sequence[str] = ("period_id", "id")) -> DataFrame:
+                  order: Sequence[str] = ("period_id", "id"),
+                  method: str = "auto") -> DataFrame:
     """``x - lag(x, k)`` as ``<col>_before<k>`` and ``x - lead(x, k)``
     as ``<col>_after<k>``; 0 where the neighbour does not exist.
 
-    Runs on the period table (one row per period), partitioned by match.
+    Runs on the period table (one row per period); see ``neighbour_values``
+    for how a very large group is handled.
     """
-    w = _period_window(by, order)
+    offsets = list(lags) + [-k for k in leads]
+    out, nb = neighbour_values(periods, col, offsets, by, order, method)
     x = F.col(col)
-    out = periods
     for k in lags:
-        out = out.withColumn(f"{col}_before{k}", F.coalesce(x - F.lag(x, k).over(w), F.lit(0)))
+        out = out.withColumn(f"{col}_before{k}", F.coalesce(x - nb[k], F.lit(0)))
     for k in leads:
-        out = out.withColumn(f"{col}_after{k}", F.coalesce(x - F.lead(x, k).over(w), F.lit(0)))
-    return out
+        out = out.withColumn(f"{col}_after{k}", F.coalesce(x - nb[-k], F.lit(0)))
+    return _drop_helpers(out)
 
 
 def volume_change(periods: DataFrame, n_col: str = "n_posts", mode: str = "row_lag",
                   by: Sequence[str] | str = "match_id",
                   order: Sequence[str] = ("period_id", "id"),
-                  out_col: str = "volume_change") -> DataFrame:
+                  out_col: str = "volume_change", method: str = "auto") -> DataFrame:
     """Change in volume two steps back, per period.
 
     ``mode="row_lag"`` is what the original computes: every *post* carries
@@ -123,25 +178,24 @@ def volume_change(periods: DataFrame, n_col: str = "n_posts", mode: str = "row_l
 
     ``mode="period_lag"``: ``n_p - n_{p-2}`` on the period table.
     """
-    w = _period_window(by, order)
-    n = F.col(n_col).cast("double")
-    n1 = F.lag(n, 1).over(w)
-    n2 = F.lag(n, 2).over(w)
-    if mode == "period_lag":
-        v = F.coalesce(n - n2, F.lit(0.0))
-        return periods.withColumn(out_col, v).withColumn(f"{out_col}_absmax", F.abs(v))
-    if mode != "row_lag":
+    if mode not in ("row_lag", "period_lag"):
         raise ValueError(f"mode must be 'row_lag' or 'period_lag', got {mode!r}")
-    tmp = periods.withColumn("__n1", n1).withColumn("__n2", n2)
+    out, nb = neighbour_values(periods, n_col, [1, 2], by, order, method)
+    n = F.col(n_col).cast("double")
+    out = out.withColumn("__n1", nb[1].cast("double")).withColumn("__n2", nb[2].cast("double"))
     p1, p2 = F.col("__n1"), F.col("__n2")
+    if mode == "period_lag":
+        v = F.coalesce(n - p2, F.lit(0.0))
+        out = out.withColumn(out_col, v).withColumn(f"{out_col}_absmax", F.abs(v))
+        return _drop_helpers(out.drop("__n1", "__n2"))
     d0 = (F.when(p1.isNull(), F.lit(0.0))
           .when(p1 >= 2, n - p1)
           .when(p2.isNull(), F.lit(0.0))
           .otherwise(n - p2))
     d1 = F.when(p1.isNull() | (n < 2), F.lit(0.0)).otherwise(n - p1)
-    return (tmp.withColumn(out_col, (d0 + d1) / n)
-               .withColumn(f"{out_col}_absmax", F.greatest(F.abs(d0), F.abs(d1)))
-               .drop("__n1", "__n2"))
+    out = (out.withColumn(out_col, (d0 + d1) / n)
+              .withColumn(f"{out_col}_absmax", F.greatest(F.abs(d0), F.abs(d1))))
+    return _drop_helpers(out.drop("__n1", "__n2"))
 
 
 def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
@@ -152,9 +206,9 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
     ``by=None``: one global maximum, a scalar subquery (partial max per task,
     one row to the driver) - no unpartitioned window, no cross join.
     ``by=cols``: maximum per group - a group-by (partial aggregation) joined
-    back on the group keys; the group table has one row per group and AQE
-    broadcasts it at runtime when its measured size allows, else shuffles
-    with skew splitting.
+    back on the group keys; the group table (one row per group) is
+    broadcast behind a counted bound, else joined sort-merge with AQE
+    splitting a hot group.
     Division by a 0 maximum gives NULL (``try_divide``).
     """
     out_col = out_col or col
@@ -165,7 +219,7 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
         return df.withColumn(out_col, F.try_divide(F.col(col).cast("double"), m))
     by = [by] if isinstance(by, str) else list(by)
     maxima = df.groupBy(*by).agg(F.max(src).alias("__max"))
-    return (df.join(maxima, on=by, how="left")
+    return (join_lookup(df, maxima, by, "left")
               .withColumn(out_col, F.try_divide(F.col(col).cast("double"), F.col("__max")))
               .drop("__max"))
 
