@@ -6,7 +6,7 @@ from tidemark.functions.fixed import REFERENCE_GROUP_IDS, REFERENCE_GROUP_PERIOD
 from tidemark.learn.ensemble import BaggingEstimator, StackingEstimator, bagged_vote, poisson_weight
 from tidemark.learn.estimators import base_learners, gbt, logistic, random_forest, rff_svc
 from tidemark.learn.evaluate import accuracy, leaderboard
-from tidemark.operators.split import positional_split, run_table, sample_groups, split_by_group
+from tidemark.operators.split import positional_split, sample_groups, split_by_group
 
 
 def _periods(spark, n=2300):
@@ -16,8 +16,8 @@ def _periods(spark, n=2300):
 
 def test_positional_split_matches_literal_walk(spark):
     periods = _periods(spark)
-    runs = run_table(spark, REFERENCE_GROUP_IDS, REFERENCE_GROUP_PERIODS)
-    got = {r.id: r.split for r in positional_split(periods, runs, REFERENCE_TEST_GROUP_IDS).collect()}
+    got = {r.id: r.split for r in positional_split(periods, REFERENCE_GROUP_IDS, REFERENCE_GROUP_PERIODS,
+                                                   REFERENCE_TEST_GROUP_IDS).collect()}
     keys = sorted((r.match_id, r.period_id, r.id) for r in periods.collect())
     want, index = {}, 0
     for g, n in zip(REFERENCE_GROUP_IDS, REFERENCE_GROUP_PERIODS):

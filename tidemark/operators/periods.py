@@ -239,9 +239,11 @@ def global_row_index(df: DataFrame, order: Sequence[str | Column],
 
     Distributed: range-partition and sort, number rows inside each partition
     with ``monotonically_increasing_id`` (partition id in the high bits), then
-    add the count of all earlier partitions. The per-partition counts table
-    has one row per partition (bounded by the partition count). The sorted,
-    numbered table is checkpointed so counts and ids come from one run.
+    add the count of all earlier partitions. The counts - one number per
+    partition, bounded by the partition count - come to the driver and go
+    back as an array literal indexed by partition id. The sorted, numbered
+    table is checkpointed (shared checkpoint folder) so counts and ids come
+    from one run.
     """
     checkpoint_dir(df.sparkSession)
     sorted_df = (df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -250,11 +252,14 @@ def global_row_index(df: DataFrame, order: Sequence[str | Column],
     part = F.shiftright(F.col("__mid"), 33)
     local = F.col("__mid") - F.shiftleft(part, 33)
     with_part = sorted_df.withColumn("__part", part).withColumn("__local", local)
-    counts = with_part.groupBy("__part").agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = counts.withColumn(
-        "__offset",
-        F.coalesce(F.sum("__cnt").over(Window.orderBy("__part").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)))
-    return (with_part.join(F.broadcast(offsets.select("__part", "__offset")), "__part")
-            .withColumn(out_col, F.col("__offset") + F.col("__local") + 1)
-            .drop("__mid", "__part", "__local", "__offset"))
+    counts = dict(with_part.groupBy("__part").count().collect())
+    offsets, total = [], 0
+    for p in range(int(max(counts, default=-1)) + 1):
+        offsets.append(total)
+        total += counts.get(p, 0)
+    if not offsets:
+        return with_part.withColumn(out_col, F.lit(None).cast("long")).drop(
+            "__mid", "__part", "__local")
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), (F.col("__part") + 1).cast("int"))
+    return (with_part.withColumn(out_col, offset.cast("long") + F.col("__local") + 1)
+            .drop("__mid", "__part", "__local"))

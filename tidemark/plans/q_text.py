@@ -195,7 +195,7 @@ def q_clean_text_full(spark, sf_dir):
     from tidemark.operators.text import clean_text
 
     dictionary = corpus_dictionary(spark, sf_dir)
-    out = clean_text(_docs(spark, sf_dir).withColumnRenamed("doc_id", "post_id"),
+    out = clean_text(_docs(spark, sf_dir).select(F.col("doc_id").alias("post_id"), "text"),
                      dictionary=dictionary, lemma_vocab=dictionary.select("term"),
                      lemma_exceptions=lemma_exceptions(spark))
     return out.select(F.col("post_id").alias("doc_id"), "clean", F.size("tokens").alias("n_tokens"))
