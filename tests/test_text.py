@@ -65,3 +65,14 @@ def test_frequency_dictionary_and_full_clean(spark):
     got = {r.post_id: r.clean for r in out.collect()}
     # gaol -> goal (one transposition); goals -> goal (distance 1); boxes -> box (lemma rule xes)
     assert got == {0: "goal goal goal", 1: "goal box", 2: ""}
+
+
+def test_stop_table_inline_and_anti_join_agree(spark):
+    from tidemark.operators.text import remove_stopwords
+    posts = spark.createDataFrame([(0, "the goal and the match"), (1, "the"), (2, None)],
+                                  "post_id long, text string")
+    stop = spark.createDataFrame([("the",), ("and",)], "token string")
+    base = with_tokens(posts, stop_words=None)
+    a = {r.post_id: r.tokens for r in remove_stopwords(base, stop).collect()}
+    b = {r.post_id: r.tokens for r in remove_stopwords(base, stop, inline_limit=0).collect()}
+    assert a == b == {0: ["goal", "match"], 1: [], 2: []}

@@ -21,18 +21,57 @@ from tidemark.functions.text import (
     tokenize,
 )
 from tidemark.operators.lemma import lemmatize_tokens
-from tidemark.operators.lookup import DEFAULT_BROADCAST_ROWS, join_lookup
+from tidemark.operators.lookup import (
+    DEFAULT_BROADCAST_ROWS,
+    DEFAULT_INLINE_KEYS,
+    bounded_count,
+    join_lookup,
+)
 from tidemark.operators.spelling import correct_tokens
 from tidemark.sources.io import materialize
 
 
 def with_tokens(posts: DataFrame, text_col: str = "text", out_col: str = "tokens",
-                stop_words: Iterable[str] | None = ENGLISH_STOP_WORDS) -> DataFrame:
-    """Regex-clean and split ``text_col`` into ``out_col``; drop stop words."""
-    toks = tokenize(clean_regex(text_col))
+                stop_words: Iterable[str] | DataFrame | None = ENGLISH_STOP_WORDS,
+                key_col: str = "post_id") -> DataFrame:
+    """Regex-clean and split ``text_col`` into ``out_col``; drop stop words.
+
+    ``stop_words`` may be a list or a one-column DataFrame (see
+    ``remove_stopwords``).
+    """
+    df = posts.withColumn(out_col, tokenize(clean_regex(text_col)))
+    if isinstance(stop_words, DataFrame):
+        return remove_stopwords(df, stop_words, out_col, key_col)
     if stop_words is not None:
-        toks = remove_stopwords_col(toks, stop_words)
-    return posts.withColumn(out_col, toks)
+        df = df.withColumn(out_col, remove_stopwords_col(out_col, stop_words))
+    return df
+
+
+def remove_stopwords(df: DataFrame, stop_df: DataFrame, tokens_col: str = "tokens",
+                     key_col: str = "post_id",
+                     inline_limit: int = DEFAULT_INLINE_KEYS) -> DataFrame:
+    """Drop the tokens listed in ``stop_df`` (J4), order kept.
+
+    A stop table within ``inline_limit`` rows (counted first) becomes a
+    literal hash set in the projection. A larger one is an anti join of the
+    exploded tokens, re-assembled in position order per post.
+    """
+    words = stop_df.select(F.col(stop_df.columns[0]).alias("token")).distinct()
+    if bounded_count(words, inline_limit) is not None:
+        return df.withColumn(tokens_col, remove_stopwords_col(
+            tokens_col, [r.token for r in words.collect()]))
+    drop_map = words.withColumn("out", F.lit(None).cast("string"))
+    carry = [c for c in df.columns if c != tokens_col]
+    ex = df.select(*carry, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    kept = (ex.join(drop_map.select("token").hint("shuffle_merge"), "token", "left_anti")
+              .groupBy(*carry)
+              .agg(F.array_sort(F.collect_list(
+                  F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("__t")))
+    # posts whose every token was a stop word vanish from the anti join
+    empty = (df.join(kept.select(key_col), key_col, "left_anti")
+               .select(*carry, F.array().cast("array<string>").alias(tokens_col)))
+    return (kept.select(*carry, F.transform("__t", lambda s: s["token"]).alias(tokens_col))
+                .unionByName(empty))
 
 
 def explode_tokens(df: DataFrame, keys: Iterable[str], tokens_col: str = "tokens",

@@ -199,3 +199,18 @@ def q_clean_text_full(spark, sf_dir):
                      dictionary=dictionary, lemma_vocab=dictionary.select("term"),
                      lemma_exceptions=lemma_exceptions(spark))
     return out.select(F.col("post_id").alias("doc_id"), "clean", F.size("tokens").alias("n_tokens"))
+
+
+@query("stopword_filter_antijoin", sql=f"""
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS clean
+FROM (SELECT doc_id, {S.drop_stop(S.tokens(S.clean('text')))} AS t FROM documents)""",
+       note="stop list given as a table, applied by an anti join (the path for large stop tables)")
+def q_stopword_filter_antijoin(spark, sf_dir):
+    from tidemark.functions.fixed import ENGLISH_STOP_WORDS
+    from tidemark.operators.text import remove_stopwords
+
+    stop = spark.createDataFrame([(w,) for w in ENGLISH_STOP_WORDS], "token string")
+    docs = with_tokens(_docs(spark, sf_dir).select("doc_id", "text"), stop_words=None)
+    out = remove_stopwords(docs.drop("text"), stop, key_col="doc_id", inline_limit=0)
+    return out.select("doc_id", F.size("tokens").alias("n_tokens"),
+                      join_tokens("tokens").alias("clean"))
