@@ -16,7 +16,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import join_lookup
 from tidemark.session import checkpoint_dir
 
 PERIOD_KEYS = ("match_id", "period_id", "id")
@@ -207,8 +206,8 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
     one row to the driver) - no unpartitioned window, no cross join.
     ``by=cols``: maximum per group - a group-by (partial aggregation) joined
     back on the group keys; the group table (one row per group) is
-    broadcast behind a counted bound, else joined sort-merge with AQE
-    splitting a hot group.
+    broadcast by AQE from its measured size, else joined sort-merge with a
+    hot group split.
     Division by a 0 maximum gives NULL (``try_divide``).
     """
     out_col = out_col or col
@@ -219,7 +218,11 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
         return df.withColumn(out_col, F.try_divide(F.col(col).cast("double"), m))
     by = [by] if isinstance(by, str) else list(by)
     maxima = df.groupBy(*by).agg(F.max(src).alias("__max"))
-    return (join_lookup(df, maxima, by, "left")
+    # No count first (it would scan the input twice): the group table's
+    # estimate is not understated (no explode), so AQE decides from the
+    # measured shuffle size - broadcast when small, else sort-merge with
+    # a hot group split by the skew-join rule.
+    return (df.join(maxima, on=by, how="left")
               .withColumn(out_col, F.try_divide(F.col(col).cast("double"), F.col("__max")))
               .drop("__max"))
 
