@@ -25,6 +25,7 @@ from tidemark.functions.text import clean_regex, tokenize
 from tidemark.operators.periods import global_row_index
 from tidemark.operators.text import frequency_dictionary, with_tokens
 from tidemark.sources.adapters import read_table
+from tidemark.sources.io import materialize
 
 DICT_MIN_COUNT = 10
 
@@ -35,8 +36,10 @@ def english_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corpus_dictionary(spark: SparkSession, sf_dir: str,
                       min_count: int = DICT_MIN_COUNT) -> DataFrame:
+    """Written once (one row per term): it is read by several branches of
+    the spelling and lemma plans, each of which would re-clean the text."""
     docs = with_tokens(english_documents(spark, sf_dir), stop_words=None)
-    return frequency_dictionary(docs, "tokens", min_count)
+    return materialize(frequency_dictionary(docs, "tokens", min_count), "dictionary")
 
 
 def corpus_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
