@@ -44,8 +44,13 @@ class RandomFourierFeatures(Estimator, _RFFParams):
         if self.isDefined(self.gamma) and self.isSet(self.gamma):
             gamma = self.getOrDefault(self.gamma)
         else:
-            var = (df.select(F.explode(arr).alias("x"))
-                     .agg(F.var_pop("x")).first()[0]) or 0.0
+            # Variance over all feature values from per-row sums (no explode).
+            s1 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+            s2 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
+            r = df.agg(F.sum(s1).alias("s1"), F.sum(s2).alias("s2"),
+                       F.sum(F.size(arr)).alias("n")).first()
+            n = float(r["n"] or 0)
+            var = (r["s2"] / n - (r["s1"] / n) ** 2) if n else 0.0
             gamma = 1.0 / (d * var) if var > 0 else 1.0
         rng = np.random.default_rng(self.getSeed())
         D = self.getOrDefault(self.numFeatures)

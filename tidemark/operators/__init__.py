@@ -23,7 +23,6 @@ from tidemark.operators.sentiment import sentiment_score
 from tidemark.operators.spelling import correct_tokens
 from tidemark.operators.split import (
     positional_split,
-    run_table,
     sample_groups,
     split_by_group,
 )
@@ -40,5 +39,5 @@ __all__ = [
     "clean_text", "with_tokens", "vocabulary", "frequency_dictionary",
     "correct_tokens", "lemmatize_tokens", "sentiment_score",
     "post_vectors", "mean_word_vector", "period_mean_vector", "encode_text",
-    "split_by_group", "sample_groups", "run_table", "positional_split",
+    "split_by_group", "sample_groups", "positional_split",
 ]

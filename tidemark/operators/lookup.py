@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 # Rows allowed in a broadcast lookup table (short keys: tens of MB).
 DEFAULT_BROADCAST_ROWS = 1_000_000
-# Keys allowed as literal sets in a plan, and distinct values among them.
-DEFAULT_INLINE_KEYS = 200_000
+# Keys allowed as literal sets in a plan (shipped with every task), and
+# distinct values among them.
+DEFAULT_INLINE_KEYS = 50_000
 DEFAULT_INLINE_VALUES = 200
 
 
@@ -29,13 +30,6 @@ def bounded_count(table: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def broadcast_if_bounded(table: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a counted bound; otherwise the plain table
-    (AQE may still broadcast it from runtime statistics, or shuffle it with
-    skew splitting)."""
-    return F.broadcast(table) if bounded_count(table, limit) is not None else table
-
-
 def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
                 limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join a large (often exploded) table with a lookup table.

@@ -12,8 +12,6 @@ without re-scoring files; every file's posts land in one micro-batch
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,12 +39,18 @@ def start_scoring_stream(spark: SparkSession, in_path: str, out_path: str, model
         # post_id must be unique inside a batch; (file, timestamp, row hash) is
         # stable if the batch is replayed after a failure.
         posts = batch.withColumn("post_id", F.xxhash64("source_file", "ts", "text", "id"))
-        feats = build_features(posts, config, res, scale_by="source_file", label_col=None)
-        data = assemble(feats, config, label_col="__none__")
-        pred = model.transform(data).select(
-            F.col("id").alias("ID"), F.col("prediction").alias("EventType"),
-            F.lit(batch_id).alias("batch_id"))
-        pred.write.mode("append").option("header", True).csv(os.path.join(out_path))
+        held: list[DataFrame] = []
+        try:
+            feats = build_features(posts, config, res, scale_by="source_file", label_col=None,
+                                   persisted=held)
+            data = assemble(feats, config, label_col="__none__")
+            pred = model.transform(data).select(
+                F.col("id").alias("ID"), F.col("prediction").alias("EventType"),
+                F.lit(batch_id).alias("batch_id"))
+            pred.write.mode("append").option("header", True).csv(out_path)
+        finally:
+            for frame in held:          # release this batch's cached frames
+                frame.unpersist()
 
     writer = (_posts_stream(spark, in_path, max_files).writeStream
               .foreachBatch(score_batch).option("checkpointLocation", checkpoint))
