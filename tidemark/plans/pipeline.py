@@ -60,3 +60,48 @@ def flagship(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment",
     pred = score(model, feats, config)
     labelled = feats.select("id", F.col("event_type").isNotNull().alias("labelled"))
     return pred.join(labelled, "id")
+
+
+def main_program_estimator(preset: str = "reference", key_cols=("id",)):
+    """The original main program's model: bagging (10 replicas) of a stack
+    of rf170, xgb170 and lr with an LR meta learner on 3 folds."""
+    from tidemark.learn.ensemble import BaggingEstimator, StackingEstimator
+    from tidemark.learn.estimators import PRESETS, base_learners
+
+    p = PRESETS[preset]
+
+    def make(weight_col):
+        bl = base_learners(preset, weight_col)
+        return StackingEstimator({k: bl[k] for k in ("rf170", "xgb170", "lr")},
+                                 logistic(p["lr_iter"] if preset == "small" else 100,
+                                          weight_col=weight_col),
+                                 num_folds=p["folds"], key_cols=list(key_cols),
+                                 weight_col=weight_col)
+    return BaggingEstimator(make, num_models=p["bags"], key_cols=list(key_cols))
+
+
+def feature_set_leaderboard(spark: SparkSession, sf_dir: str, configs, test_groups,
+                            preset: str = "small") -> DataFrame:
+    """The sweep of the original scripts: for each feature configuration,
+    fit the model zoo on the periods of the training groups and report
+    accuracy on the held-out groups (``feature_set, model, accuracy``)."""
+    from tidemark.learn.estimators import model_zoo
+    from tidemark.learn.evaluate import leaderboard
+    from tidemark.operators.split import split_by_group
+
+    res = document_resources(spark, sf_dir)
+    res.dictionary = res.lemma_vocab = None          # regex + stop-word cleaning
+    posts = document_posts(spark, sf_dir)
+    zoo = model_zoo(preset)
+    models = {k: zoo[k] for k in ("LR-1000", "RF-170 (10, sqrt)", "XGB-100")}
+    boards = []
+    for config in configs:
+        feats = build_features(posts, config, res, label_agg="max")
+        data = split_by_group(assemble(feats, config).where(F.col("label").isNotNull()),
+                              "match_id", test_groups).persist(StorageLevel.MEMORY_AND_DISK)
+        boards.append(leaderboard(data.where(F.col("split") == "train"),
+                                  data.where(F.col("split") == "test"), models, config))
+    out = boards[0]
+    for b in boards[1:]:
+        out = out.unionByName(b)
+    return out

@@ -134,3 +134,19 @@ def q_predictions_scaled_per_match(spark, sf_dir):
                   logistic(max_iter=100))
     per_match = build_features(posts, "features_only", res, scale_by="match_id", label_agg="max")
     return score(model, per_match.where(F.col("event_type").isNull()), "features_only")
+
+
+@query("predictions_main_program", note="rows-only: bagging of a stack (rf170, xgb170, lr) on "
+       "the volume_sentiment features, small preset")
+def q_predictions_main_program(spark, sf_dir):
+    from tidemark.plans.pipeline import main_program_estimator
+    return flagship(spark, sf_dir, estimator=main_program_estimator("small"))
+
+
+@query("leaderboard_feature_sets", note="rows-only: model sweep per feature configuration, "
+       "held out by group")
+def q_leaderboard_feature_sets(spark, sf_dir):
+    from tidemark.plans.pipeline import feature_set_leaderboard
+    from tidemark.plans.q_features import TEST_SOURCES
+    return feature_set_leaderboard(spark, sf_dir, ("features_only", "embedding_only",
+                                                   "volume_sentiment"), TEST_SOURCES)
