@@ -52,7 +52,7 @@ def q_accuracy_of_rule(spark, sf_dir):
 
 @query("bagged_vote", sql=f"""
 SELECT vec_id, round(avg(p), {R}) AS p1, count(*) AS n_models,
-       CASE WHEN avg(p) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction
+       CAST(CASE WHEN avg(p) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction
 FROM (SELECT vec_id, 1.0 / (1.0 + exp(-10.0 * CAST(unnest(embedding[1:10]) AS DOUBLE))) AS p
       FROM embeddings)
 GROUP BY vec_id""")

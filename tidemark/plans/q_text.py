@@ -36,7 +36,7 @@ def q_clean_regex(spark, sf_dir):
 
 
 @query("tokens", sql=f"""
-SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS token
+SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS token
 FROM (SELECT doc_id, {S.tokens(S.clean('text'))} AS t FROM documents)""")
 def q_tokens(spark, sf_dir):
     return _docs(spark, sf_dir).select(
