@@ -76,3 +76,19 @@ def test_oracle_sf0001(spark, name):
         order = sorted(range(len(cols)), key=lambda i: cols[i])
         return sorted((tuple(_norm(r[i]) for i in order) for r in recs), key=repr)
     assert rows(df.collect(), scols) == rows(res.fetchall(), dcols)
+
+
+def test_dictionary_and_term_sources(spark):
+    from tidemark.sources.io import materialize, read_frequency_dictionary, read_terms
+    d = tempfile.mkdtemp(prefix="tidemark-res-")
+    with open(os.path.join(d, "dict.txt"), "w") as f:
+        f.write("the 23135851162\nof 13151942776\ngoal 1200\nbad-line\n")
+    with open(os.path.join(d, "stop.txt"), "w") as f:
+        f.write("the\n  of \n\nthe\n")
+    got = dict(read_frequency_dictionary(spark, os.path.join(d, "dict.txt")).collect())
+    assert got == {"the": 23135851162, "of": 13151942776, "goal": 1200}
+    terms = sorted(r.token for r in read_terms(spark, os.path.join(d, "stop.txt")).collect())
+    assert terms == ["of", "the"]
+    df = spark.createDataFrame([(1, ""), (2, None)], "k long, s string")
+    back = {r.k: r.s for r in materialize(df, "roundtrip").collect()}
+    assert back == {1: "", 2: None}      # parquet keeps '' apart from NULL
