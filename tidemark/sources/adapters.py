@@ -35,8 +35,10 @@ def event_posts(spark: SparkSession, sf_dir: str, grouping: str = "type_hour") -
     ``event_id``.
     """
     ev = read_table(spark, sf_dir, "events")
-    micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
-        F.lit(EVENTS_EPOCH).cast("timestamp"))
+    # Wall-clock difference in the column's own type: no session time zone
+    # enters for timestamp_ntz, so buckets do not move with the session.
+    ts_type = ev.schema["ts"].dataType.simpleString()
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EVENTS_EPOCH).cast(ts_type), F.col("ts"))
     if grouping == "type_hour":
         match, unit = F.col("event_type"), _US_PER_HOUR
     elif grouping == "user_day":
