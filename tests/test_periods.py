@@ -115,3 +115,15 @@ def test_index_method_equals_window(spark):
     a = period_change(vol, "n_posts", method="window").collect()
     b = period_change(vol, "n_posts", method="index").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_constant_label_check(spark):
+    import pytest
+    ok = spark.createDataFrame([("m", 0, "m:0", 0, 1.0), ("m", 0, "m:0", 1, 1.0),
+                                ("m", 1, "m:1", 2, 0.0)],
+                               "match_id string, period_id long, id string, post_id long, event_type double")
+    out = {r.period_id: r.event_type for r in aggregate_periods(ok, label_agg="constant").collect()}
+    assert out == {0: 1.0, 1: 0.0}
+    mixed = ok.union(spark.createDataFrame([("m", 1, "m:1", 3, 1.0)], ok.schema))
+    with pytest.raises(ValueError, match="1 periods"):
+        aggregate_periods(mixed, label_agg="constant")

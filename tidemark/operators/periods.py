@@ -43,7 +43,9 @@ def aggregate_periods(posts: DataFrame,
       computed by ``Summarizer`` - a JVM aggregate with partial aggregation.
     * ``std_<c>``: sample standard deviation, NULL for one-post periods (A3).
     * ``max_<c>``: per-period maximum (feeds global max scaling).
-    * label: ``mean`` (the original averaging) or ``max``.
+    * label: ``mean`` (the original averaging), ``max``, or ``constant``
+      (the label must not vary inside a period; checked, see
+      ``assert_constant_label``).
     """
     aggs = [F.count(F.lit(1)).alias("n_posts")]
     for c in scalar_cols:
@@ -60,14 +62,31 @@ def aggregate_periods(posts: DataFrame,
             aggs.append(F.avg(lab).alias(label_col))
         elif label_agg == "max":
             aggs.append(F.max(lab).alias(label_col))
+        elif label_agg == "constant":
+            aggs.append(F.min(lab).alias(label_col))
+            aggs.append(F.max(lab).alias("__label_max"))
         else:
-            raise ValueError(f"label_agg must be 'mean' or 'max', got {label_agg!r}")
+            raise ValueError(f"label_agg must be 'mean', 'max' or 'constant', got {label_agg!r}")
     out = posts.groupBy(*keys).agg(*aggs)
+    if label_col and label_agg == "constant":
+        out = assert_constant_label(out, label_col)
     for v in vector_cols:
         out = out.withColumn(v, vector_to_array(F.col(f"__vec_{v}"), "float64")).drop(f"__vec_{v}")
     return out
 
 
+def assert_constant_label(periods: DataFrame, label_col: str = "event_type") -> DataFrame:
+    """Fail if any period mixes labels (its min and max differ).
+
+    One aggregate over the period table counts offending periods; only that
+    number reaches the driver. Returns the periods without the helper column.
+    """
+    bad = periods.where(F.col(label_col) != F.col("__label_max")).count()
+    if bad:
+        raise ValueError(f"{bad} periods have more than one {label_col} value")
+    return periods.drop("__label_max")
+
+
 def period_volume(posts: DataFrame, keys: Sequence[str] = PERIOD_KEYS) -> DataFrame:
     return posts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_posts"))
 
