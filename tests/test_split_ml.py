@@ -91,3 +91,16 @@ def test_bagged_vote(spark):
                               "k long, p double")
     out = {r.k: (round(r.p1, 6), r.prediction) for r in bagged_vote(s, ["k"], "p").collect()}
     assert out == {1: (0.6, 1.0), 2: (0.3, 0.0), 3: (0.5, 0.0)}
+
+
+def test_parallel_fits_equal_serial(spark):
+    df = _separable(spark, n=200, seed=2)
+    train, test = df.where(F.col("id") % 4 != 0), df.where(F.col("id") % 4 == 0)
+
+    def preds(par):
+        bl = base_learners("small")
+        est = StackingEstimator({k: bl[k] for k in ("rf170", "lr")}, logistic(50), num_folds=2,
+                                key_cols=["id"], parallelism=par)
+        out = est.fit(train).transform(test)
+        return sorted((r.id, r.prediction, round(float(r.probability[1]), 9)) for r in out.collect())
+    assert preds(1) == preds(4)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,17 @@ from tidemark.functions.fixed import SEED
 from tidemark.learn.evaluate import score_column
 
 _MANTISSA = (1 << 53) - 1
+# Independent fits submitted together from driver threads (Spark runs their
+# jobs concurrently, as CrossValidator(parallelism=) does).
+DEFAULT_PARALLELISM = 4
+
+
+def fit_all(jobs: list[tuple], parallelism: int = DEFAULT_PARALLELISM) -> list:
+    """Fit ``(estimator, frame)`` pairs; results in input order."""
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [est.fit(df) for est, df in jobs]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(jobs))) as pool:
+        return list(pool.map(lambda job: job[0].fit(job[1]), jobs))
 
 
 def hash_uniform(cols: Sequence[str], *salt) -> Column:
@@ -63,10 +75,11 @@ class StackingModel:
 class StackingEstimator:
     def __init__(self, bases: dict, meta, num_folds: int = 3, seed: int = SEED,
                  key_cols: Sequence[str] = ("id",), fold_by: str | None = None,
-                 weight_col: str | None = None):
+                 weight_col: str | None = None, parallelism: int = DEFAULT_PARALLELISM):
         self.bases, self.meta = bases, meta
         self.num_folds, self.seed = num_folds, seed
         self.key_cols, self.fold_by, self.weight_col = list(key_cols), fold_by, weight_col
+        self.parallelism = parallelism
 
     def fold_column(self) -> Column:
         cols = [self.fold_by] if self.fold_by else self.key_cols
@@ -76,12 +89,16 @@ class StackingEstimator:
     def fit(self, df: DataFrame) -> StackingModel:
         names = list(self.bases)
         data = df.withColumn("__fold", self.fold_column())
+        # every (fold, base) fit and every full refit is independent
+        jobs = [(self.bases[n], data.where(F.col("__fold") != f))
+                for f in range(self.num_folds) for n in names]
+        jobs += [(self.bases[n], df) for n in names]
+        models = fit_all(jobs, self.parallelism)
         held_parts = []
         for f in range(self.num_folds):
-            train = data.where(F.col("__fold") != f)
             held = data.where(F.col("__fold") == f)
-            for name in names:
-                held = score_column(self.bases[name].fit(train), held, f"__p_{name}")
+            for i, name in enumerate(names):
+                held = score_column(models[f * len(names) + i], held, f"__p_{name}")
             held_parts.append(held)
         oof = held_parts[0]
         for part in held_parts[1:]:
@@ -90,8 +107,8 @@ class StackingEstimator:
                               outputCol="__meta").transform(oof)
         meta = self.meta.copy({self.meta.getParam("featuresCol"): "__meta"})
         meta_model = meta.fit(oof)
-        fitted = {name: self.bases[name].fit(df) for name in names}
-        return StackingModel(fitted, meta_model, names)
+        refits = models[self.num_folds * len(names):]
+        return StackingModel(dict(zip(names, refits)), meta_model, names)
 
 
 class BaggingModel:
@@ -112,17 +129,21 @@ class BaggingEstimator:
     """``make_base(weight_col)`` builds a fresh base estimator using that weight column."""
 
     def __init__(self, make_base: Callable, num_models: int = 10, seed: int = SEED,
-                 key_cols: Sequence[str] = ("id",)):
+                 key_cols: Sequence[str] = ("id",), parallelism: int = DEFAULT_PARALLELISM):
         self.make_base, self.num_models = make_base, num_models
         self.seed, self.key_cols = seed, list(key_cols)
+        self.parallelism = parallelism
 
     def fit(self, df: DataFrame) -> BaggingModel:
-        models = []
+        jobs = []
         for r in range(self.num_models):
             w = poisson_weight(self.key_cols, r, self.seed)
-            sample = df.withColumn("__bw", w).where(F.col("__bw") > 0)
-            models.append(self.make_base("__bw").fit(sample))
-        return BaggingModel(models)
+            jobs.append((self.make_base("__bw"), df.withColumn("__bw", w).where(F.col("__bw") > 0)))
+        # replicas in parallel; each stack inside fits its own bases serially
+        for est, _ in jobs:
+            if isinstance(est, StackingEstimator):
+                est.parallelism = 1
+        return BaggingModel(fit_all(jobs, self.parallelism))
 
 
 def bagged_vote(scored: DataFrame, key_cols: Sequence[str], score_col: str = "p1",
