@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import q_features, q_models, q_periods, q_text, q_vectors  # noqa: F401
-from tidemark.plans.pipeline import flagship as _flagship
+from tidemark.plans.training import flagship as _flagship
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tidemark.functions.fixed import SEED
 from tidemark.learn.ensemble import BaggingEstimator, StackingEstimator, bagged_vote
 from tidemark.learn.estimators import base_learners, gbt, logistic, model_zoo, random_forest, rff_svc
 from tidemark.learn.evaluate import accuracy, leaderboard
-from tidemark.plans.pipeline import flagship
+from tidemark.plans.training import flagship
 from tidemark.plans.registry import query
 from tidemark.sources.adapters import read_table
 
@@ -124,7 +124,7 @@ def q_predictions_flagship(spark, sf_dir):
        "unlabelled periods with maxima per match (per file), as the original scoring loop")
 def q_predictions_scaled_per_match(spark, sf_dir):
     from tidemark.plans.features import Resources, build_features
-    from tidemark.plans.pipeline import score, train
+    from tidemark.plans.training import score, train
     from tidemark.plans.resources import benchmark_lexicon
     from tidemark.sources.adapters import document_posts
 
@@ -139,14 +139,14 @@ def q_predictions_scaled_per_match(spark, sf_dir):
 @query("predictions_main_program", note="rows-only: bagging of a stack (rf170, xgb170, lr) on "
        "the volume_sentiment features, small preset")
 def q_predictions_main_program(spark, sf_dir):
-    from tidemark.plans.pipeline import main_program_estimator
+    from tidemark.plans.training import main_program_estimator
     return flagship(spark, sf_dir, estimator=main_program_estimator("small"))
 
 
 @query("leaderboard_feature_sets", note="rows-only: model sweep per feature configuration, "
        "held out by group")
 def q_leaderboard_feature_sets(spark, sf_dir):
-    from tidemark.plans.pipeline import feature_set_leaderboard
+    from tidemark.plans.training import feature_set_leaderboard
     from tidemark.plans.q_features import TEST_SOURCES
     return feature_set_leaderboard(spark, sf_dir, ("features_only", "embedding_only",
                                                    "volume_sentiment"), TEST_SOURCES)
