@@ -76,3 +76,12 @@ def test_stop_table_inline_and_anti_join_agree(spark):
     a = {r.post_id: r.tokens for r in remove_stopwords(base, stop).collect()}
     b = {r.post_id: r.tokens for r in remove_stopwords(base, stop, inline_limit=0).collect()}
     assert a == b == {0: ["goal", "match"], 1: [], 2: []}
+
+
+def test_full_clean_keeps_duplicate_texts_apart(spark):
+    posts = spark.createDataFrame([(0, "m", "gaol gaol"), (1, "m", "gaol gaol"), (2, "n", "")],
+                                  "post_id long, match_id string, text string")
+    dictionary = spark.createDataFrame([("goal", 10)], "term string, cnt long")
+    out = sorted((r.post_id, r.match_id, r.clean)
+                 for r in clean_text(posts, dictionary=dictionary).collect())
+    assert out == [(0, "m", "goal goal"), (1, "m", "goal goal"), (2, "n", "")]

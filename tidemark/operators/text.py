@@ -122,24 +122,26 @@ def apply_token_mapping(df: DataFrame, mapping: DataFrame, tokens_col: str = "to
                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Replace the tokens of ``tokens_col`` by ``mapping`` (token, out).
 
-    Only changed tokens are applied. Tokens are exploded with their position,
-    joined on token - broadcast when the changed set is counted within
-    ``broadcast_rows``, else a shuffle join where AQE splits hot tokens - and
-    re-assembled in position order by one group-by that carries the post's
-    other columns (no join back to the posts). Posts without tokens survive
-    via ``posexplode_outer``. Columns in ``drop`` (raw text) are not carried.
+    Only changed tokens are applied. Narrow token rows ``(key, pos, token)``
+    are exploded, joined on token (broadcast when the changed set is counted
+    within ``broadcast_rows``, else sort-merge where AQE splits hot tokens)
+    and re-assembled per post in position order; the post's other columns
+    are joined back on ``key_col`` (unique, so no skew) rather than carried
+    on every token row. Posts without tokens survive via
+    ``posexplode_outer``. Columns in ``drop`` (raw text) are not kept.
     """
     changed = mapping.where(F.col("out") != F.col("token"))
-    carry = [c for c in df.columns if c != tokens_col and c not in set(drop)]
-    if key_col not in carry:
+    if key_col not in df.columns:
         raise ValueError(f"{key_col} must be a column of df")
-    ex = df.select(*carry, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    ex = df.select(key_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
     fixed = (join_lookup(ex, changed, "token", "left", broadcast_rows)
                .withColumn("token", F.coalesce("out", "token"))
-               .groupBy(*carry)
+               .groupBy(key_col)
                .agg(F.array_sort(F.collect_list(
                    F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("__toks")))
-    return fixed.select(*carry, F.transform("__toks", lambda s: s["token"]).alias(tokens_col))
+    fixed = fixed.select(key_col, F.transform("__toks", lambda s: s["token"]).alias(tokens_col))
+    rest = df.drop(tokens_col, *[c for c in drop if c in df.columns])
+    return rest.join(fixed, key_col)
 
 
 def clean_text(posts: DataFrame, text_col: str = "text", out_col: str = "clean",
