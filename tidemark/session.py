@@ -73,7 +73,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidemark`` importable in Python workers (pandas UDFs unpickle
     functions by module): zip the package once per SparkContext and add it
-    with ``addPyFile``, which distributes it to every executor."""
+    with ``addPyFile``, which distributes it to every executor - what
+    ``spark-submit --py-files`` does. The zip is a code artifact on the
+    driver served by Spark's file server; no data lives there."""
     import zipfile
 
     sc = spark.sparkContext
