@@ -20,7 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5          # of all words, to share out
 MAX_REPEAT = 2.0     # a source gives its words at most so often
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
