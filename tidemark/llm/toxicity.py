@@ -207,6 +207,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     cut = F.when(F.col("y") == 1, int(share[1] * (1 << 20))).otherwise(int(share[0] * (1 << 20)))
     y = y.where((fold_col(id_col, 4) != 2) & (F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < cut))
     return (docs.select(F.col(id_col), F.col(text_col).alias("text")).join(y, id_col)
+            .withColumn("copy", F.xxhash64("text")).dropDuplicates(["copy", "y"])   # copies teach once
             .select("text", "y", F.when(F.col("y") == 1, 1 / max(share[1], 1e-9)).otherwise(
                 1 / max(share[0], 1e-9)).alias("w")))
 
@@ -241,7 +242,7 @@ def learn_stems(rows: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, float]
     n = rows.groupBy().agg(F.sum("y"), F.sum(1 - F.col("y"))).collect()[0]
     n_toxic, n_clean = max(1, n[0] or 0), max(1, n[1] or 0)
     odds = F.log((F.col("t") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
-    least = max(3, n_toxic // 200)
+    least = max(4, n_toxic // 100)
     best = (counted.where((F.col("t") >= least) & (odds >= 4.0)).withColumn("odds", odds)
             .orderBy(F.length("stem"), "stem").limit(max_stems * 10).collect())
     stems: dict[str, float] = {}
