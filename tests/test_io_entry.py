@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.registry import QUERIES
 from tidemark.sources.io import read_posts, read_word_vectors, write_predictions
 
 SF = "/root/testdata/sf0.001"
@@ -31,12 +32,54 @@ def test_csv_scan_quoted_multiline_and_file_name(spark):
     assert back.columns == ["ID", "EventType"] and back.count() == 3
 
 
+def _csv(d, name, header, *rows):
+    with open(os.path.join(d, name), "w") as f:
+        f.write("\n".join([header, *rows]) + "\n")
+
+
+def test_files_to_score_and_other_column_orders(spark):
+    d = tempfile.mkdtemp(prefix="tidemark-csv-")
+    _csv(d, "Train.csv", "ID,MatchID,PeriodID,EventType,Timestamp,Tweet", "1_0,1,0,1.0,100,hello", "1_1,1,1,0.0,101,x")
+    _csv(d, "Eval.csv", "ID,MatchID,PeriodID,Timestamp,Tweet", "2_0,2,0,1404575400000,\"two\nlines\"")
+    _csv(d, "Mixed.csv", "Tweet,Timestamp,Extra,PeriodID,MatchID,ID", "bye,7,zz,5,3,3_5")
+    got = {r.id: r for r in read_posts(spark, d).collect()}
+    assert len(got) == 4 and len({r.post_id for r in got.values()}) == 4
+    assert got["1_0"].event_type == 1.0 and got["2_0"].event_type is None
+    assert (got["2_0"].ts, got["2_0"].text, got["2_0"].period_id) == (1404575400000, "two\nlines", 0)
+    assert (got["3_5"].text, got["3_5"].ts, got["3_5"].match_id, got["3_5"].period_id) == ("bye", 7, "3", 5)
+    assert got["3_5"].source_file == "Mixed.csv" and "Extra" not in got["3_5"].asDict()
+    only = tempfile.mkdtemp(prefix="tidemark-csv-")
+    _csv(only, "Eval.csv", "ID,MatchID,PeriodID,Timestamp,Tweet", "2_0,2,0,1,a", "2_0,2,0,2,b")
+    assert sorted(r.text for r in read_posts(spark, only, multi_line=False).collect()) == ["a", "b"]
+
+
+def test_lemma_and_lexicon_sources(spark):
+    from tidemark.sources.io import read_lemmas, read_lexicon
+    d = tempfile.mkdtemp(prefix="tidemark-res-")
+    _csv(d, "lemmas.txt", "geese goose", "feet\tfoot", "", "odd")
+    _csv(d, "lexicon.txt", "good\t1.9\t0.5\t[1, 2]", "bad -2.5", "broken x", "")
+    assert sorted(read_lemmas(spark, os.path.join(d, "lemmas.txt")).collect()) == [("feet", "foot"), ("geese", "goose")]
+    assert sorted(read_lexicon(spark, os.path.join(d, "lexicon.txt")).collect()) == [("bad", -2.5), ("good", 1.9)]
+
+
+def test_sorted_predictions(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="tidemark-out-"), "p")
+    df = spark.createDataFrame([(f"{i:03d}", float(i % 2)) for i in range(200)], "id string, event_type double")
+    write_predictions(df.repartition(7), d, sort=True)
+    ids = []
+    for f in sorted(x for x in os.listdir(d) if x.startswith("part-")):
+        with open(os.path.join(d, f)) as fh:
+            ids += [line.split(",")[0] for line in fh.read().splitlines()[1:]]
+    assert ids == sorted(ids) and len(ids) == 200
+
+
 def test_word_vector_text_source(spark):
     d = tempfile.mkdtemp(prefix="tidemark-vec-")
     p = os.path.join(d, "v.txt")
     with open(p, "w") as f:
-        f.write("goal 0.1 0.2\nmatch -1 2.5\n")
-    got = {r.word: r.vec for r in read_word_vectors(spark, p, dim=2).collect()}
+        f.write("goal 0.1 0.2\nmatch -1 2.5\nodd 1\n")
+    with pytest.warns(UserWarning, match="1 lines"):
+        got = {r.word: r.vec for r in read_word_vectors(spark, p, dim=2).collect()}
     assert got == {"goal": [0.1, 0.2], "match": [-1.0, 2.5]}
 
 
@@ -61,7 +104,7 @@ def _norm(v):
     return v
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n, q in QUERIES.items() if q.sql))
 def test_oracle_sf0001(spark, name):
     con = duckdb.connect()
     for t in TABLES:

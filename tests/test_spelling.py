@@ -50,7 +50,7 @@ def test_blocked_join_equals_brute_force(spark):
 
 def test_delete_keys_count(spark):
     df = spark.createDataFrame([("abcdefghij",), ("ab",)], "w string")
-    keys = [set(r[0]) for r in df.select(delete_keys("w")).collect()]
+    keys = [set(r[0]) for r in df.select(delete_keys("w", prefix_length=7)).collect()]
     assert len(keys[0]) == 1 + 7 + 21           # prefix of 7, distinct letters
     assert keys[1] == {"ab", "a", "b", ""}
 

@@ -5,6 +5,6 @@ Posts (short texts tagged with a group ``match_id`` and a time slice
 features, aggregated to one row per period and scored with pyspark.ml.
 """
 
-from tidemark.session import checkpoint_dir, get_session
+from tidemark.session import checkpoint_dir, get_session, release
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session", "checkpoint_dir", "release"]

@@ -1,4 +1,5 @@
-"""Text Column expressions. All run inside whole-stage codegen (no UDFs).
+"""Text Column expressions. All run in the JVM (no UDFs); the regexes inside whole-stage
+codegen, the array lambdas (filter, transform, aggregate) interpreted in the same projection.
 
 The original program cleans text with Python's Unicode-aware ``re``:
 lower-case, delete ``[^\\w\\s]``, delete ``\\d+``, split on whitespace. Java's
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import ENGLISH_STOP_WORDS, KEY_PHRASES
@@ -71,3 +72,16 @@ def normalise_sentiment(total: str | Column, alpha: float, decimals: int) -> Col
     """Compound score s / sqrt(s^2 + alpha), rounded; 0 when s is NULL."""
     s = F.coalesce(_col(total).cast("double"), F.lit(0.0))
     return F.round(s / F.sqrt(s * s + F.lit(alpha)), decimals)
+
+
+def token_rows(df: DataFrame, keys: Iterable[str], tokens_col: str = "tokens", out: str = "token",
+               pos: str | None = None) -> DataFrame:
+    """A row ``keys..., [pos,] out`` for each token.
+
+    The outer explode with the NULLs dropped afterwards: for a plain explode
+    the optimizer adds a filter on the array's size below the projection, and
+    with it a second evaluation of the expressions that make the tokens.
+    """
+    names = [pos, out] if pos else [out]
+    made = (F.posexplode_outer if pos else F.explode_outer)(tokens_col)
+    return df.select(*keys, made.alias(*names)).where(F.col(out).isNotNull())

@@ -16,15 +16,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import SEED
+from tidemark.functions.hashing import seeded_hash, seeded_uniform
 from tidemark.learn.evaluate import score_column
 
-_MANTISSA = (1 << 53) - 1
 # Independent fits submitted together from driver threads (Spark runs their
 # jobs concurrently, as CrossValidator(parallelism=) does).
 DEFAULT_PARALLELISM = 4
@@ -38,15 +40,23 @@ def fit_all(jobs: list[tuple], parallelism: int = DEFAULT_PARALLELISM) -> list:
         return list(pool.map(lambda job: job[0].fit(job[1]), jobs))
 
 
-def hash_uniform(cols: Sequence[str], *salt) -> Column:
-    """Deterministic U[0,1) per row from a seeded 64-bit hash."""
-    h = F.xxhash64(*[F.col(c) for c in cols], *[F.lit(s) for s in salt])
-    return (h.bitwiseAND(F.lit(_MANTISSA))).cast("double") / float(1 << 53)
+@contextmanager
+def kept(df: DataFrame):
+    """``df`` persisted for the fits inside (unless it is already)."""
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def poisson_weight(cols: Sequence[str], replica: int, seed: int, max_k: int = 12) -> Column:
-    """Poisson(1) count by inverse CDF of a hash uniform."""
-    u = hash_uniform(cols, replica, seed)
+    """Poisson(1) count by inverse CDF of a hash uniform; counts above ``max_k`` (probability below
+    1e-10) are ``max_k``."""
+    u = seeded_uniform(list(cols), replica, seed)
     cdf, term, k = 0.0, math.exp(-1.0), F.lit(0)
     for j in range(max_k):
         cdf += term
@@ -55,6 +65,11 @@ def poisson_weight(cols: Sequence[str], replica: int, seed: int, max_k: int = 12
     return k.cast("double")
 
 
+def fold_of(cols: Sequence[str], num_folds: int, seed: int) -> Column:
+    """The fold of a row, from a seeded hash of its key (or of a group column)."""
+    return (seeded_hash(list(cols), seed) % num_folds).cast("int")
+
+
 class StackingModel:
     def __init__(self, bases: dict, meta, names: list[str]):
         self.bases, self.meta, self.names = bases, meta, names
@@ -83,17 +98,20 @@ class StackingEstimator:
 
     def fold_column(self) -> Column:
         cols = [self.fold_by] if self.fold_by else self.key_cols
-        h = F.xxhash64(*[F.col(c) for c in cols], F.lit(self.seed))
-        return F.pmod(h, F.lit(self.num_folds)).cast("int")
+        return fold_of(cols, self.num_folds, self.seed)
 
-    def fit(self, df: DataFrame) -> StackingModel:
+    def base_jobs(self, df: DataFrame) -> list[tuple]:
+        """Every (fold, base) fit and every full refit, all independent."""
         names = list(self.bases)
         data = df.withColumn("__fold", self.fold_column())
-        # every (fold, base) fit and every full refit is independent
         jobs = [(self.bases[n], data.where(F.col("__fold") != f))
                 for f in range(self.num_folds) for n in names]
-        jobs += [(self.bases[n], df) for n in names]
-        models = fit_all(jobs, self.parallelism)
+        return jobs + [(self.bases[n], df) for n in names]
+
+    def from_bases(self, df: DataFrame, models: list) -> StackingModel:
+        """Fit the meta learner on the out-of-fold scores of ``base_jobs``' models."""
+        names = list(self.bases)
+        data = df.withColumn("__fold", self.fold_column())
         held_parts = []
         for f in range(self.num_folds):
             held = data.where(F.col("__fold") == f)
@@ -110,6 +128,10 @@ class StackingEstimator:
         refits = models[self.num_folds * len(names):]
         return StackingModel(dict(zip(names, refits)), meta_model, names)
 
+    def fit(self, df: DataFrame) -> StackingModel:
+        with kept(df) as data:
+            return self.from_bases(data, fit_all(self.base_jobs(data), self.parallelism))
+
 
 class BaggingModel:
     def __init__(self, models: list):
@@ -135,15 +157,24 @@ class BaggingEstimator:
         self.parallelism = parallelism
 
     def fit(self, df: DataFrame) -> BaggingModel:
-        jobs = []
-        for r in range(self.num_models):
-            w = poisson_weight(self.key_cols, r, self.seed)
-            jobs.append((self.make_base("__bw"), df.withColumn("__bw", w).where(F.col("__bw") > 0)))
-        # replicas in parallel; each stack inside fits its own bases serially
-        for est, _ in jobs:
-            if isinstance(est, StackingEstimator):
-                est.parallelism = 1
-        return BaggingModel(fit_all(jobs, self.parallelism))
+        with kept(df) as source:
+            replicas = []
+            for r in range(self.num_models):
+                w = poisson_weight(self.key_cols, r, self.seed)
+                replicas.append((self.make_base("__bw"),
+                                 source.withColumn("__bw", w).where(F.col("__bw") > 0)))
+            if not all(isinstance(est, StackingEstimator) for est, _ in replicas):
+                return BaggingModel(fit_all(replicas, self.parallelism))
+            # one pool over the base fits of all stacks, then one over their meta learners
+            per = [est.base_jobs(data) for est, data in replicas]
+            models = fit_all([job for jobs in per for job in jobs], self.parallelism)
+            parts, at = [], 0
+            for jobs in per:
+                parts.append(models[at:at + len(jobs)])
+                at += len(jobs)
+            with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
+                return BaggingModel(list(pool.map(
+                    lambda x: x[0][0].from_bases(x[0][1], x[1]), zip(replicas, parts))))
 
 
 def bagged_vote(scored: DataFrame, key_cols: Sequence[str], score_col: str = "p1",

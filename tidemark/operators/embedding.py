@@ -16,30 +16,68 @@ import numpy as np
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.hashing import token_bucket
+from tidemark.functions.text import token_rows
 from tidemark.functions.vectors import zero_vector
 from tidemark.operators.lookup import join_lookup
 
 
+def known_token_counts(df: DataFrame, vectors: DataFrame, keys: Sequence[str],
+                       tokens_col: str = "tokens") -> DataFrame:
+    """``keys..., word, c``: how often each word that has a vector occurs; only the narrow word list is joined."""
+    counts = (token_rows(df, list(keys), tokens_col, "word").groupBy(*keys, "word")
+              .agg(F.count(F.lit(1)).alias("c")))
+    return join_lookup(counts, vectors.select("word").where(F.col("word").isNotNull()), "word")
+
+
+def weighted_vector_sum(weights: DataFrame, vectors: DataFrame, keys: Sequence[str], weight: str,
+                        out_col: str) -> DataFrame:
+    """Per key the sum of ``weight`` times the word's vector, joined once for each (key, word)."""
+    hit = join_lookup(weights, vectors.select(
+        "word", array_to_vector(F.col("vec").cast("array<double>")).alias("__v")), "word")
+    # weighted mean times the total weight
+    return (hit.groupBy(*keys).agg(Summarizer.mean(F.col("__v"), F.col(weight)).alias("__m"),
+                                   F.sum(weight).alias("__w"))
+               .select(*keys, F.transform(vector_to_array("__m", "float64"), lambda x: x * F.col("__w"))
+                       .alias(out_col)))
+
+
 def post_vectors(df: DataFrame, vectors: DataFrame, keys: Sequence[str],
                  tokens_col: str = "tokens", out_col: str = "vec") -> DataFrame:
     """``keys..., out_col`` for posts with at least one known token.
 
-    ``vectors`` is ``word, vec array<float|double>`` with unique words. The
-    join is on token: the vector table is broadcast behind a counted bound,
-    else a sort-merge join where AQE splits hot tokens.
+    ``vectors`` is ``word, vec array<float|double>`` with unique words. Words
+    are counted per post first; a vector is joined once for each (post, word),
+    broadcast behind a bound in bytes, else by a sort-merge join where AQE
+    splits hot words.
     """
     keys = list(keys)
-    ex = df.select(*keys, F.explode(tokens_col).alias("word"))
-    hit = join_lookup(ex, vectors.select(
+    hit = join_lookup(known_token_counts(df, vectors, keys, tokens_col), vectors.select(
         "word", array_to_vector(F.col("vec").cast("array<double>")).alias("__v")), "word")
-    return (hit.groupBy(*keys).agg(Summarizer.mean(F.col("__v")).alias("__m"))
+    return (hit.groupBy(*keys).agg(Summarizer.mean(F.col("__v"), F.col("c").cast("double")).alias("__m"))
                .select(*keys, vector_to_array("__m", "float64").alias(out_col)))
 
 
+def period_word_vector_sum(df: DataFrame, vectors: DataFrame, keys: Sequence[str],
+                           post_key: str = "post_id", tokens_col: str = "tokens",
+                           out_col: str = "vec_sum") -> DataFrame:
+    """Per period the sum of its posts' mean word vectors.
+
+    A word's weight in a period is the sum over posts of its count over the
+    post's known tokens; scalars only are shuffled to that point, and the
+    vector is joined once for each (period, word).
+    """
+    keys = list(keys)
+    counts = known_token_counts(df, vectors, [*keys, post_key], tokens_col)
+    share = F.col("c") / F.sum("c").over(Window.partitionBy(*keys, post_key))
+    weights = counts.withColumn("__s", share).groupBy(*keys, "word").agg(F.sum("__s").alias("__wt"))
+    return weighted_vector_sum(weights, vectors, keys, "__wt", out_col)
+
+
 def mean_word_vector(df: DataFrame, vectors: DataFrame, dim: int, key_col: str = "post_id",
                      tokens_col: str = "tokens", out_col: str = "vec") -> DataFrame:
     """Every row of ``df`` with its mean word vector (zero vector if none)."""
@@ -73,20 +111,42 @@ def period_mean_vector(df: DataFrame, keys: Sequence[str], vec_col: str,
               .select(*keys, "n_posts", vector_to_array("__m", "float64").alias(out_col)))
 
 
+def hashed_token_counts(df: DataFrame, keys: Sequence[str], dim: int,
+                        tokens_col: str = "tokens") -> DataFrame:
+    """``keys..., bucket, n``: a hashed bag of words per period; only scalars are shuffled."""
+    return (token_rows(df, list(keys), tokens_col).withColumn("bucket", token_bucket("token", dim))
+            .groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("n")))
+
+
+def hashed_vector_sum(df: DataFrame, keys: Sequence[str], dim: int, tokens_col: str = "tokens",
+                      out_col: str = "vec_sum") -> DataFrame:
+    """Per period the sum of its posts' hashed bags of words, as an array of ``dim`` counts."""
+    pairs = (hashed_token_counts(df, keys, dim, tokens_col).groupBy(*keys)
+             .agg(F.collect_list("bucket").alias("__b"), F.collect_list(F.col("n").cast("double")).alias("__n")))
+    place = lambda i: F.coalesce(F.get("__n", (F.array_position("__b", i) - 1).cast("int")), F.lit(0.0))
+    return pairs.select(*keys, F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.when(
+            F.array_contains("__b", i), place(i)).otherwise(F.lit(0.0))).alias(out_col))
+
+
 def hashing_encoder(dim: int) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
     """Factory of a batch encoder: L2-normalised hashed bag of words.
 
     Stands in for a transformer encoder (none is installable here); any
-    ``make_predict_fn`` with the same contract can replace it.
+    ``make_predict_fn`` with the same contract can replace it. The distinct
+    words of a batch are hashed once and counted with array operations.
     """
     def make():
         import zlib
 
         def predict(texts: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for r, t in enumerate(texts):
-                for tok in str(t or "").split():
-                    out[r, zlib.crc32(tok.encode("utf-8")) % dim] += 1.0
+            split = [str(t or "").split() for t in texts]
+            found = np.array([w for ws in split for w in ws], dtype=object)
+            row = np.repeat(np.arange(len(split)), [len(ws) for ws in split])
+            words, which = np.unique(found.astype(str), return_inverse=True)
+            place = np.array([zlib.crc32(w.encode("utf-8")) % dim for w in words.tolist()], np.int64)
+            at = row * dim + place[which] if len(found) else np.zeros(0, np.int64)
+            out = np.bincount(at, minlength=len(split) * dim).reshape(-1, dim).astype(np.float32)
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             np.divide(out, norms, out=out, where=norms > 0)
             return out

@@ -2,7 +2,7 @@
 
 Candidates are the word itself plus the noun suffix rules applied once;
 if none is in the lemma vocabulary the rules are applied again to the
-previous forms (up to ``max_rounds``). The shortest candidate of the first
+previous forms, until no form is left. The shortest candidate of the first
 round with any hit wins (first in candidate order on ties); a word with no
 hit is its own lemma. An exception table replaces the rules for the words it
 lists. All of it is array expressions plus one join with the vocabulary.
@@ -26,24 +26,33 @@ def _apply_rules(forms: Column) -> Column:
     return F.flatten(F.transform(forms, one))
 
 
-def _tag(forms: Column, level: int) -> Column:
-    return F.transform(forms, lambda x, i: F.struct(F.lit(level).alias("lvl"),
-                                                     i.alias("ord"), x.alias("form")))
+def lemma_candidates(word: Column) -> Column:
+    """``array<struct<lvl, ord, form>>``: the word and one application of the rules (lvl 0), then
+    each further application to the previous forms, until none is left.
 
+    Every rule shortens the word or ends the chain, so a word of n characters
+    has at most n rounds; a form that comes up again in a round counts once.
+    """
+    def struct(lvl: Column, i: Column, form: Column) -> Column:
+        return F.struct(lvl.cast("int").alias("lvl"), i.cast("int").alias("ord"), form.alias("form"))
+
+    def tag(forms: Column, lvl: Column) -> Column:
+        return F.transform(forms, lambda x, i: struct(lvl, i, x))
+
+    first = F.array_distinct(_apply_rules(F.array(word)))
+    start = F.struct(first.alias("forms"), tag(F.concat(F.array(word), first), F.lit(0)).alias("all"))
+
+    def round_(acc: Column, lvl: Column) -> Column:
+        forms = F.array_distinct(_apply_rules(acc["forms"]))
+        return F.when(F.size(acc["forms"]) == 0, acc).otherwise(
+            F.struct(forms.alias("forms"), F.concat(acc["all"], tag(forms, lvl)).alias("all")))
 
-def lemma_candidates(word: Column, max_rounds: int = 3) -> Column:
-    first = _apply_rules(F.array(word))
-    parts = [_tag(F.concat(F.array(word), first), 0)]
-    forms = first
-    for level in range(1, max_rounds):
-        forms = _apply_rules(forms)
-        parts.append(_tag(forms, level))
-    return F.concat(*parts)
+    rounds = F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1)))
+    return F.aggregate(rounds, start, round_)["all"]
 
 
 def lemmatize_tokens(tokens: DataFrame, vocab: DataFrame,
-                     exceptions: DataFrame | None = None,
-                     max_rounds: int = 3) -> DataFrame:
+                     exceptions: DataFrame | None = None) -> DataFrame:
     """``token, lemma`` for every distinct token.
 
     ``vocab``: one column of valid lemmas (first column is used).
@@ -51,17 +60,14 @@ def lemmatize_tokens(tokens: DataFrame, vocab: DataFrame,
     """
     tokens = tokens.select("token").distinct()
     vocab = vocab.select(F.col(vocab.columns[0]).alias("form")).distinct()
+    tok, cands = tokens, lemma_candidates(F.col("token"))
     if exceptions is not None:
-        exc = (exceptions.groupBy("token")
-                         .agg(F.collect_list("lemma").alias("__exc")))
-        tok = tokens.join(exc, "token", "left")
-        cands = F.when(F.col("__exc").isNotNull(),
-                       _tag(F.concat(F.array(F.col("token")), F.col("__exc")), -1)
-                       ).otherwise(lemma_candidates(F.col("token"), max_rounds))
-    else:
-        tok = tokens
-        cands = lemma_candidates(F.col("token"), max_rounds)
-    ex = tok.select("token", F.explode(cands).alias("c")).select("token", "c.*")
+        exc = exceptions.groupBy("token").agg(F.collect_list("lemma").alias("__exc"))
+        tok = join_lookup(tokens, exc, "token", "left")
+        listed = F.transform(F.concat(F.array(F.col("token")), F.col("__exc")), lambda x, i: F.struct(
+            F.lit(-1).alias("lvl"), i.cast("int").alias("ord"), x.alias("form")))
+        cands = F.when(F.col("__exc").isNotNull(), listed).otherwise(cands)
+    ex = tok.select("token", F.explode_outer(cands).alias("c")).select("token", "c.*")
     hits = join_lookup(ex, vocab, "form")
     best = hits.groupBy("token").agg(
         F.min_by("form", F.struct("lvl", F.length("form"), "ord")).alias("lemma"))

@@ -10,11 +10,14 @@ lookups in Spark scan the keys linearly.)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows allowed in a broadcast lookup table (short keys: tens of MB).
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Bytes allowed in a broadcast lookup table (counted: rows times their width).
+DEFAULT_BROADCAST_BYTES = 128 << 20
 # Keys allowed as literal sets in a plan (shipped with every task), and
 # distinct values among them.
 DEFAULT_INLINE_KEYS = 50_000
@@ -30,16 +33,42 @@ def bounded_count(table: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
+def _width(col: str, kind: T.DataType) -> Column:
+    """Bytes of a value in memory, about."""
+    c = F.col(f"`{col}`")
+    if isinstance(kind, T.StringType | T.BinaryType):
+        size = F.octet_length(c) + 24
+    elif isinstance(kind, T.ArrayType):
+        size = F.size(c) * 8 + 32
+    elif isinstance(kind, VectorUDT):
+        size = F.size(vector_to_array(c)) * 8 + 48
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(8)).cast("long")
+
+
+def bounded_bytes(table: DataFrame, limit: int) -> int | None:
+    """Bytes of ``table`` if they are at most ``limit``, else None (one pass over the table)."""
+    if limit <= 0:
+        return None
+    width = F.lit(16)
+    for f in table.schema.fields:
+        width = width + _width(f.name, f.dataType)
+    total = table.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return int(total) if total <= limit else None
+
+
 def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                limit: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join a large (often exploded) table with a lookup table.
 
-    The lookup side is broadcast only behind a counted bound. Otherwise the
-    join is pinned to a shuffle sort-merge join: an exploded side can carry
-    a tiny static size estimate (it inherits its parent's), and the planner
-    must never try to broadcast it; AQE still splits skewed (hot) keys.
+    The lookup side is broadcast only if its counted bytes are within
+    ``limit``. Otherwise the join is pinned to a shuffle sort-merge join: an
+    exploded side can carry a tiny static size estimate (it inherits its
+    parent's), and the planner must never try to broadcast it; AQE still
+    splits skewed (hot) keys.
     """
-    if bounded_count(small, limit) is not None:
+    if bounded_bytes(small, limit) is not None:
         return big.join(F.broadcast(small), on, how)
     return big.join(small.hint("shuffle_merge"), on, how)
 

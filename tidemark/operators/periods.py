@@ -16,7 +16,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.operators.lookup import join_lookup
+from tidemark.sources.io import materialize
 
 PERIOD_KEYS = ("match_id", "period_id", "id")
 
@@ -224,9 +225,9 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
     ``by=None``: one global maximum, a scalar subquery (partial max per task,
     one row to the driver) - no unpartitioned window, no cross join.
     ``by=cols``: maximum per group - a group-by (partial aggregation) joined
-    back on the group keys; the group table (one row per group) is
-    broadcast by AQE from its measured size, else joined sort-merge with a
-    hot group split.
+    back on the group keys (NULLs are a group); the group table (one row per
+    group) is broadcast behind a bound in bytes, else joined sort-merge with
+    a hot group split.
     Division by a 0 maximum gives NULL (``try_divide``).
     """
     out_col = out_col or col
@@ -236,14 +237,14 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
         m = df.agg(F.max(src)).scalar()
         return df.withColumn(out_col, F.try_divide(F.col(col).cast("double"), m))
     by = [by] if isinstance(by, str) else list(by)
-    maxima = df.groupBy(*by).agg(F.max(src).alias("__max"))
-    # No count first (it would scan the input twice): the group table's
-    # estimate is not understated (no explode), so AQE decides from the
-    # measured shuffle size - broadcast when small, else sort-merge with
-    # a hot group split by the skew-join rule.
-    return (df.join(maxima, on=by, how="left")
+    keys = [F.col(c).alias(f"__k{i}") for i, c in enumerate(by)]
+    maxima = df.groupBy(*keys).agg(F.max(src).alias("__max"))
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)]
+    # The group table is counted and broadcast when small, so a hot group
+    # is not shuffled; rows whose group is NULL form a group of their own.
+    return (join_lookup(df, maxima, same, "left")
               .withColumn(out_col, F.try_divide(F.col(col).cast("double"), F.col("__max")))
-              .drop("__max"))
+              .drop("__max", *[f"__k{i}" for i in range(len(by))]))
 
 
 def fill_nulls(df: DataFrame, cols: Sequence[str], value: float = 0.0) -> DataFrame:
@@ -263,14 +264,13 @@ def global_row_index(df: DataFrame, order: Sequence[str | Column],
     with ``monotonically_increasing_id`` (partition id in the high bits), then
     add the count of all earlier partitions. The counts - one number per
     partition, bounded by the partition count - come to the driver and go
-    back as an array literal indexed by partition id. The sorted, numbered
-    table is checkpointed (shared checkpoint folder) so counts and ids come
-    from one run.
+    back as an array literal indexed by partition id. The numbered table is
+    written to the shared checkpoint folder so counts and ids come from one
+    run.
     """
-    checkpoint_dir(df.sparkSession)
     sorted_df = (df.repartitionByRange(*order).sortWithinPartitions(*order)
                    .withColumn("__mid", F.monotonically_increasing_id()))
-    sorted_df = sorted_df.checkpoint(eager=True)
+    sorted_df = materialize(sorted_df, "row-index")
     part = F.shiftright(F.col("__mid"), 33)
     local = F.col("__mid") - F.shiftleft(part, 33)
     with_part = sorted_df.withColumn("__part", part).withColumn("__local", local)

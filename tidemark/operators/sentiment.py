@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import SENTIMENT_ALPHA, SENTIMENT_DECIMALS
-from tidemark.functions.text import normalise_sentiment
+from tidemark.functions.text import normalise_sentiment, token_rows
 from tidemark.operators.lookup import (
     DEFAULT_INLINE_KEYS,
     DEFAULT_INLINE_VALUES,
@@ -31,7 +31,13 @@ def sentiment_score(df: DataFrame, lexicon: DataFrame, tokens_col: str = "tokens
                     decimals: int = SENTIMENT_DECIMALS,
                     inline_keys: int = DEFAULT_INLINE_KEYS,
                     inline_values: int = DEFAULT_INLINE_VALUES) -> DataFrame:
-    """Add ``out_col``; ``lexicon`` is ``token, valence`` with unique tokens."""
+    """Add ``out_col``; ``lexicon`` is ``token, valence``.
+
+    A token listed more than once has the mean of its valences; rows without
+    token or valence are ignored. So both paths see one valence per token.
+    """
+    lexicon = (lexicon.where(F.col("token").isNotNull() & F.col("valence").isNotNull())
+               .groupBy("token").agg(F.avg(F.col("valence").cast("double")).alias("valence")))
     sets = value_sets(lexicon, "token", "valence", inline_keys, inline_values)
     if sets is not None:
         def valence(t):
@@ -43,8 +49,7 @@ def sentiment_score(df: DataFrame, lexicon: DataFrame, tokens_col: str = "tokens
                             lambda acc, t: acc + valence(t))
         out = df.withColumn("__s", total)
     else:
-        lex = lexicon.select("token", F.col("valence").cast("double"))
-        sums = (join_lookup(df.select(key_col, F.explode(tokens_col).alias("token")), lex, "token")
+        sums = (join_lookup(token_rows(df, [key_col], tokens_col), lexicon, "token")
                   .groupBy(key_col).agg(F.sum("valence").alias("__s")))
         out = df.join(sums, key_col, "left")
     score = normalise_sentiment("__s", alpha, decimals)

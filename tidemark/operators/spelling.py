@@ -7,23 +7,28 @@ term are kept as they are.
 
 Blocking: symmetric deletes of the first ``prefix_length`` characters. Two
 words within k edits share a string reachable by at most k deletions from
-each prefix, so an equi-join on those delete keys finds every candidate
-pair without comparing all pairs. Candidates are verified on the full words:
-Levenshtein (JVM, bounded by 2k since a transposition costs 2 there) first,
-then the exact OSA distance on the survivors only.
+each prefix, so an equi-join on (hashes of) those delete keys finds every
+candidate pair without comparing all pairs. The prefix is a speed setting
+only: a long one makes nearly all of a word part of its keys, so that few
+words share a key that are not alike. Candidates are verified on the full
+words in the JVM: Levenshtein (bounded by 2k since a transposition costs 2
+there) and, where it does not settle the case, the transpositions themselves.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.fixed import SPELL_MAX_DISTANCE, SPELL_PREFIX_LENGTH
+from tidemark.functions.fixed import SPELL_MAX_DISTANCE
+from tidemark.operators.lookup import join_lookup
 from tidemark.sources.io import materialize
 
+# At most 1 + 20 + 190 keys a word.
+PREFIX_LENGTH = 20
+
 
 def _deletes(s: Column) -> Column:
     """All strings made by deleting one character of ``s``."""
@@ -33,7 +38,7 @@ def _deletes(s: Column) -> Column:
 
 
 def delete_keys(word: str | Column, max_distance: int = SPELL_MAX_DISTANCE,
-                prefix_length: int = SPELL_PREFIX_LENGTH) -> Column:
+                prefix_length: int = PREFIX_LENGTH) -> Column:
     """Distinct strings reachable by <= ``max_distance`` deletions of the prefix."""
     w = F.col(word) if isinstance(word, str) else word
     prefix = w.substr(F.lit(1), F.lit(prefix_length))
@@ -46,7 +51,7 @@ def delete_keys(word: str | Column, max_distance: int = SPELL_MAX_DISTANCE,
 
 
 def osa(a: str, b: str) -> int:
-    """Optimal string alignment distance (adjacent transposition costs 1)."""
+    """Optimal string alignment distance (adjacent transposition costs 1); checks the Column forms below."""
     la, lb = len(a), len(b)
     prev2 = None
     prev = list(range(lb + 1))
@@ -64,12 +69,6 @@ def osa(a: str, b: str) -> int:
     return prev[lb]
 
 
-@F.pandas_udf(T.IntegerType())
-def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Arrow-batched OSA distance; applied to candidate pairs only."""
-    return pd.Series([osa(x, y) for x, y in zip(a, b)], dtype="int32")
-
-
 def _sorted_chars(c: Column) -> Column:
     return F.array_join(F.array_sort(F.split(c, "")), "")
 
@@ -82,29 +81,52 @@ def _one_adjacent_swap(a: Column, b: Column) -> Column:
         F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), lambda i: swapped(i) == b)
 
 
+def _within_one(a: Column, b: Column) -> Column:
+    return (F.levenshtein(a, b, 1) >= 0) | _one_adjacent_swap(a, b)
+
+
+def _swap_and_one_more(a: Column, b: Column) -> Column:
+    """``b`` is ``a`` after an adjacent swap and at most one more edit or swap beside the swapped pair."""
+    def parts(s: Column, i: Column) -> tuple[Column, ...]:
+        return (s.substr(F.lit(1), i - 1), s.substr(i, F.lit(1)), s.substr(i + 1, F.lit(1)),
+                s.substr(i + 2, F.length(s)))
+
+    def at(i: Column, j: Column) -> Column:
+        (ah, a1, a2, at_), (bh, b1, b2, bt) = parts(a, i), parts(b, j)
+        return ((j >= 1) & (j + 1 <= F.length(b)) & (a1 == b2) & (a2 == b1)
+                & (((ah == bh) & _within_one(at_, bt)) | ((at_ == bt) & _within_one(ah, bh))))
+
+    return (F.length(a) >= 2) & F.exists(
+        F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))),
+        lambda i: reduce(lambda x, y: x | y, [at(i, i + d) for d in (-1, 0, 1)]))
+
+
 def candidate_pairs(tokens: DataFrame, dictionary: DataFrame,
                     max_distance: int = SPELL_MAX_DISTANCE,
-                    prefix_length: int = SPELL_PREFIX_LENGTH) -> DataFrame:
-    """``token, term, cnt, dist`` for pairs within ``max_distance`` (OSA).
+                    prefix_length: int = PREFIX_LENGTH) -> DataFrame:
+    """``token, term, cnt, dist`` for pairs within ``max_distance`` (OSA; 1 or 2).
 
     A pair may appear more than once (it can share several delete keys);
     the per-token choice downstream is a ``min_by``, which duplicates do not
     change, so the large key-join output is never de-duplicated.
 
-    Exact OSA is decided in the JVM where Levenshtein settles it (OSA <= Lev,
-    and they differ only through adjacent transpositions, each 2 for Lev):
-    Lev <= 1 gives OSA = Lev; Lev = 2 gives OSA 1 iff one adjacent swap maps
-    one word onto the other. A larger Lev is within ``max_distance`` only
-    through transpositions, which keep the multiset of characters: with
-    t transpositions and e other edits (t + e <= k, Lev <= 2t + e) the sorted
-    character strings are within Levenshtein 2e. Sorted strings are computed
-    once per word, before the join. Only pairs passing that test reach the
-    exact OSA in Python (de-duplicated first).
+    Exact OSA is decided in the JVM (OSA <= Lev, and they differ only through
+    adjacent transpositions, each 2 for Lev). Lev <= k: OSA = Lev, but 1 for
+    Lev 2 if one adjacent swap maps one word onto the other. A larger Lev is
+    within k only through transpositions, which keep the multiset of
+    characters: with t transpositions and e other edits (t + e <= k,
+    Lev <= 2t + e) the sorted character strings are within Levenshtein 2e.
+    Sorted strings are computed once per word, before the join. For the few
+    pairs that pass, the place of a swap is tried out.
     """
-    tk = tokens.select("token", _sorted_chars(F.col("token")).alias("ts"),
-                       F.explode(delete_keys("token", max_distance, prefix_length)).alias("key"))
-    dk = dictionary.select("term", "cnt", _sorted_chars(F.col("term")).alias("ss"),
-                           F.explode(delete_keys("term", max_distance, prefix_length)).alias("key"))
+    if max_distance not in (1, 2):
+        raise ValueError("max_distance is 1 or 2")
+    keys = F.explode_outer(F.transform(delete_keys("w", max_distance, prefix_length),
+                                       lambda k: F.xxhash64(k))).alias("key")
+    tk = tokens.select(F.col("token").alias("w")).select(
+        F.col("w").alias("token"), _sorted_chars(F.col("w")).alias("ts"), keys)
+    dk = dictionary.select(F.col("term").alias("w"), "cnt").select(
+        F.col("w").alias("term"), "cnt", _sorted_chars(F.col("w")).alias("ss"), keys)
     a, b, lev = F.col("token"), F.col("term"), F.col("lev")
     sa, sb = F.col("ts"), F.col("ss")
     possible = F.lit(False)
@@ -117,22 +139,17 @@ def candidate_pairs(tokens: DataFrame, dictionary: DataFrame,
     kept = (tk.join(dk.hint("shuffle_merge"), "key")
               .where(F.abs(F.length("token") - F.length("term")) <= max_distance)
               .withColumn("lev", F.levenshtein("token", "term", 2 * max_distance))
-              .where(((lev >= 0) & (lev <= max_distance)) | possible)
-              .select("token", "term", "cnt", "lev")
-              .persist(StorageLevel.MEMORY_AND_DISK))   # read by both branches below
-    near = (kept.where(lev <= max_distance)
-                .select("token", "term", "cnt",
-                        F.when((lev == 2) & _one_adjacent_swap(a, b), F.lit(1))
-                         .otherwise(lev).cast("int").alias("dist")))
-    far = (kept.where(lev > max_distance).select("token", "term", "cnt").distinct()
-               .withColumn("dist", osa_distance(a, b))
-               .where(F.col("dist") <= max_distance))
-    return near.unionByName(far)
+              .where(((lev >= 0) & (lev <= max_distance)) | possible))
+    swapped = _one_adjacent_swap(a, b) if max_distance == 1 else _swap_and_one_more(a, b)
+    dist = (F.when((lev == 2) & _one_adjacent_swap(a, b), 1).when(lev <= max_distance, lev)
+            .when(swapped, max_distance))
+    return (kept.select("token", "term", "cnt", dist.cast("int").alias("dist"))
+            .where(F.col("dist").isNotNull()))
 
 
 def correct_tokens(tokens: DataFrame, dictionary: DataFrame,
                    max_distance: int = SPELL_MAX_DISTANCE,
-                   prefix_length: int = SPELL_PREFIX_LENGTH) -> DataFrame:
+                   prefix_length: int = PREFIX_LENGTH) -> DataFrame:
     """``token, corrected, distance`` for every distinct ``token``.
 
     ``dictionary`` is ``term, cnt`` with unique terms. ``distance`` is NULL
@@ -141,7 +158,7 @@ def correct_tokens(tokens: DataFrame, dictionary: DataFrame,
     they feed the candidate join and the final result.
     """
     terms = dictionary.select(F.col("term").alias("token"), F.lit(True).alias("known"))
-    flagged = materialize(tokens.select("token").distinct().join(terms, "token", "left"),
+    flagged = materialize(join_lookup(tokens.select("token").distinct(), terms, "token", "left"),
                           "spell-vocab")
     unknown = flagged.where(F.col("known").isNull()).select("token")
     best = (candidate_pairs(unknown, dictionary, max_distance, prefix_length)

@@ -18,11 +18,12 @@ from tidemark.functions.text import (
     clean_regex,
     join_tokens,
     remove_stopwords_col,
+    token_rows,
     tokenize,
 )
 from tidemark.operators.lemma import lemmatize_tokens
 from tidemark.operators.lookup import (
-    DEFAULT_BROADCAST_ROWS,
+    DEFAULT_BROADCAST_BYTES,
     DEFAULT_INLINE_KEYS,
     bounded_count,
     join_lookup,
@@ -50,47 +51,45 @@ def with_tokens(posts: DataFrame, text_col: str = "text", out_col: str = "tokens
 def remove_stopwords(df: DataFrame, stop_df: DataFrame, tokens_col: str = "tokens",
                      key_col: str = "post_id",
                      inline_limit: int = DEFAULT_INLINE_KEYS) -> DataFrame:
-    """Drop the tokens listed in ``stop_df`` (J4), order kept.
+    """Drop the tokens listed in ``stop_df`` (J4), order kept; NULLs in the list are ignored.
 
     A stop table within ``inline_limit`` rows (counted first) becomes a
-    literal hash set in the projection. A larger one is an anti join of the
-    exploded tokens, re-assembled in position order per post.
+    literal hash set in the projection. A larger one flags the narrow token
+    rows ``(key, pos, token)`` by a left join; the unflagged ones are
+    re-assembled in position order per post and joined back on the (unique)
+    key, so no other column travels with the tokens.
     """
-    words = stop_df.select(F.col(stop_df.columns[0]).alias("token")).distinct()
+    words = (stop_df.select(F.col(stop_df.columns[0]).alias("token"))
+             .where(F.col("token").isNotNull()).distinct())
     if bounded_count(words, inline_limit) is not None:
         return df.withColumn(tokens_col, remove_stopwords_col(
             tokens_col, [r.token for r in words.collect()]))
-    drop_map = words.withColumn("out", F.lit(None).cast("string"))
-    carry = [c for c in df.columns if c != tokens_col]
-    ex = df.select(*carry, F.posexplode_outer(tokens_col).alias("pos", "token"))
-    kept = (ex.join(drop_map.select("token").hint("shuffle_merge"), "token", "left_anti")
-              .groupBy(*carry)
-              .agg(F.array_sort(F.collect_list(
-                  F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("__t")))
-    # posts whose every token was a stop word vanish from the anti join
-    empty = (df.join(kept.select(key_col), key_col, "left_anti")
-               .select(*carry, F.array().cast("array<string>").alias(tokens_col)))
-    return (kept.select(*carry, F.transform("__t", lambda s: s["token"]).alias(tokens_col))
-                .unionByName(empty))
+    rows = df.select(key_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    flags = words.withColumn("__stop", F.lit(True)).hint("shuffle_merge")
+    kept = (rows.join(flags, "token", "left")
+            .groupBy(key_col)
+            .agg(F.array_sort(F.collect_list(
+                F.when(F.col("token").isNotNull() & F.col("__stop").isNull(),
+                       F.struct("pos", "token")))).alias("__t"))
+            .select(key_col, F.transform("__t", lambda s: s["token"]).alias(tokens_col)))
+    columns = df.columns
+    return df.drop(tokens_col).join(kept, key_col).select(*columns)
 
 
 def explode_tokens(df: DataFrame, keys: Iterable[str], tokens_col: str = "tokens",
                    with_pos: bool = True) -> DataFrame:
-    keys = list(keys)
-    if with_pos:
-        return df.select(*keys, F.posexplode(tokens_col).alias("pos", "token"))
-    return df.select(*keys, F.explode(tokens_col).alias("token"))
+    return token_rows(df, list(keys), tokens_col, pos="pos" if with_pos else None)
 
 
 def vocabulary(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """Distinct tokens (partial aggregation before the shuffle)."""
-    return df.select(F.explode(tokens_col).alias("token")).distinct()
+    return token_rows(df, [], tokens_col).distinct()
 
 
 def frequency_dictionary(df: DataFrame, tokens_col: str = "tokens",
                          min_count: int = 1) -> DataFrame:
     """``term, cnt`` over all tokens of ``df``."""
-    counts = (df.select(F.explode(tokens_col).alias("term"))
+    counts = (token_rows(df, [], tokens_col, "term")
                 .groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
     if min_count > 1:
         counts = counts.where(F.col("cnt") >= min_count)
@@ -119,12 +118,12 @@ def token_mapping(vocab: DataFrame, dictionary: DataFrame | None = None,
 
 def apply_token_mapping(df: DataFrame, mapping: DataFrame, tokens_col: str = "tokens",
                         key_col: str = "post_id", drop: Iterable[str] = ("text",),
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Replace the tokens of ``tokens_col`` by ``mapping`` (token, out).
 
     Only changed tokens are applied. Narrow token rows ``(key, pos, token)``
-    are exploded, joined on token (broadcast when the changed set is counted
-    within ``broadcast_rows``, else sort-merge where AQE splits hot tokens)
+    are exploded, joined on token (broadcast when the changed set's counted bytes are
+    within ``broadcast_bytes``, else sort-merge where AQE splits hot tokens)
     and re-assembled per post in position order; the post's other columns
     are joined back on ``key_col`` (unique, so no skew) rather than carried
     on every token row. Posts without tokens survive via
@@ -134,7 +133,7 @@ def apply_token_mapping(df: DataFrame, mapping: DataFrame, tokens_col: str = "to
     if key_col not in df.columns:
         raise ValueError(f"{key_col} must be a column of df")
     ex = df.select(key_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
-    fixed = (join_lookup(ex, changed, "token", "left", broadcast_rows)
+    fixed = (join_lookup(ex, changed, "token", "left", broadcast_bytes)
                .withColumn("token", F.coalesce("out", "token"))
                .groupBy(key_col)
                .agg(F.array_sort(F.collect_list(
@@ -151,7 +150,7 @@ def clean_text(posts: DataFrame, text_col: str = "text", out_col: str = "clean",
                lemma_vocab: DataFrame | None = None,
                lemma_exceptions: DataFrame | None = None,
                key_col: str = "post_id",
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """The composed cleaning operator (X1 -> X2 -> X3 -> X4 -> P5 -> J5 -> J6 -> X5).
 
     Adds ``tokens_col`` (array) and ``out_col`` (tokens joined by a space).
@@ -166,5 +165,5 @@ def clean_text(posts: DataFrame, text_col: str = "text", out_col: str = "clean",
         vocab = materialize(vocabulary(df, tokens_col), "vocab")
         mapping = token_mapping(vocab, dictionary, lemma_vocab, lemma_exceptions)
         mapping = materialize(mapping.where(F.col("out") != F.col("token")), "token-map")
-        df = apply_token_mapping(df, mapping, tokens_col, key_col, (text_col,), broadcast_rows)
+        df = apply_token_mapping(df, mapping, tokens_col, key_col, (text_col,), broadcast_bytes)
     return df.withColumn(out_col, join_tokens(tokens_col))

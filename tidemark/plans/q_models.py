@@ -8,17 +8,33 @@ libraries); the vote and the accuracy are SQL-checked.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+import math
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import SEED
-from tidemark.learn.ensemble import BaggingEstimator, StackingEstimator, bagged_vote
-from tidemark.learn.estimators import base_learners, gbt, logistic, model_zoo, random_forest, rff_svc
+from tidemark.learn.ensemble import StackingEstimator, bagged_vote, fold_of, kept, poisson_weight
+from tidemark.learn.estimators import base_learners, logistic, model_zoo
 from tidemark.learn.evaluate import accuracy, leaderboard
-from tidemark.plans.training import flagship
+from tidemark.operators.text import clean_text
+from tidemark.plans.features import CONFIGS, build_features, training_maxima
+from tidemark.plans.q_features import TEST_SOURCES
 from tidemark.plans.registry import query
-from tidemark.sources.adapters import read_table
-
+from tidemark.plans.training import (
+    TRAIN_PARTITIONS,
+    document_resources,
+    feature_set_leaderboard,
+    flagship,
+    main_program_estimator,
+    score,
+    train,
+)
+from tidemark.session import cached
+from tidemark.sources.adapters import document_posts, read_table
+
+# The sweep's learners that are not ensembles of fits.
+SINGLES = ("LR-1000", "RF-100", "RF-170 (10, sqrt)", "XGB-100", "XGB-170 (0.1, 6)")
 R = 6
 
 
@@ -31,11 +47,20 @@ def learner_input(spark, sf_dir):
         (F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(10)) < 3).alias("is_test"))
 
 
-def _fit_predict(spark, sf_dir, est):
+def _split(spark, sf_dir):
+    """Training and test part; the training part dealt by a hash of its key, so forests do not
+    depend on the files' layout."""
     data = learner_input(spark, sf_dir)
-    model = est.fit(data.where(~F.col("is_test")))
-    out = model.transform(data.where(F.col("is_test")))
-    return out.select("vec_id", "label", F.col("prediction").cast("double").alias("prediction"))
+    train = (data.where(~F.col("is_test")).repartition(TRAIN_PARTITIONS, "vec_id")
+             .sortWithinPartitions("vec_id"))
+    return train, data.where(F.col("is_test"))
+
+
+def _fit_predict(spark, sf_dir, est):
+    part, test = _split(spark, sf_dir)
+    with kept(part) as part:
+        model = est.fit(part)
+    return model.transform(test).select("vec_id", "label", F.col("prediction").cast("double").alias("prediction"))
 
 
 @query("accuracy_of_rule", sql=f"""
@@ -67,52 +92,103 @@ def q_bagged_vote(spark, sf_dir):
     return v.select("vec_id", F.round("p1", R).alias("p1"), "n_models", "prediction")
 
 
-@query("model_lr", note="rows-only")
+@query("model_lr", note="rows-only; model_lr_gradient checks the fit")
 def q_model_lr(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, logistic(max_iter=100))
+    return _fit_predict(spark, sf_dir, logistic())
+
+
+@query("model_lr_gradient", sql="""
+SELECT CAST(i AS INTEGER) AS i, 0.0 AS gradient
+FROM range((SELECT max(len(embedding)) FROM embeddings)) t(i)""",
+       note="the regularised summed loss has one optimum, where its gradient is zero")
+def q_model_lr_gradient(spark, sf_dir):
+    """Gradient of the mean loss (L2 with C = 1 on the summed loss) at the fitted weights."""
+    part, _ = _split(spark, sf_dir)
+    with kept(part) as part:
+        model = logistic().fit(part)
+        n = part.count()
+        w = [float(x) for x in model.coefficients]
+        p = vector_to_array("probability").getItem(1)
+        rows = (model.transform(part).select((p - F.col("label")).alias("e"), vector_to_array("features").alias("x"))
+                .select("e", F.posexplode("x").alias("i", "x")).groupBy("i")
+                .agg(F.sum(F.col("e") * F.col("x")).alias("s")).collect())
+    grads = [(r["i"], round((r["s"] + w[r["i"]]) / n, 3) + 0.0) for r in rows]
+    return spark.createDataFrame(grads, "i int, gradient double")
+
+
+_HASH = "('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|{}'), 1, 13))::BIGINT"
+
+
+@query("fold_ids", sql=f"""
+SELECT vec_id, CAST({_HASH.format(SEED)} % 3 AS INTEGER) AS fold FROM embeddings""")
+def q_fold_ids(spark, sf_dir):
+    return read_table(spark, sf_dir, "embeddings").select("vec_id", fold_of(["vec_id"], 3, SEED).alias("fold"))
+
+
+def _poisson_sql() -> str:
+    u = f"{_HASH.format('{r}|' + str(SEED))} / 4503599627370496.0"
+    cdf, term, out = 0.0, math.exp(-1.0), []
+    for j in range(12):
+        cdf += term
+        term /= j + 1
+        out.append(cdf)
+    return " UNION ALL ".join(
+        f"SELECT vec_id, {r} AS replica, CAST({' + '.join(f'CASE WHEN u >= {c!r} THEN 1 ELSE 0 END' for c in out)} "
+        f"AS DOUBLE) AS weight FROM (SELECT vec_id, {u.format(r=r)} AS u FROM embeddings)" for r in range(10))
+
+
+@query("bootstrap_weights", sql=_poisson_sql())
+def q_bootstrap_weights(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings")
+    weights = F.array(*[poisson_weight(["vec_id"], r, SEED) for r in range(10)])
+    return emb.select("vec_id", F.posexplode(weights).alias("replica", "weight"))
 
 
-@query("model_rf", note="rows-only")
+# Learners at the original's settings.
+
+@query("model_rf", note="rows-only: 100 trees, unlimited depth (Spark: 30)")
 def q_model_rf(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, random_forest(20, 10))
+    return _fit_predict(spark, sf_dir, base_learners()["rf100"])
+
 
+@query("model_rf_170", note="rows-only: 170 trees, depth 10")
+def q_model_rf_170(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, base_learners()["rf170"])
 
-@query("model_gbt", note="rows-only")
+
+@query("model_gbt", note="rows-only: 100 rounds, rate 0.3, depth 6")
 def q_model_gbt(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, gbt(10, 0.1, 4))
+    return _fit_predict(spark, sf_dir, base_learners()["xgb100"])
+
 
+@query("model_gbt_170", note="rows-only: 170 rounds, rate 0.1, depth 6")
+def q_model_gbt_170(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, base_learners()["xgb170"])
 
-@query("model_rff_svc", note="rows-only")
+
+@query("model_rff_svc", note="rows-only: 256 random features, 100 iterations")
 def q_model_rff_svc(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, rff_svc(128, max_iter=30))
+    return _fit_predict(spark, sf_dir, base_learners()["svc"])
 
 
-@query("stack", note="rows-only")
+@query("stack", note="rows-only: rf170, xgb170, lr; three folds")
 def q_stack(spark, sf_dir):
-    bl = base_learners("small")
+    bl = base_learners()
     est = StackingEstimator({k: bl[k] for k in ("rf170", "xgb170", "lr")},
-                            logistic(max_iter=50), num_folds=3, key_cols=["vec_id"])
+                            logistic(max_iter=100), num_folds=3, key_cols=["vec_id"])
     return _fit_predict(spark, sf_dir, est)
 
 
-@query("bag_of_stack", note="rows-only")
+@query("bag_of_stack", note="rows-only: ten replicas of the stack rf170, xgb170, lr on three folds")
 def q_bag_of_stack(spark, sf_dir):
-    def make(weight_col):
-        bl = base_learners("small", weight_col)
-        return StackingEstimator({k: bl[k] for k in ("rf170", "xgb170", "lr")},
-                                 logistic(max_iter=50, weight_col=weight_col), num_folds=2,
-                                 key_cols=["vec_id"], weight_col=weight_col)
-    return _fit_predict(spark, sf_dir, BaggingEstimator(make, num_models=2, key_cols=["vec_id"]))
+    return _fit_predict(spark, sf_dir, main_program_estimator(key_cols=["vec_id"]))
 
 
-@query("leaderboard", note="rows-only")
+@query("leaderboard", note="rows-only: the whole sweep at the original's settings")
 def q_leaderboard(spark, sf_dir):
-    data = learner_input(spark, sf_dir)
-    zoo = model_zoo("small", key_cols=["vec_id"])
-    models = {k: zoo[k] for k in ("LR-1000", "RF-100", "XGB-100", "STACK (rf, xgb)",
-                                  "BOOTSTRAP-RF-100")}
-    return leaderboard(data.where(~F.col("is_test")), data.where(F.col("is_test")), models,
-                       "embedding")
+    part, test = _split(spark, sf_dir)
+    zoo = model_zoo(key_cols=["vec_id"])
+    return leaderboard(part, test, {k: zoo[k] for k in zoo if not k.startswith("BAG-OF")}, "embedding")
 
 
 @query("predictions_flagship", note="rows-only: clean -> features -> LR -> predictions")
@@ -123,30 +199,35 @@ def q_predictions_flagship(spark, sf_dir):
 @query("predictions_scaled_per_match", note="rows-only: train with global maxima, score the "
        "unlabelled periods with maxima per match (per file), as the original scoring loop")
 def q_predictions_scaled_per_match(spark, sf_dir):
-    from tidemark.plans.features import Resources, build_features
-    from tidemark.plans.training import score, train
-    from tidemark.plans.resources import benchmark_lexicon
-    from tidemark.sources.adapters import document_posts
-
-    res = Resources(lexicon=benchmark_lexicon(spark, sf_dir))
-    posts = document_posts(spark, sf_dir)
-    model = train(build_features(posts, "features_only", res, label_agg="max"), "features_only",
-                  logistic(max_iter=100))
-    per_match = build_features(posts, "features_only", res, scale_by="match_id", label_agg="max")
+    res, posts, model = _trained(spark, sf_dir)
+    per_match = build_features(posts, "features_only", res, scale_by="match_id", label_agg="max", cleaned=True)
     return score(model, per_match.where(F.col("event_type").isNull()), "features_only")
 
 
-@query("predictions_main_program", note="rows-only: bagging of a stack (rf170, xgb170, lr) on "
-       "the volume_sentiment features, small preset")
+@query("predictions_scaled_as_trained", note="rows-only: the unlabelled periods scaled by the "
+       "maxima of the labelled ones")
+def q_predictions_scaled_as_trained(spark, sf_dir):
+    res, posts, model = _trained(spark, sf_dir)
+    maxima = training_maxima(posts, "features_only", res, cleaned=True)
+    feats = build_features(posts, "features_only", res, label_agg="max", cleaned=True, maxima=maxima)
+    return score(model, feats.where(F.col("event_type").isNull()), "features_only")
+
+
+def _trained(spark, sf_dir):
+    res = document_resources(spark, sf_dir)
+    posts = cached(clean_text(document_posts(spark, sf_dir), dictionary=res.dictionary,
+                              lemma_vocab=res.lemma_vocab, lemma_exceptions=res.lemma_exceptions))
+    feats = build_features(posts, "features_only", res, label_agg="max", cleaned=True)
+    return res, posts, train(feats, "features_only", logistic())
+
+
+@query("predictions_main_program", note="rows-only: bagging (10) of a stack (rf170, xgb170, lr; three "
+       "folds) on the volume_sentiment features")
 def q_predictions_main_program(spark, sf_dir):
-    from tidemark.plans.training import main_program_estimator
-    return flagship(spark, sf_dir, estimator=main_program_estimator("small"))
+    return flagship(spark, sf_dir, estimator=main_program_estimator())
 
 
-@query("leaderboard_feature_sets", note="rows-only: model sweep per feature configuration, "
-       "held out by group")
+@query("leaderboard_feature_sets", note="rows-only: the sweep's single learners on every feature "
+       "configuration, held out by group")
 def q_leaderboard_feature_sets(spark, sf_dir):
-    from tidemark.plans.training import feature_set_leaderboard
-    from tidemark.plans.q_features import TEST_SOURCES
-    return feature_set_leaderboard(spark, sf_dir, ("features_only", "embedding_only",
-                                                   "volume_sentiment"), TEST_SOURCES)
+    return feature_set_leaderboard(spark, sf_dir, tuple(CONFIGS), TEST_SOURCES, models=SINGLES)

@@ -5,8 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.fixed import NOUN_EXCEPTIONS, NOUN_SUFFIX_RULES
-from tidemark.functions.text import clean_regex, join_tokens, phrase_hits, tokenize
+from tidemark.functions.text import (
+    clean_regex,
+    join_tokens,
+    phrase_hits,
+    token_rows,
+    tokenize,
+)
 from tidemark.operators.lemma import lemmatize_tokens
 from tidemark.operators.periods import aggregate_periods
 from tidemark.operators.sentiment import sentiment_score
@@ -15,7 +20,6 @@ from tidemark.operators.text import frequency_dictionary, vocabulary, with_token
 from tidemark.plans import sqlfrag as S
 from tidemark.plans.registry import query
 from tidemark.plans.resources import (
-    DICT_MIN_COUNT,
     benchmark_lexicon,
     corpus_dictionary,
     english_documents,
@@ -39,8 +43,8 @@ def q_clean_regex(spark, sf_dir):
 SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS token
 FROM (SELECT doc_id, {S.tokens(S.clean('text'))} AS t FROM documents)""")
 def q_tokens(spark, sf_dir):
-    return _docs(spark, sf_dir).select(
-        "doc_id", F.posexplode(tokenize(clean_regex("text"))).alias("pos", "token"))
+    docs = _docs(spark, sf_dir).select("doc_id", tokenize(clean_regex("text")).alias("tokens"))
+    return token_rows(docs, ["doc_id"], pos="pos")
 
 
 @query("stopword_filter", sql=f"""
@@ -66,53 +70,21 @@ def q_frequency_dictionary(spark, sf_dir):
     return frequency_dictionary(docs, "tokens")
 
 
-# Spelling: every distinct stop-filtered English token against the corpus
-# dictionary. No SQL oracle: the distance is optimal string alignment, which
-# DuckDB lacks (its Damerau-Levenshtein is the unrestricted metric, and counts
-# bytes). ``spelling_bruteforce`` checks it against all pairs instead.
-@query("spell_correct", note="checked by brute force (scripts/spelling_bruteforce.py)")
+# Spelling: every distinct stop-filtered token of all documents against the
+# whole dictionary of the English ones.
+@query("spell_correct", sql=f"""
+WITH {S.EN_COUNTS}, {S.TOKS}, {S.SPELLED}
+SELECT token, corrected, CAST(distance AS INTEGER) AS distance FROM spelled""")
 def q_spell_correct(spark, sf_dir):
-    toks = vocabulary(with_tokens(english_documents(spark, sf_dir)))
+    toks = vocabulary(with_tokens(_docs(spark, sf_dir)))
     return correct_tokens(toks, corpus_dictionary(spark, sf_dir))
 
 
-def _lemma_sql() -> str:
-    rules = ", ".join(f"({i + 1}, {S.lit(o)}, {S.lit(n)})" for i, (o, n) in enumerate(NOUN_SUFFIX_RULES))
-    exc = ", ".join(f"({S.lit(a)}, {S.lit(b)})" for a, b in NOUN_EXCEPTIONS)
-
-    def step(src: str) -> str:
-        return (f"SELECT s.token, s.ord * 100 + r.ri AS ord, "
-                f"left(s.form, length(s.form) - length(r.old)) || r.new AS form "
-                f"FROM {src} s JOIN rules r ON suffix(s.form, r.old)")
-    return f"""
-WITH {S.EN_COUNTS},
-vocab AS (SELECT term AS form FROM en_counts WHERE cnt >= {DICT_MIN_COUNT}),
-rules AS (SELECT * FROM (VALUES {rules}) t(ri, old, new)),
-exc AS (SELECT * FROM (VALUES {exc}) t(token, lemma)),
-toks AS (SELECT DISTINCT unnest({S.drop_stop(S.tokens(S.clean('text')))}) AS token
-         FROM documents WHERE lang = 'en'),
-plain AS (SELECT token FROM toks WHERE token NOT IN (SELECT token FROM exc)),
-f0 AS (SELECT token, 0 AS ord, token AS form FROM plain),
-f1 AS ({step('f0')}),
-f2 AS ({step('f1')}),
-f3 AS ({step('f2')}),
-cands AS (
-  SELECT token, 0 AS lvl, ord, form FROM f0
-  UNION ALL SELECT token, 0, ord, form FROM f1
-  UNION ALL SELECT token, 1, ord, form FROM f2
-  UNION ALL SELECT token, 2, ord, form FROM f3
-  UNION ALL SELECT token, -1, 0, token FROM toks WHERE token IN (SELECT token FROM exc)
-  UNION ALL SELECT t.token, -1, 1, e.lemma FROM toks t JOIN exc e ON t.token = e.token),
-best AS (
-  SELECT token, form FROM (
-    SELECT c.*, row_number() OVER (PARTITION BY c.token ORDER BY lvl, length(c.form), ord) AS rn
-    FROM cands c JOIN vocab v ON c.form = v.form) WHERE rn = 1)
-SELECT t.token, coalesce(b.form, t.token) AS lemma FROM toks t LEFT JOIN best b ON t.token = b.token"""
-
-
-@query("lemma_lookup", sql=_lemma_sql())
+@query("lemma_lookup", sql=f"""
+WITH RECURSIVE {S.EN_COUNTS}, {S.TOKS}, {S.lemmas('toks')}
+SELECT token, lemma FROM lemma_of""")
 def q_lemma_lookup(spark, sf_dir):
-    toks = vocabulary(with_tokens(english_documents(spark, sf_dir)))
+    toks = vocabulary(with_tokens(_docs(spark, sf_dir)))
     vocab = corpus_dictionary(spark, sf_dir).select("term")
     return lemmatize_tokens(toks, vocab, lemma_exceptions(spark))
 
@@ -151,7 +123,7 @@ SELECT match_id, period_id, id, count(*) AS n_posts,
        round(avg(sentiment), {R}) AS sentiment, round(stddev_samp(sentiment), {R}) AS std_sentiment
 FROM scored GROUP BY ALL""")
 def q_sentiment_spread_by_period(spark, sf_dir):
-    posts = with_tokens(document_posts(spark, sf_dir))
+    posts = with_tokens(document_posts(spark, sf_dir, labelled=False))
     posts = sentiment_score(posts, benchmark_lexicon(spark, sf_dir))
     p = aggregate_periods(posts, scalar_cols=["sentiment"], spread_cols=["sentiment"],
                           label_col=None)
@@ -165,7 +137,7 @@ WITH {S.LEXICON},
 posts AS (
   SELECT CAST(conv_id AS VARCHAR) AS match_id, turn AS period_id,
          CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS id,
-         conv_id * 1000000 + turn AS post_id,
+         conv_id * 2147483648 + turn AS post_id,
          {S.drop_stop(S.tokens(S.clean('text')))} AS tokens
   FROM conversations),
 toks AS (SELECT post_id, unnest(tokens) AS token FROM posts),
@@ -189,8 +161,13 @@ def q_sentiment_conversations(spark, sf_dir):
                     F.round("phrase_hits", R).alias("phrase_hits"))
 
 
-@query("clean_text_full", note="rows-only: spelling has no SQL oracle; its parts are checked "
-       "separately (spell_correct by brute force, lemma_lookup by SQL)")
+@query("clean_text_full", sql=f"""
+WITH RECURSIVE {S.TOKEN_MAP},
+raw AS (SELECT doc_id, {S.drop_stop(S.tokens(S.clean('text')))} AS tokens FROM documents),
+m AS ({S.mapped('raw', 'doc_id')})
+SELECT r.doc_id, coalesce(array_to_string(m.tokens, ' '), '') AS clean,
+       CAST(len(r.tokens) AS INTEGER) AS n_tokens
+FROM raw r LEFT JOIN m USING (doc_id)""")
 def q_clean_text_full(spark, sf_dir):
     from tidemark.operators.text import clean_text
 

@@ -8,11 +8,12 @@ from tidemark.functions.vectors import round_vector
 from tidemark.operators.embedding import (
     attach_period_mean,
     encode_text,
+    hashed_token_counts,
     hashing_encoder,
     mean_word_vector,
     period_mean_vector,
     period_vector_sum,
-    post_vectors,
+    period_word_vector_sum,
 )
 from tidemark.operators.periods import PERIOD_KEYS, period_volume
 from tidemark.operators.text import with_tokens
@@ -67,9 +68,8 @@ SELECT per.match_id, per.period_id, per.id, per.n_posts,
 FROM per LEFT JOIN sums USING (match_id, period_id, id)""")
 def q_period_vector_from_words(spark, sf_dir):
     keys = list(PERIOD_KEYS)
-    posts = with_tokens(document_posts(spark, sf_dir))
-    sums = period_vector_sum(post_vectors(posts, corpus_word_vectors(spark, sf_dir),
-                                          keys + ["post_id"]), keys)
+    posts = with_tokens(document_posts(spark, sf_dir, labelled=False))
+    sums = period_word_vector_sum(posts, corpus_word_vectors(spark, sf_dir), keys)
     out = attach_period_mean(period_volume(posts), sums, keys, embedding_dim(spark, sf_dir))
     return out.select(*keys, "n_posts", round_vector("vec", V).alias("vec"))
 
@@ -77,7 +77,7 @@ def q_period_vector_from_words(spark, sf_dir):
 @query("encode_text_batch", note="rows-only: pluggable batch encoder via predict_batch_udf")
 def q_encode_text_batch(spark, sf_dir):
     keys = list(PERIOD_KEYS)
-    posts = with_tokens(document_posts(spark, sf_dir)).withColumn(
+    posts = with_tokens(document_posts(spark, sf_dir, labelled=False)).withColumn(
         "clean", F.concat_ws(" ", "tokens"))
     enc = encode_text(posts, "clean", 64, make_encoder=hashing_encoder(64), batch_size=128)
     sums = period_vector_sum(enc.select(*keys, "vec"), keys)
@@ -88,8 +88,19 @@ def q_encode_text_batch(spark, sf_dir):
 @query("encode_text_hashing", note="rows-only: JVM HashingTF encoder")
 def q_encode_text_hashing(spark, sf_dir):
     keys = list(PERIOD_KEYS)
-    posts = with_tokens(document_posts(spark, sf_dir))
+    posts = with_tokens(document_posts(spark, sf_dir, labelled=False))
     enc = encode_text(posts, "text", 256, tokens_col="tokens")
     sums = period_vector_sum(enc.select(*keys, "vec"), keys)
     out = attach_period_mean(period_volume(posts), sums, keys, 256)
     return out.select(*keys, "n_posts", round_vector("vec", V).alias("vec"))
+
+
+@query("hashed_token_sums", sql=f"""
+WITH {S.DOC_POSTS},
+toks AS (SELECT match_id, period_id, id, unnest(tokens) AS token FROM posts)
+SELECT match_id, period_id, id, CAST(('0x' || substr(md5(token), 1, 8))::BIGINT % 256 AS INTEGER) AS bucket,
+       count(*) AS n
+FROM toks GROUP BY ALL""")
+def q_hashed_token_sums(spark, sf_dir):
+    posts = with_tokens(document_posts(spark, sf_dir, labelled=False))
+    return hashed_token_counts(posts, list(PERIOD_KEYS), 256)

@@ -5,8 +5,8 @@ vectors, a stop list, a lemma database and a sentiment lexicon. None ships
 with the data here, and the invented prose matches few real English words,
 so the fixtures are derived from the tables by fixed rules:
 
-* dictionary: token counts of the English documents (``lang='en'``),
-  terms with at least ``DICT_MIN_COUNT`` occurrences;
+* dictionary: token counts of the English documents (``lang='en'``), all
+  terms (the documents of the other languages have the words to correct);
 * word vectors: English-document tokens (stop words removed) ranked by
   (count desc, token asc); rank r takes ``embeddings.embedding`` of
   ``vec_id = r``; tokens past the last vector are out of vocabulary;
@@ -21,21 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import ENGLISH_STOP_WORDS, NOUN_EXCEPTIONS
-from tidemark.functions.text import clean_regex, tokenize
+from tidemark.functions.text import clean_regex, token_rows, tokenize
 from tidemark.operators.periods import global_row_index
 from tidemark.operators.text import frequency_dictionary, with_tokens
 from tidemark.sources.adapters import read_table
 from tidemark.sources.io import materialize
 
-DICT_MIN_COUNT = 10
-
-
 def english_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").where(F.col("lang") == "en")
 
 
 def corpus_dictionary(spark: SparkSession, sf_dir: str,
-                      min_count: int = DICT_MIN_COUNT) -> DataFrame:
+                      min_count: int = 1) -> DataFrame:
     """Written once (one row per term): it is read by several branches of
     the spelling and lemma plans, each of which would re-clean the text."""
     docs = with_tokens(english_documents(spark, sf_dir), stop_words=None)
@@ -63,7 +60,7 @@ def embedding_dim(spark: SparkSession, sf_dir: str) -> int:
 
 def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = read_table(spark, sf_dir, "benchmark")
-    toks = bench.select(F.explode(tokenize(clean_regex("text"))).alias("token")).distinct()
+    toks = token_rows(bench.select(tokenize(clean_regex("text")).alias("tokens")), []).distinct()
     return toks.withColumn(
         "valence", ((F.length("token") % 9) - 4).cast("double") / F.lit(2.0))
 

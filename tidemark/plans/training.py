@@ -20,6 +20,7 @@ from tidemark.plans.resources import (
     embedding_dim,
     lemma_exceptions,
 )
+from tidemark.session import cached
 from tidemark.sources.adapters import document_posts
 
 
@@ -32,22 +33,24 @@ def document_resources(spark: SparkSession, sf_dir: str) -> Resources:
                      dim=embedding_dim(spark, sf_dir), lexicon=benchmark_lexicon(spark, sf_dir))
 
 
-# Training rows per partition: iterative learners run many small jobs, so
-# a period table spread over hundreds of tiny partitions wastes most time.
-ROWS_PER_TRAIN_PARTITION = 50_000
+# Partitions of a training table: iterative learners run many small jobs, so
+# few; a stated number, because forests draw their samples per partition.
+TRAIN_PARTITIONS = 4
 
 
-def train(features: DataFrame, config: str, estimator):
+def train(features: DataFrame, config: str, estimator, partitions: int = TRAIN_PARTITIONS,
+          key: str = "id"):
     """Fit ``estimator`` on the labelled periods of a feature table.
 
-    The (small, one row per period) training table is persisted once with
-    a partition count sized from its row count.
+    The training table (one row per period) is dealt to ``partitions`` by a
+    hash of its key, sorted within them and persisted for the fit, so the
+    same periods give the same model whatever the partitioning of their
+    source. (Another number of partitions gives another forest: its
+    bootstrap is drawn per partition. Raise it with the table.)
     """
-    data = assemble(features, config).where(F.col("label").isNotNull())
-    rows = data.count()
-    parts = max(1, min(data.sparkSession.sparkContext.defaultParallelism,
-                       -(-rows // ROWS_PER_TRAIN_PARTITION)))
-    data = data.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    data = (assemble(features, config).where(F.col("label").isNotNull())
+            .repartition(partitions, key).sortWithinPartitions(key)
+            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         return estimator.fit(data)
     finally:
@@ -67,8 +70,7 @@ def flagship(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment",
     predict every period. Returns ``id, event_type, labelled``."""
     res = document_resources(spark, sf_dir)
     feats = build_features(document_posts(spark, sf_dir), config, res, label_agg="max")
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    model = train(feats, config, estimator or logistic(max_iter=100))
+    model = train(feats, config, estimator or logistic())
     pred = score(model, feats, config)
     labelled = feats.select("id", F.col("event_type").isNotNull().alias("labelled"))
     return pred.join(labelled, "id")
@@ -93,26 +95,30 @@ def main_program_estimator(preset: str = "reference", key_cols=("id",)):
 
 
 def feature_set_leaderboard(spark: SparkSession, sf_dir: str, configs, test_groups,
-                            preset: str = "small") -> DataFrame:
+                            preset: str = "reference", models=None) -> DataFrame:
     """The sweep of the original scripts: for each feature configuration,
-    fit the model zoo on the periods of the training groups and report
-    accuracy on the held-out groups (``feature_set, model, accuracy``)."""
+    fit the model zoo (or the ``models`` of it) on the periods of the training
+    groups and report accuracy on the held-out groups (``feature_set, model,
+    accuracy``). Posts are fully cleaned once for all configurations."""
     from tidemark.learn.estimators import model_zoo
     from tidemark.learn.evaluate import leaderboard
     from tidemark.operators.split import split_by_group
+    from tidemark.operators.text import clean_text
 
     res = document_resources(spark, sf_dir)
-    res.dictionary = res.lemma_vocab = None          # regex + stop-word cleaning
-    posts = document_posts(spark, sf_dir)
+    posts = cached(clean_text(document_posts(spark, sf_dir), stop_words=res.stop_words,
+                              dictionary=res.dictionary, lemma_vocab=res.lemma_vocab,
+                              lemma_exceptions=res.lemma_exceptions))
     zoo = model_zoo(preset)
-    models = {k: zoo[k] for k in ("LR-1000", "RF-170 (10, sqrt)", "XGB-100")}
+    chosen = {k: zoo[k] for k in (models or zoo)}
     boards = []
     for config in configs:
-        feats = build_features(posts, config, res, label_agg="max")
-        data = split_by_group(assemble(feats, config).where(F.col("label").isNotNull()),
-                              "match_id", test_groups).persist(StorageLevel.MEMORY_AND_DISK)
+        feats = build_features(posts, config, res, label_agg="max", cleaned=True)
+        data = cached(split_by_group(assemble(feats, config).where(F.col("label").isNotNull())
+                                     .repartition(TRAIN_PARTITIONS, "id").sortWithinPartitions("id"),
+                                     "match_id", test_groups))
         boards.append(leaderboard(data.where(F.col("split") == "train"),
-                                  data.where(F.col("split") == "test"), models, config))
+                                  data.where(F.col("split") == "test"), chosen, config))
     out = boards[0]
     for b in boards[1:]:
         out = out.unionByName(b)

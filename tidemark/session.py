@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tidemark job relies on; anything the cluster already set wins.
 _DEFAULTS = {
@@ -46,25 +47,57 @@ def get_session(master: str | None = None, app: str = "tidemark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset - local runs and tests - a fresh folder under the system temp dir
-    is created and registered.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Only a local
+    session (one machine: tests, trial runs) may leave it unset and gets a
+    fresh folder under the system temp dir; on a cluster that would put
+    files where other executors cannot read them, so it is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                                   f"executors share (master {sc.master})")
             current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
     return current
 
 
+# Written tables and cached frames not yet released, per application.
+_SCRATCH: dict[str, list[str]] = {}
+_CACHED: dict[str, list[DataFrame]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder."""
+    """A unique path under the shared checkpoint folder, removed by :func:`release`."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """``df`` persisted until :func:`release` (or its own ``unpersist``)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(df)
+    return df
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the written tables and cached frames of all plans built so far.
+
+    Results are lazy and read them, so call it once results are consumed.
+    """
+    app = spark.sparkContext.applicationId
+    for df in _CACHED.pop(app, []):
+        df.unpersist()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in _SCRATCH.pop(app, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 _SHIPPED: set[str] = set()

@@ -11,6 +11,8 @@ from tidemark.sources.io import (
     POSTS_CSV_SCHEMA,
     materialize,
     read_frequency_dictionary,
+    read_lemmas,
+    read_lexicon,
     read_posts,
     read_terms,
     read_word_vectors,
@@ -20,5 +22,5 @@ from tidemark.sources.io import (
 __all__ = [
     "read_table", "event_posts", "document_posts", "conversation_posts",
     "POSTS_CSV_SCHEMA", "read_posts", "write_predictions", "read_frequency_dictionary",
-    "read_word_vectors", "read_terms", "materialize",
+    "read_word_vectors", "read_terms", "read_lemmas", "read_lexicon", "materialize",
 ]

@@ -55,8 +55,9 @@ def event_posts(spark: SparkSession, sf_dir: str, grouping: str = "type_hour") -
               .withColumn("event_type", F.lit(None).cast("double")))
 
 
-def document_posts(spark: SparkSession, sf_dir: str, period_size: int = 100) -> DataFrame:
-    """``documents`` left join ``labels`` as labelled text posts.
+def document_posts(spark: SparkSession, sf_dir: str, period_size: int = 100,
+                   labelled: bool = True) -> DataFrame:
+    """``documents`` left join ``labels`` as labelled text posts (``labelled=False``: no join).
 
     match = ``source``, period = ``doc_id div period_size``, post = document.
     ``event_type`` per post is ``1 - quality`` (NULL when unlabelled); the
@@ -65,8 +66,11 @@ def document_posts(spark: SparkSession, sf_dir: str, period_size: int = 100) ->
     per document.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return (docs.join(labels, "doc_id", "left")
+    if labelled:
+        docs = docs.join(read_table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    else:
+        docs = docs.withColumn("quality", F.lit(None).cast("int"))
+    return (docs
                 .select(
                     F.col("source").alias("match_id"),
                     F.floor(F.col("doc_id") / F.lit(period_size)).cast("long").alias("period_id"),
@@ -83,7 +87,7 @@ def conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (conv.select(
                 F.col("conv_id").cast("string").alias("match_id"),
                 F.col("turn").cast("long").alias("period_id"),
-                (F.col("conv_id") * F.lit(1_000_000) + F.col("turn")).alias("post_id"),
+                (F.col("conv_id") * F.lit(1 << 31) + F.col("turn")).alias("post_id"),
                 F.col("role"),
                 F.col("text"))
               .withColumn("id", _period_id(F.col("match_id")))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
 
-# Post files: one CSV per match with a header row; ``EventType`` is absent in
-# files to score, so it is nullable.
+# Columns of post files; a file to score has no ``EventType``, and files may
+# have their columns in any order.
 POSTS_CSV_SCHEMA = T.StructType([
     T.StructField("ID", T.StringType()),
     T.StructField("MatchID", T.StringType()),
@@ -18,29 +21,63 @@ POSTS_CSV_SCHEMA = T.StructType([
     T.StructField("Timestamp", T.LongType()),
     T.StructField("Tweet", T.StringType()),
 ])
+# What a file to score has, in its order.
+SCORE_CSV_COLUMNS = ("ID", "MatchID", "PeriodID", "Timestamp", "Tweet")
 
 _RENAMES = {"ID": "id", "MatchID": "match_id", "PeriodID": "period_id",
             "EventType": "event_type", "Timestamp": "ts", "Tweet": "text"}
 
 
-def read_posts(spark: SparkSession, path: str,
-               schema: T.StructType = POSTS_CSV_SCHEMA) -> DataFrame:
+def header_schema(header: list[str], schema: T.StructType = POSTS_CSV_SCHEMA) -> T.StructType:
+    """The schema of a file with this header: known columns typed, others read as text."""
+    known = {f.name: f for f in schema.fields}
+    return T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+
+
+def named_posts(df: DataFrame, schema: T.StructType = POSTS_CSV_SCHEMA) -> DataFrame:
+    """Post columns by their library names; those a file lacks are NULL, others are dropped."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType)
+                       .alias(_RENAMES.get(f.name, f.name)) for f in schema.fields],
+                     F.col("_metadata.file_name").alias("source_file"))
+
+
+def file_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of ``path`` by their header (first line). What reaches the driver is file names."""
+    lines = (spark.read.text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"))
+             .where(F.col("block") == 0).withColumn("at", F.monotonically_increasing_id()))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return {tuple(next(csv.reader([r.header.lstrip("\ufeff").rstrip("\r")]), [])): r.files for r in rows}
+
+
+def read_posts(spark: SparkSession, path: str, schema: T.StructType = POSTS_CSV_SCHEMA,
+               multi_line: bool = True) -> DataFrame:
     """Scan a folder of post CSVs into one posts table.
 
-    Quoted fields may span lines. Each row keeps its ``source_file`` so a
-    per-file step is a grouping key, not a loop over files. ``post_id`` is
-    unique per row; it is derived at scan time, so materialise the result
-    (``materialize``) before using it across several jobs.
+    Files are grouped by their header and each group is read with the types
+    of its own columns, checked against the header; so files without
+    ``EventType`` (files to score) and files with another column order can be
+    mixed. A missing column is NULL. Quoted fields may span lines; that makes
+    each file one task, so convert large files to parquet once, or pass
+    ``multi_line=False`` if no field holds a line break. Each row keeps its
+    ``source_file`` so a per-file step is a grouping key, not a loop over
+    files. ``post_id`` is unique per row; it is derived at scan time, so
+    materialise the result (``materialize``) before using it across several
+    jobs.
     """
-    header = spark.read.option("header", True).csv(path).columns if schema is None else None
-    reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("escape", '"').option("mode", "FAILFAST"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path)
-    cols = header or df.columns
-    out = df.select(*[F.col(c).alias(_RENAMES.get(c, c)) for c in cols],
-                    F.col("_metadata.file_name").alias("source_file"))
+    out = None
+    groups = file_headers(spark, path)
+    for header, files in sorted(groups.items()):
+        part = named_posts(
+            spark.read.schema(header_schema(list(header), schema)).option("header", True)
+            .option("enforceSchema", False).option("multiLine", multi_line).option("escape", '"')
+            .option("mode", "FAILFAST").csv(path if len(groups) == 1 else files), schema)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise FileNotFoundError(f"no post files in {path}")
     return out.withColumn("post_id", F.monotonically_increasing_id())
 
 
@@ -64,15 +101,41 @@ def read_frequency_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_word_vectors(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
-    """Text word vectors ``word v1 ... vd`` (S7) -> ``word string, vec array<double>``."""
+    """Text word vectors ``word v1 ... vd`` (S7) -> ``word string, vec array<double>``.
+
+    With ``dim``, lines of another width are left out; they are counted and a
+    warning tells how many.
+    """
     parts = F.split(F.col("value"), " ")
     vec = F.slice(parts, 2, F.size(parts) - 1).cast("array<double>")
     out = spark.read.text(path).select(F.element_at(parts, 1).alias("word"), vec.alias("vec"))
     if dim is not None:
+        odd = out.where(F.size("vec") != dim).count()
+        if odd:
+            warnings.warn(f"{path}: {odd} lines are not of {dim} numbers and are left out", stacklevel=2)
         out = out.where(F.size("vec") == dim)
     return out
 
 
+def read_lemmas(spark: SparkSession, path: str) -> DataFrame:
+    """``token lemma`` lines, separated by white space."""
+    return _two_columns(spark, path, "lemma", "string")
+
+
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """``token valence`` lines, separated by a tab or space; further fields are ignored."""
+    return _two_columns(spark, path, "valence", "double")
+
+
+def _two_columns(spark: SparkSession, path: str, second: str, kind: str) -> DataFrame:
+    parts = F.split(F.trim("value"), r"\s+")
+    value = F.get(parts, F.lit(1))
+    return (spark.read.text(path)
+            .select(F.get(parts, F.lit(0)).alias("token"),
+                    value.try_cast(kind).alias(second))
+            .where((F.col("token") != "") & F.col(second).isNotNull()))
+
+
 def read_terms(spark: SparkSession, path: str, col: str = "token") -> DataFrame:
     """One term per line (stop list, lemma vocabulary)."""
     return (spark.read.text(path).select(F.trim("value").alias(col))
