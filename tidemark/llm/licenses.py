@@ -138,12 +138,13 @@ def _split(text: str, at: int):
 
 
 def recognise(text: str | None) -> list[tuple[int, int, str]]:
-    """Known sentences: ``(start, end, identifier)`` in text order, without overlaps (the longest of those that
-    start together)."""
+    """Known sentences: ``(start, end, identifier)`` in text order, without overlaps (the tightest unit of one
+    sentence, the longest of different ones that start together)."""
     if not text or not _TRIGGER.search(text):
         return []
     known = sentences()
     found = {(s, e, known[n]) for s, e, u in _units(text) if _TRIGGER.search(u) and (n := normal(u)) in known}
+    found = {f for f in found if not any(g != f and g[2] == f[2] and f[0] <= g[0] and g[1] <= f[1] for g in found)}
     out: list[tuple[int, int, str]] = []
     for f in sorted(found, key=lambda f: (f[0], -f[1])):
         if not out or f[0] >= out[-1][1]:

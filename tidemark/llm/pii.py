@@ -200,7 +200,8 @@ def shaped(mention: str, new: str, kind: str) -> str:
     return new
 
 
-def replace(text: str | None, attempts: Callable[[tuple[str, str]], int], key: bytes = KEY) -> tuple[str | None, int]:
+def replace(text: str | None, attempts: Callable[[tuple[str, str]], int], key: bytes = KEY,
+            make: Callable[..., str] = surrogate) -> tuple[str | None, int]:
     """The text with its entities replaced, and how many there were."""
     found = detect(text)
     if not found:
@@ -208,19 +209,20 @@ def replace(text: str | None, attempts: Callable[[tuple[str, str]], int], key: b
     out, at = [], 0
     for start, end, kind, value in found:
         norm = normal(kind, value)
-        out += [text[at:start], shaped(value, surrogate(kind, norm, attempts((kind, norm)), key), kind)]
+        out += [text[at:start], shaped(value, make(kind, norm, attempts((kind, norm)), key), kind)]
         at = end
     return "".join(out) + text[at:], len(found)
 
 
-def _fresh(entities: DataFrame, key: bytes) -> DataFrame:
+def _fresh(entities: DataFrame, key: bytes, make: Callable[..., str]) -> DataFrame:
     @F.pandas_udf("string")
     def new(kind: pd.Series, value: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(k, v, int(a), key) for k, v, a in zip(kind, value, attempt, strict=True)])
+        return pd.Series([make(k, v, int(a), key) for k, v, a in zip(kind, value, attempt, strict=True)])
     return entities.withColumn("new", new("kind", "value", "attempt"))
 
 
-def later_attempts(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataFrame:
+def later_attempts(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
+                   make: Callable[..., str] = surrogate) -> DataFrame:
     """``kind, value, attempt`` of the entities whose first surrogate was taken.
 
     All distinct entities of the table are compared: a surrogate must differ
@@ -236,7 +238,7 @@ def later_attempts(docs: DataFrame, key: bytes = KEY, text_col: str = "text") ->
                    .distinct().withColumn("attempt", F.lit(0)), "pii-entities")
     # Given names of either gender share one space of surrogates, as do surnames.
     space = F.split(F.col("kind"), ":")[0]
-    everyone = _fresh(real, key).withColumn("space", space)
+    everyone = _fresh(real, key, make).withColumn("space", space)
     taken = real.select(space.alias("space"), F.col("value").alias("new")).distinct().withColumn("real", F.lit(True))
     moved = None
     while True:
@@ -250,12 +252,12 @@ def later_attempts(docs: DataFrame, key: bytes = KEY, text_col: str = "text") ->
         moved = again if moved is None else moved.join(again, ["kind", "value"], "left_anti").unionByName(again)
         moved = written(moved, "pii-moved")
         everyone = _fresh(real.drop("attempt").join(moved, ["kind", "value"], "left")
-                          .fillna(0, ["attempt"]), key).withColumn("space", space)
+                          .fillna(0, ["attempt"]), key, make).withColumn("space", space)
     return moved if moved is not None else real.limit(0)
 
 
 def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
-                    max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+                    max_broadcast: int = MAX_BROADCAST, make: Callable[..., str] = surrogate) -> DataFrame:
     """``docs`` with the text replaced and a last column ``n_entities``.
 
     All columns are kept (an input column ``n_entities`` is replaced). Null
@@ -266,7 +268,7 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
     """
     spark = docs.sparkSession
     small_batches(spark)
-    moved = later_attempts(docs, key, text_col)
+    moved = later_attempts(docs, key, text_col, make)
     few = moved.limit(max_broadcast + 1).collect()
     text = F.col(f"`{text_col}`")
 
@@ -276,7 +278,7 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
         @F.pandas_udf("text string, n_entities int")
         def changed(texts: pd.Series) -> pd.DataFrame:
             later = shared.value
-            return pd.DataFrame([replace(t, lambda e: later.get(e, 0), key) for t in texts],
+            return pd.DataFrame([replace(t, lambda e: later.get(e, 0), key, make) for t in texts],
                                 columns=["text", "n_entities"])
 
         out, made = docs, changed(text)
@@ -297,7 +299,7 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
             rows = []
             for t, own_later in zip(texts, later, strict=True):
                 known = {(e["kind"], e["value"]): e["attempt"] for e in (own_later if own_later is not None else [])}
-                rows.append(replace(t, lambda e, known=known: known.get(e, 0), key))
+                rows.append(replace(t, lambda e, known=known: known.get(e, 0), key, make))
             return pd.DataFrame(rows, columns=["text", "n_entities"])
 
         out = docs.join(own, F.xxhash64(text) == F.col("__hash"), "left")
