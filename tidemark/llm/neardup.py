@@ -7,10 +7,13 @@ ordered pick is equal, which is likely for texts at a small edit distance and
 unlikely for texts that share words in another order. Candidates are verified
 by a banded alignment of their labelled shingles.
 
-Exact copies are one text. Few texts under a key give all their pairs. Many
-texts under a key are keyed again by two equal picks; where still many meet
-they are compared with the lowest of them, and whatever is not linked to it
-with all the others, so no link is lost.
+Exact copies are one text. Few texts under a key give all their pairs. In a
+crowd under a key every text is compared with the crowd's leader, the text
+that is in the most crowds. What is not linked to the leader goes on under
+new keys, made of what the texts have and the leader has not: texts that only
+share a passage part ways, while copies of a variant meet again. This is
+repeated as long as there are crowds, so the work grows with the number of
+texts and not with the square of a crowd.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 16            # equal at 0.8: half of them each; none of 16: one pair in 100,000
 PICKS = 3
-PAIRS_UP_TO = 32         # texts under a key that give all their pairs
+PAIRS_UP_TO = 12         # texts under a key that give all their pairs
+ROUNDS = 6               # of leaders; what is left of crowds after them is compared pair by pair
 CACHE_WORDS = 400_000
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
 _POWERS = np.random.default_rng(7).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -124,6 +128,17 @@ def alignment(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> f
     return length / (n + m - length) if length >= need else 0.0
 
 
+def residual_keys(own: np.ndarray, leader: np.ndarray, leader_key: int) -> list[int]:
+    """Keys of what a text has and the leader has not: the least of it under each hash function."""
+    rest = np.setdiff1d(own, leader, assume_unique=True)
+    with np.errstate(over="ignore"):
+        if not len(rest):
+            return [leader_key]
+        least = _mix(rest[None, :] ^ _SEEDS[:, None]).min(axis=1)
+        keys = _mix(least ^ _SEEDS ^ np.array(leader_key, np.int64).view(np.uint64))
+    return sorted(set(keys.view(np.int64).tolist()))
+
+
 def text_key(text: Column) -> Column:
     """Texts are told apart by their MD5 (null: the empty text)."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
@@ -150,15 +165,18 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame) -> DataFrame:
-    """All pairs ``a < b`` of the few texts under each key of ``(key, tid)``."""
-    together = members.groupBy("key").agg(F.sort_array(F.collect_list("tid")).alias("t"))
-    return (together.select("t", F.posexplode("t").alias("i", "a"))
-            .select("a", F.explode(F.slice("t", F.col("i") + 2, F.size("t"))).alias("b")))
+    """Pairs ``a < b`` of the few texts under each key of ``(key, tid, open)``, one of them open at least."""
+    together = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("tid", "open"))).alias("t"))
+    pairs = (together.select("t", F.posexplode("t").alias("i", "x"))
+             .select("x", F.explode(F.slice("t", F.col("i") + 2, F.size("t"))).alias("y")))
+    return pairs.where(F.col("x.open") | F.col("y.open")).select(
+        F.col("x.tid").alias("a"), F.col("y.tid").alias("b"), F.lit(False).alias("lead"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``a, b, similarity`` of the pairs that hold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
+    """``a, b, lead, similarity, keys`` of the pairs that hold; of all pairs with a leader, with the
+    residual keys of ``b`` (similarity 0: not linked)."""
+    needed = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "tid")
 
     def hashed(batches):
         seen = _Hashes()
@@ -171,56 +189,62 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     def run(batches):
         last, own = None, None
         for batch in batches:
-            out = {"a": [], "b": [], "similarity": []}
-            for a, b, wa, wb in zip(batch["a"], batch["b"], batch["wa"], batch["wb"], strict=True):
+            out = {"a": [], "b": [], "lead": [], "similarity": [], "keys": []}
+            for a, b, lead, wa, wb in zip(*(batch[c] for c in ("a", "b", "lead", "wa", "wb")), strict=True):
                 if a != last:
                     last, own = a, labelled(np.frombuffer(wa, np.uint32))
-                s = alignment(own, labelled(np.frombuffer(wb, np.uint32)), similarity)
-                if s:
-                    for c, v in zip(out, (a, b, s), strict=True):
+                other = labelled(np.frombuffer(wb, np.uint32))
+                s = alignment(own, other, similarity)
+                if s or lead:
+                    keys = residual_keys(other, own, xxhash.xxh3_64_intdigest(a) >> 1) if lead else []
+                    for c, v in zip(out, (a, b, lead, s, keys), strict=True):
                         out[c].append(v)
             yield out
 
-    joined = (pairs.join(found.select(F.col("tid").alias("a"), F.col("words").alias("wa")), "a")
-              .join(found.select(F.col("tid").alias("b"), F.col("words").alias("wb")), "b"))
-    return map_batches(joined.select("a", "b", "wa", "wb"), run, "a binary, b binary, similarity double")
+    # The pairs of a text stand together, so its shingles are made once for them.
+    joined = (pairs.join(found.select(F.col("tid").alias("b"), F.col("words").alias("wb")), "b")
+              .join(found.select(F.col("tid").alias("a"), F.col("words").alias("wa")), "a"))
+    return map_batches(joined.select("a", "b", "lead", "wa", "wb"), run,
+                       "a binary, b binary, lead boolean, similarity double, keys array<long>")
 
 
 def near_links(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO,
-               text_col: str = "text") -> DataFrame:
+               rounds: int = ROUNDS, text_col: str = "text") -> DataFrame:
     """Links ``a, b, similarity`` between distinct texts (by :func:`text_key`), enough to connect all alike ones."""
     small_batches(docs.sparkSession)
     texts = docs.select(text_key(F.col(f"`{text_col}`")).alias("tid"), F.col(f"`{text_col}`").alias("text"))
-    sketches = written(_sketches(texts), "near-sketches")
-    keyed = sketches.select("tid", F.posexplode("keys").alias("j", "h")).select(
-        "tid", F.xxhash64("j", "h").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    members = written(keyed.join(sizes, "key"), "near-members")
-    few, many = members.where(F.col("n") <= pairs_up_to), members.where(F.col("n") > pairs_up_to)
-    # Under a crowded key: texts with another equal pick besides.
-    again = (many.select("tid", "key").join(sketches, "tid")
-             .select("tid", "key", F.posexplode("keys").alias("j", "h"))
-             .withColumn("other", F.xxhash64("j", "h")).where(F.col("other") != F.col("key"))
-             .select("tid", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")).distinct())
-    again = written(again, "near-again")
-    sizes = again.groupBy("key").agg(F.count("*").alias("n"), F.min("tid").alias("a")).where(F.col("n") > 1)
-    again = written(again.join(sizes, "key"), "near-crowds")
-    crowds = again.where(F.col("n") > pairs_up_to)
-    pairs = (_pairs(few.select("key", "tid"))
-             .unionByName(_pairs(again.where(F.col("n") <= pairs_up_to).select("key", "tid")))
-             .unionByName(crowds.where(F.col("tid") != F.col("a")).select("a", F.col("tid").alias("b"))))
-    pairs = written(pairs.distinct(), "near-pairs")
-    links = written(_verified(pairs, texts, similarity), "near-links")
-    # Texts in a crowd that are not linked to its lowest text: with all the others.
-    loose = (crowds.where(F.col("tid") != F.col("a")).select("key", "a", F.col("tid").alias("b"))
-             .join(links.select("a", "b"), ["a", "b"], "left_anti").select("key", F.col("b").alias("x")))
-    rest = (loose.join(crowds.select("key", F.col("tid").alias("y")), "key").where(F.col("x") != F.col("y"))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    rest = written(rest, "near-rest")
-    if rest.isEmpty():
-        return links
-    return links.unionByName(_verified(rest, texts, similarity))
+    members = (written(_sketches(texts), "near-sketches")
+               .select("tid", F.posexplode("keys").alias("j", "h"), F.lit(True).alias("open"))
+               .select("tid", F.xxhash64("j", "h").alias("key"), "open"))
+    links = None
+    for round_ in range(rounds + 1):
+        # Keys with two texts at least and one of them open, that is not linked to the leaders it has met.
+        sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any"))
+        members = written(members.join(sizes.where((F.col("n") > 1) & F.col("any")).drop("any"), "key"),
+                          "near-members")
+        last = round_ == rounds
+        crowd = members.where(F.col("n") > pairs_up_to)
+        if last:
+            pairs = (crowd.where("open").select("key", F.col("tid").alias("x"))
+                     .join(crowd.select("key", F.col("tid").alias("y")), "key").where(F.col("x") != F.col("y"))
+                     .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("lead")))
+        else:
+            weight = crowd.groupBy("tid").agg(F.count("*").alias("w"))
+            leaders = crowd.join(weight, "tid").groupBy("key").agg(F.max(F.struct("w", "tid")).alias("top"))
+            pairs = (crowd.join(leaders.select("key", F.col("top.tid").alias("a")), "key")
+                     .where(F.col("tid") != F.col("a")).select("a", F.col("tid").alias("b"), F.lit(True).alias("lead")))
+        few = _pairs(members.where(F.col("n") <= pairs_up_to))
+        pairs = written(few.unionByName(pairs).groupBy("a", "b").agg(F.max("lead").alias("lead")), "near-pairs")
+        if pairs.isEmpty():
+            break
+        checked = written(_verified(pairs, texts, similarity), "near-checked")
+        found = checked.where(F.col("similarity") > 0).select("a", "b", "similarity")
+        links = found if links is None else links.unionByName(found)
+        members = (checked.where("lead").select(F.col("b").alias("tid"), (F.col("similarity") == 0).alias("open"),
+                                                F.explode_outer("keys").alias("key"))
+                   .groupBy("key", "tid").agg(F.max("open").alias("open")))
+    return links if links is not None else texts.sparkSession.createDataFrame(
+        [], "a binary, b binary, similarity double")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
