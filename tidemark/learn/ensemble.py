@@ -29,7 +29,7 @@ from tidemark.learn.evaluate import score_column
 
 # Independent fits submitted together from driver threads (Spark runs their
 # jobs concurrently, as CrossValidator(parallelism=) does).
-DEFAULT_PARALLELISM = 4
+DEFAULT_PARALLELISM = 8
 
 
 def fit_all(jobs: list[tuple], parallelism: int = DEFAULT_PARALLELISM) -> list:

@@ -35,7 +35,7 @@ def document_resources(spark: SparkSession, sf_dir: str) -> Resources:
 
 # Partitions of a training table: iterative learners run many small jobs, so
 # few; a stated number, because forests draw their samples per partition.
-TRAIN_PARTITIONS = 4
+TRAIN_PARTITIONS = 2
 
 
 def train(features: DataFrame, config: str, estimator, partitions: int = TRAIN_PARTITIONS,
