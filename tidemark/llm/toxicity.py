@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold_col, map_batches, small_batches
+from tidemark.llm.common import fold_col, map_batches, small_batches, written
 
 FIT_TOXIC = 2500         # labelled documents to learn from, the lowest by a hash of their ids
 FIT_CLEAN = 5000
@@ -90,8 +90,7 @@ def grammar(reach: int = 3, negated: float = -0.8, reported: float = -0.5, direc
             threat: float = 1.0) -> Transducer:
     """Negation, report, insult and threat transducers composed, in that order.
 
-    * negation: an insult or threat within ``reach`` words after a negation is
-      passed on as an ordinary word and costs ``negated``;
+    * negation: an insult or threat within ``reach`` words after a negation costs ``negated``;
     * reported speech: a report word or quotation mark anywhere before takes
       ``reported`` off an insult or threat;
     * insult: 1 each, and ``directed`` more with a target next to it;
@@ -177,12 +176,10 @@ class Matcher:
         found, at = [], 0
         for clause in codes.split(bytes([BREAK])):
             if INSULT in clause or THREAT in clause:
-                state, gain, strong = 0, 0.0, 1.0
-                for i, symbol in enumerate(clause):
+                state, gain = 0, 0.0
+                for symbol in clause:
                     gain += self.gain[state][symbol]
                     state = self.next[state][symbol]
-                    if symbol == INSULT:
-                        strong = max(strong, self.weights.get(tokens[at + i], 1.0))
                 insults = [self.weights.get(tokens[at + i], 0.0) for i, s in enumerate(clause) if s == INSULT]
                 weight = gain * (max(insults) if insults else 1.0)
                 if weight > 0:
@@ -200,14 +197,19 @@ class Matcher:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """A bounded share of the labelled training rows: ``text, y, w``; text and label only."""
+    """A bounded share of the labelled training rows: ``text, y, w``; text and label only.
+
+    The sampled ids are few by the bounds above and go to all tasks, so no text is shuffled; the
+    sample is written once.
+    """
     y = labels.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("y"))
     n = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = [min(1.0, FIT_CLEAN / max(n.get(0, 0), 1)), min(1.0, FIT_TOXIC / max(n.get(1, 0), 1))]
     cut = F.when(F.col("y") == 1, int(share[1] * (1 << 20))).otherwise(int(share[0] * (1 << 20)))
     y = y.where((fold_col(id_col, 4) != 2) & (F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < cut))
-    return (docs.select(F.col(id_col), F.col(text_col).alias("text")).join(y, id_col)
-            .withColumn("copy", F.xxhash64("text")).dropDuplicates(["copy", "y"])   # copies teach once
+    rows = written(docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(y), id_col)
+                   .select("text", "y"), "toxic-sample")
+    return (rows.withColumn("copy", F.xxhash64("text")).dropDuplicates(["copy", "y"])   # copies teach once
             .select("text", "y", F.when(F.col("y") == 1, 1 / max(share[1], 1e-9)).otherwise(
                 1 / max(share[0], 1e-9)).alias("w")))
 
