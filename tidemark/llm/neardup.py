@@ -8,9 +8,9 @@ unlikely for texts that share words in another order. Candidates are verified
 by a banded alignment of their labelled shingles.
 
 Exact copies are one text. Few texts under a key give all their pairs. In a
-crowd under a key every text is compared with the crowd's leader, the text
-that is in the most crowds. What is not linked to the leader goes on under
-new keys, made of what the texts have and the leader has not: texts that only
+crowd under a key every text is compared with the crowd's leaders, texts that
+are in the most crowds. What is not linked to the first leader goes on under
+new keys, made of what the texts have and that leader has not: texts that only
 share a passage part ways, while copies of a variant meet again. This is
 repeated as long as there are crowds, so the work grows with the number of
 texts and not with the square of a crowd.
@@ -33,6 +33,8 @@ SIMILARITY = 0.8
 SKETCHES = 16            # equal at 0.8: half of them each; none of 16: one pair in 100,000
 PICKS = 3
 PAIRS_UP_TO = 12         # texts under a key that give all their pairs
+LEADERS = 3              # of a crowd: texts in as many crowds as any, by three hashes
+RESIDUAL_KEYS = 10       # least shingles that a text keeps of what its leader has not
 ROUNDS = 6               # of leaders; what is left of crowds after them is compared pair by pair
 CACHE_WORDS = 400_000
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
@@ -134,8 +136,8 @@ def residual_keys(own: np.ndarray, leader: np.ndarray, leader_key: int) -> list[
     with np.errstate(over="ignore"):
         if not len(rest):
             return [leader_key]
-        least = _mix(rest[None, :] ^ _SEEDS[:, None]).min(axis=1)
-        keys = _mix(least ^ _SEEDS ^ np.array(leader_key, np.int64).view(np.uint64))
+        least = _mix(rest[None, :] ^ _SEEDS[:RESIDUAL_KEYS, None]).min(axis=1)
+        keys = _mix(least ^ _SEEDS[:RESIDUAL_KEYS] ^ np.array(leader_key, np.int64).view(np.uint64))
     return sorted(set(keys.view(np.int64).tolist()))
 
 
@@ -173,19 +175,22 @@ def _pairs(members: DataFrame) -> DataFrame:
         F.col("x.tid").alias("a"), F.col("y.tid").alias("b"), F.lit(False).alias("lead"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``a, b, lead, similarity, keys`` of the pairs that hold; of all pairs with a leader, with the
-    residual keys of ``b`` (similarity 0: not linked)."""
-    needed = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "tid")
-
+def _word_table(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """``tid, words`` (hashes of 32 bits) of the needed texts. Texts move once, and always by the same
+    plan: how many are needed grows with the table."""
     def hashed(batches):
         seen = _Hashes()
         for b in batches:
             yield {"tid": b["tid"], "words": [word_hashes(t, seen).tobytes() for t in b["text"]]}
 
-    found = written(map_batches(texts.join(needed, "tid", "left_semi"), hashed, "tid binary, words binary")
-                    .groupBy("tid").agg(F.first("words").alias("words")), "near-words")
+    wanted = texts.join(needed.hint("shuffle_merge"), "tid", "left_semi")
+    return written(map_batches(wanted, hashed, "tid binary, words binary")
+                   .groupBy("tid").agg(F.first("words").alias("words")), "near-words")
 
+
+def _verified(pairs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """``a, b, lead, similarity, keys`` of the pairs that hold; of all pairs with a leader, with the
+    residual keys of ``b`` (similarity 0: not linked)."""
     def run(batches):
         last, own = None, None
         for batch in batches:
@@ -216,12 +221,14 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
     members = (written(_sketches(texts), "near-sketches")
                .select("tid", F.posexplode("keys").alias("j", "h"), F.lit(True).alias("open"))
                .select("tid", F.xxhash64("j", "h").alias("key"), "open"))
-    links = None
+    links = found = None
     for round_ in range(rounds + 1):
         # Keys with two texts at least and one of them open, that is not linked to the leaders it has met.
         sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any"))
         members = written(members.join(sizes.where((F.col("n") > 1) & F.col("any")).drop("any"), "key"),
                           "near-members")
+        if found is None:
+            found = _word_table(texts, members.select("tid").distinct())
         last = round_ == rounds
         crowd = members.where(F.col("n") > pairs_up_to)
         if last:
@@ -230,16 +237,18 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
                      .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("lead")))
         else:
             weight = crowd.groupBy("tid").agg(F.count("*").alias("w"))
-            leaders = crowd.join(weight, "tid").groupBy("key").agg(F.max(F.struct("w", "tid")).alias("top"))
-            pairs = (crowd.join(leaders.select("key", F.col("top.tid").alias("a")), "key")
-                     .where(F.col("tid") != F.col("a")).select("a", F.col("tid").alias("b"), F.lit(True).alias("lead")))
+            best = [F.max(F.struct("w", F.xxhash64("tid", F.lit(i)).alias("h"), "tid"))["tid"] for i in range(LEADERS)]
+            leaders = (crowd.join(weight, "tid").groupBy("key").agg(F.array(*best).alias("top"))
+                       .select("key", F.posexplode("top").alias("i", "a")))
+            pairs = (crowd.join(leaders, "key").where(F.col("tid") != F.col("a"))
+                     .select("a", F.col("tid").alias("b"), (F.col("i") == 0).alias("lead")))
         few = _pairs(members.where(F.col("n") <= pairs_up_to))
         pairs = written(few.unionByName(pairs).groupBy("a", "b").agg(F.max("lead").alias("lead")), "near-pairs")
         if pairs.isEmpty():
             break
-        checked = written(_verified(pairs, texts, similarity), "near-checked")
-        found = checked.where(F.col("similarity") > 0).select("a", "b", "similarity")
-        links = found if links is None else links.unionByName(found)
+        checked = written(_verified(pairs, found, similarity), "near-checked")
+        linked = checked.where(F.col("similarity") > 0).select("a", "b", "similarity")
+        links = linked if links is None else links.unionByName(linked)
         members = (checked.where("lead").select(F.col("b").alias("tid"), (F.col("similarity") == 0).alias("open"),
                                                 F.explode_outer("keys").alias("key"))
                    .groupBy("key", "tid").agg(F.max("open").alias("open")))
