@@ -39,6 +39,13 @@ def test_repeated_paragraphs_count():
     assert len(set(one.tolist())) == 3 and set(two.tolist()) < set(one.tolist())
 
 
+def test_digests_of_short_repeated_paragraphs_are_distinct():
+    t = "\n".join(["a", "b", "ab", "!"] * 3000)
+    assert len(fingerprints.digests(t)) == 12_000
+    one, two = fingerprints.digests(t), fingerprints.digests(t + "\nab\nzz")
+    assert fingerprints.likeness([one], [two])[0] == 12_000 / 12_002
+
+
 def test_failed_sketches_are_built_larger():
     small = fingerprints.Sketches.of([fingerprints.digests(text(random.Random(1), 200))], fingerprints.CELLS)
     assert not small.minus(fingerprints.Sketches(1, fingerprints.CELLS)).peel()[2][0]

@@ -27,7 +27,8 @@ from tidemark.llm.common import map_batches, small_batches
 CELLS = 12               # cells of a stored fingerprint, three tables of four
 GROWTH = 4               # a failed sketch is built so many times larger
 UNIT_CHARS = 100         # longest paragraph piece
-BATCH_CHARS = 4_000_000  # text handled at once in a task
+BATCH_CHARS = 1_000_000  # text handled at once in a task
+BATCH_ROWS = 64          # rows handed to Python at once: neighbours by id may all be very long
 _BREAK = re.compile(r"\n|(?<=[.!?;]) ")
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -44,13 +45,17 @@ def paragraphs(text: str) -> list[str]:
 
 
 def digests(text: str) -> np.ndarray:
-    """One distinct 64-bit digest per paragraph (its hash seeded by its occurrence number)."""
+    """One distinct 64-bit digest per paragraph, of its occurrence number and its text.
+
+    (A seed would not do for the number: seeded hashes of texts of a few bytes collide. Peeling
+    needs distinct digests, so equal ones would count once.)
+    """
     seen: dict[str, int] = {}
     out = []
     for unit in paragraphs(text):
         n = seen[unit] = seen.get(unit, -1) + 1
-        out.append(xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), n))
-    return np.array(out, np.uint64)
+        out.append(xxhash.xxh3_64_intdigest(b"%d " % n + unit.encode("utf-8", "surrogatepass")))
+    return np.unique(np.array(out, np.uint64))
 
 
 def _mix(x: np.ndarray, c: np.uint64) -> np.ndarray:
@@ -192,7 +197,7 @@ def fingerprint_edits(docs: DataFrame, ranges: int | None = None, id_col: str =
     is read as a stream, so memory is bounded by a batch of texts.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_ROWS)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "ord", F.coalesce(F.col("doc_id"), F.lit(-(1 << 62))))
