@@ -91,6 +91,34 @@ def test_classes_by_brute_force(spark, seed):
     assert classes(neardup.near_classes(frame(spark, rows))) == brute_classes(rows)
 
 
+def test_alike_texts_around_a_template(spark):
+    """Pairs that are alike but not with any leader, which holds most of their text: none is lost."""
+    rng, rows = random.Random(11), []
+    template = [f"t{i}" for i in range(89)]
+    for k in range(100):
+        shared = [f"s{k}_{i}" for i in range(4)]
+        for v in range(2):
+            rows.append((len(rows), " ".join(template + shared + [f"o{k}_{v}_{i}" for i in range(11)])))
+    want = sorted(sorted(map(str, (i, i + 1))) for i in range(0, len(rows), 2))
+    assert similarity(rows[0][1], rows[1][1]) >= 0.8 > similarity(rows[0][1], rows[2][1])
+    rng.shuffle(rows)
+    assert classes(neardup.near_classes(frame(spark, rows))) == want
+
+
+def test_prefixes_of_alike_texts_meet():
+    rng = np.random.default_rng(4)
+    classes_ = rng.integers(0, 9, neardup.BUCKETS).astype(np.uint8)
+    for _ in range(300):
+        a = np.unique(rng.integers(1, 1 << 63, rng.integers(1, 60), dtype=np.uint64))
+        kept = a[rng.random(len(a)) < 0.9]
+        b = np.unique(np.append(kept, rng.integers(1, 1 << 63, rng.integers(0, 6), dtype=np.uint64)))
+        both = len(np.intersect1d(a, b))
+        if both / (len(a) + len(b) - both) >= 0.8:
+            x, y = sorted((a, b), key=len)
+            first, n = neardup.prefix(x, classes_, 0.8)
+            assert np.isin(first[:n], neardup.prefix(y, classes_, 0.8)[0]).any()
+
+
 def test_alignment_by_brute_force():
     rng = random.Random(3)
     seen = neardup._Hashes()

@@ -14,6 +14,13 @@ new keys, made of what the texts have and that leader has not: texts that only
 share a passage part ways, while copies of a variant meet again. This is
 repeated as long as there are crowds, so the work grows with the number of
 texts and not with the square of a crowd.
+
+The rounds only link early what is easily linked. Afterwards all texts that
+were in a crowd and are not in one component yet meet in an exact join: with
+the shingles in one order, rare ones first, two alike texts share one among
+the first of both (prefix filter), at places and lengths that allow the
+similarity. No alike pair of crowd members is missed, whatever share of their
+texts a leader covers.
 """
 
 from __future__ import annotations
@@ -35,7 +42,9 @@ PICKS = 3
 PAIRS_UP_TO = 12         # texts under a key that give all their pairs
 LEADERS = 3              # of a crowd: texts in as many crowds as any, by three hashes
 RESIDUAL_KEYS = 10       # least shingles that a text keeps of what its leader has not
-ROUNDS = 6               # of leaders; what is left of crowds after them is compared pair by pair
+ROUNDS = 6               # of leaders, before the exact join of crowd members in different components
+BUCKETS = 1 << 22        # shingles are ordered by the counts of these, then by their hashes
+SALT_ROWS = 1000         # rows of a shingle that one task joins with all others of it
 CACHE_WORDS = 400_000
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
 _POWERS = np.random.default_rng(7).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -213,6 +222,92 @@ def _verified(pairs: DataFrame, found: DataFrame, similarity: float) -> DataFram
                        "a binary, b binary, lead boolean, similarity double, keys array<long>")
 
 
+def _with(links: DataFrame | None, more: DataFrame) -> DataFrame:
+    return more if links is None else links.unionByName(more)
+
+
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def prefix(shingles: np.ndarray, classes: np.ndarray, similarity: float) -> tuple[np.ndarray, int]:
+    """The first shingles by bucket class and hash: one of them is shared with every longer or shorter
+    text that is alike, and one of the returned number of them with every longer one.
+
+    Alike texts of n <= m shingles share at least ``similarity / (1 + similarity) * (n + m)``.
+    """
+    n = len(shingles)
+    first = shingles[np.lexsort((shingles, classes[_buckets(shingles)]))]
+    least = lambda x: int(np.ceil(x * n - 1e-9))
+    return first[:n - least(similarity) + 1], n - least(2 * similarity / (1 + similarity)) + 1
+
+
+def _shingle_classes(texts: DataFrame) -> np.ndarray:
+    """For each bucket of shingles the logarithm of its count, in eighths of a power of two."""
+    def run(batches):
+        counts = np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            for w in b["words"]:
+                np.add.at(counts, _buckets(labelled(np.frombuffer(w, np.uint32))), 1)
+        at = np.flatnonzero(counts)
+        for i in range(0, len(at), 100_000):
+            part = at[i:i + 100_000]
+            yield {"bucket": part.tolist(), "n": counts[part].tolist()}
+
+    found = (map_batches(texts.select("words"), run, "bucket int, n long").groupBy("bucket")
+             .agg(F.sum("n").alias("n")).where(F.col("n") > 1).toArrow())
+    out = np.zeros(BUCKETS, np.uint8)
+    out[found.column("bucket").to_numpy()] = np.minimum(255, 8 * np.log2(found.column("n").to_numpy()))
+    return out
+
+
+def _exact_pairs(crowded: DataFrame, found: DataFrame, links: DataFrame | None, similarity: float) -> DataFrame:
+    """``a, b, lead`` of crowd members in different components, among them all that are alike.
+
+    A shingle whose holders are all in one component gives no pairs; one with many holders is salted.
+    """
+    texts = found.join(crowded.hint("shuffle_merge"), "tid", "left_semi")
+    if links is not None:
+        roots = components(links.select("a", "b")).withColumnRenamed("node", "tid")
+        texts = texts.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+    else:
+        texts = texts.withColumn("root", F.col("tid"))
+    texts = written(texts.select("tid", "root", "words"), "near-crowd-words")
+    shared = texts.sparkSession.sparkContext.broadcast(_shingle_classes(texts))
+
+    def run(batches):
+        classes = shared.value
+        for batch in batches:
+            out = {"key": [], "tid": [], "root": [], "size": [], "place": [], "short": []}
+            for tid, root, w in zip(batch["tid"], batch["root"], batch["words"], strict=True):
+                own = labelled(np.frombuffer(w, np.uint32))
+                first, short = prefix(own, classes, similarity)
+                k = len(first)
+                for c, v in zip(out, (first.view(np.int64).tolist(), [tid] * k, [root] * k, [len(own)] * k,
+                                      range(k), [i < short for i in range(k)]), strict=True):
+                    out[c].extend(v)
+            yield out
+
+    rows = written(map_batches(texts, run, "key long, tid binary, root binary, size int, place int, short boolean"),
+                   "near-prefixes")
+    salts = (rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.xxhash64("root")).alias("low"),
+                                     F.max(F.xxhash64("root")).alias("high"))
+             .where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("s")))
+    rows = written(rows.join(salts, "key"), "near-shared")
+    x = rows.where("short").select("key", F.pmod(F.xxhash64("tid"), F.col("s")).cast("int").alias("salt"),
+                                   *[F.col(c).alias(f"x_{c}") for c in ("tid", "root", "size", "place")])
+    y = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"),
+                    *[F.col(c).alias(f"y_{c}") for c in ("tid", "root", "size", "place")])
+    c = F.col
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (c("x_size") + c("y_size")) - 1e-9)
+    pairs = x.hint("merge").join(y, [
+        x["key"] == y["key"], x["salt"] == y["salt"], c("x_root") != c("y_root"),
+        (c("x_size") < c("y_size")) | ((c("x_size") == c("y_size")) & (c("x_tid") < c("y_tid"))),
+        F.least(c("x_size") - c("x_place"), c("y_size") - c("y_place")) >= need])
+    return written(pairs.select(F.least("x_tid", "y_tid").alias("a"), F.greatest("x_tid", "y_tid").alias("b"))
+                   .distinct().withColumn("lead", F.lit(False)), "near-exact-pairs")
+
+
 def near_links(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO,
                rounds: int = ROUNDS, text_col: str = "text") -> DataFrame:
     """Links ``a, b, similarity`` between distinct texts (by :func:`text_key`), enough to connect all alike ones."""
@@ -221,37 +316,37 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
     members = (written(_sketches(texts), "near-sketches")
                .select("tid", F.posexplode("keys").alias("j", "h"), F.lit(True).alias("open"))
                .select("tid", F.xxhash64("j", "h").alias("key"), "open"))
-    links = found = None
-    for round_ in range(rounds + 1):
+    links = found = crowded = None
+    for round_ in range(rounds):
         # Keys with two texts at least and one of them open, that is not linked to the leaders it has met.
         sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any"))
         members = written(members.join(sizes.where((F.col("n") > 1) & F.col("any")).drop("any"), "key"),
                           "near-members")
         if found is None:
             found = _word_table(texts, members.select("tid").distinct())
-        last = round_ == rounds
         crowd = members.where(F.col("n") > pairs_up_to)
-        if last:
-            pairs = (crowd.where("open").select("key", F.col("tid").alias("x"))
-                     .join(crowd.select("key", F.col("tid").alias("y")), "key").where(F.col("x") != F.col("y"))
-                     .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("lead")))
-        else:
-            weight = crowd.groupBy("tid").agg(F.count("*").alias("w"))
-            best = [F.max(F.struct("w", F.xxhash64("tid", F.lit(i)).alias("h"), "tid"))["tid"] for i in range(LEADERS)]
-            leaders = (crowd.join(weight, "tid").groupBy("key").agg(F.array(*best).alias("top"))
-                       .select("key", F.posexplode("top").alias("i", "a")))
-            pairs = (crowd.join(leaders, "key").where(F.col("tid") != F.col("a"))
-                     .select("a", F.col("tid").alias("b"), (F.col("i") == 0).alias("lead")))
+        if not round_:
+            crowded = written(crowd.select("tid").distinct(), "near-crowded")
+        weight = crowd.groupBy("tid").agg(F.count("*").alias("w"))
+        best = [F.max(F.struct("w", F.xxhash64("tid", F.lit(i)).alias("h"), "tid"))["tid"] for i in range(LEADERS)]
+        leaders = (crowd.join(weight, "tid").groupBy("key").agg(F.array(*best).alias("top"))
+                   .select("key", F.posexplode("top").alias("i", "a")))
+        pairs = (crowd.join(leaders, "key").where(F.col("tid") != F.col("a"))
+                 .select("a", F.col("tid").alias("b"), (F.col("i") == 0).alias("lead")))
         few = _pairs(members.where(F.col("n") <= pairs_up_to))
         pairs = written(few.unionByName(pairs).groupBy("a", "b").agg(F.max("lead").alias("lead")), "near-pairs")
         if pairs.isEmpty():
             break
         checked = written(_verified(pairs, found, similarity), "near-checked")
         linked = checked.where(F.col("similarity") > 0).select("a", "b", "similarity")
-        links = linked if links is None else links.unionByName(linked)
+        links = _with(links, linked)
         members = (checked.where("lead").select(F.col("b").alias("tid"), (F.col("similarity") == 0).alias("open"),
                                                 F.explode_outer("keys").alias("key"))
                    .groupBy("key", "tid").agg(F.max("open").alias("open")))
+    if crowded is not None and not crowded.isEmpty():
+        pairs = _exact_pairs(crowded, found, links, similarity)
+        checked = written(_verified(pairs, found, similarity), "near-checked")
+        links = _with(links, checked.select("a", "b", "similarity"))
     return links if links is not None else texts.sparkSession.createDataFrame(
         [], "a binary, b binary, similarity double")
 
