@@ -190,6 +190,40 @@ def test_licences(t, want):
     assert [m[0] for m in licenses.match(licenses.recognise(t))] == want
 
 
+GPL = """    {what} is free software{a} you can redistribute it and/or modify
+    it under the terms of the GNU {kind}General Public License as published by
+    the Free Software Foundation{b} either version {version} of the License, or
+    (at your option) any later version.
+
+    {what} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+
+
+@pytest.mark.parametrize(("t", "want"), [
+    ("""MIT License
+
+Copyright (c) 2020 A. Author
+
+""" + wrapped(MIT.replace("\n\n", " ", 1)).replace("Software. The", "Software.\n\nThe"), ["MIT/text"]),
+    ("ISC License\n\nCopyright (c) 2020, A Author\n\n" + wrapped(licenses.TEXTS["ISC"][0]) + ".\n", ["ISC/text"]),
+    ("Copyright (c) 2020, A\nAll rights reserved.\n \n" + wrapped(licenses.TEXTS["BSD-2-Clause"][0]) + ":\n\n1. "
+     + wrapped(licenses.TEXTS["BSD-2-Clause"][1]) + ".\n\n2. " + wrapped(licenses.TEXTS["BSD-2-Clause"][2]) + ".\n",
+     ["BSD-2-Clause/text"]),
+    ("a program\nCopyright (C) 2020  A\n\n" + GPL.format(what="This program", a=":", b=",", kind="", version=3),
+     ["GPL-3.0/text"]),
+    ("a program\n\n" + GPL.format(what="This program", a=";", b=";", kind="", version=2), ["GPL-2.0/text"]),
+    ("a library\n\n" + GPL.format(what="This library", a=";", b=";", kind="Lesser ", version=3), ["LGPL-3.0/text"]),
+    ("a program\n\n" + GPL.format(what="This program", a=":", b=",", kind="Affero ", version=3), ["AGPL-3.0/text"]),
+    ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL "
+     "was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */", ["MPL-2.0/text"]),
+])
+def test_whole_licence_files(t, want):
+    assert [m[0] for m in licenses.match(licenses.recognise(t))] == want
+
+
 def test_every_known_sentence_can_be_found():
     for s, identifier in licenses.sentences().items():
         assert licenses._TRIGGER.search(s), s

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
+from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ NAMES = {
     "CC-BY-4.0": ("cc by 4 0", "a creative commons attribution 4 0 international license"),
     "CC-BY-SA-4.0": ("cc by sa 4 0", "a creative commons attribution sharealike 4 0 international license"),
     "CC-BY-NC-4.0": ("cc by nc 4 0", "a creative commons attribution noncommercial 4 0 international license"),
-    "CC-BY-ND-4.0": ("cc by nd 4 0",),
+    "CC-BY-ND-4.0": ("cc by nd 4 0", "a creative commons attribution noderivatives 4 0 international license"),
     "Unlicense": ("the unlicense", "unlicense"),
 }
 SUBJECTS = ("", "this work is ", "this software is ", "this file is ", "this project is ", "this program is ")
@@ -59,6 +60,25 @@ TEXTS = {
         "option) any later version",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    "GPL-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    "LGPL-3.0": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 3 of the License, or (at "
+        "your option) any later version",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
     "BSD-2-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met",
@@ -74,8 +94,10 @@ TEXTS = {
 BSD_ENDORSE = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
                "promote products derived from this software without specific prior written permission")
 # Every known sentence holds one of these.
-_TRIGGER = re.compile(r"licen[sc]e|permission|redistribut|warrant|spdx|under|you may|public domain", re.I)
+_TRIGGER = re.compile(r"licen[sc]e|permission|redistribut|warrant|spdx|under|you may|public domain|free software"
+                      r"|either version", re.I)
 _SENTENCE = re.compile(r"(?<=[.;:!?])\s+")
+_BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _MARK = re.compile(r"^(?:\d+ |[a-z] |\(c\) )")
 
 
@@ -85,6 +107,12 @@ def normal(sentence: str) -> str:
     return _MARK.sub("", s)
 
 
+def _parts(sentence: str) -> list[str]:
+    """The units that the scan makes of a known sentence, if it is cut."""
+    parts = [u for _, _, u in _split(sentence, 0)]
+    return [u for u in parts if _TRIGGER.search(u)] if len(parts) > 1 else []
+
+
 @cache
 def sentences() -> dict[str, str]:
     """Normalised known sentences to their identifiers."""
@@ -100,7 +128,8 @@ def sentences() -> dict[str, str]:
         out[f"spdx license identifier {normal(name)}"] = f"{name}:notice"
     for name, listed in TEXTS.items():
         for i, s in enumerate(listed):
-            out[normal(s)] = f"{name}:{i + 1}"
+            for j, part in enumerate((s, *_parts(s))):
+                out.setdefault(normal(part), f"{name}:{i + 1}" + (f".{j}" if j else ""))
     out[normal(BSD_ENDORSE)] = "BSD:endorse"
     return out
 
@@ -109,15 +138,20 @@ def sentences() -> dict[str, str]:
 def rules() -> list[tuple[str, str, tuple[str, ...]]]:
     """``(rule, licence, identifiers in order)``, longer rules first."""
     out = [(f"{name}/notice", name, (f"{name}:notice",)) for name in NAMES]
-    out += [(f"{name}/text", name, tuple(f"{name}:{i + 1}" for i in range(len(listed))))
-            for name, listed in TEXTS.items()]
+    known = sentences()
+    for name, listed in TEXTS.items():
+        # Each sentence as one unit (a line) or as the units it is cut into.
+        ways = [[(known[normal(s)],)] + ([tuple(known[normal(u)] for u in _parts(s))] if _parts(s) else [])
+                for s in listed]
+        out += [(f"{name}/text", name, sum(way, ())) for way in product(*ways)]
     out.append(("BSD-3-Clause/text", "BSD-3-Clause", ("BSD-2-Clause:1", "BSD-2-Clause:2", "BSD-2-Clause:3",
                                                      "BSD:endorse")))
     return sorted(out, key=lambda r: (-len(r[2]), r[0]))
 
 
 def _units(text: str):
-    """``(start, end, text)`` of lines, of sentences in a line, and of sentences over lines."""
+    """``(start, end, text)`` of lines, of sentences in a line, and of sentences over lines, whole and between blank
+    lines (headings and copyright lines have no full stop)."""
     at = 0
     for line in text.split("\n"):
         if line.strip():
@@ -127,11 +161,13 @@ def _units(text: str):
     for start, end, unit in _split(text, 0):
         if "\n" in unit:
             yield start, end, unit
+            if _BLANK.search(unit):
+                yield from _split(unit, start, _BLANK)
 
 
-def _split(text: str, at: int):
+def _split(text: str, at: int, ends: re.Pattern = _SENTENCE):
     start = 0
-    for m in _SENTENCE.finditer(text):
+    for m in ends.finditer(text):
         yield at + start, at + m.start(), text[start:m.start()]
         start = m.end()
     yield at + start, at + len(text), text[start:]
