@@ -152,6 +152,28 @@ def test_entities_stay_distinct(spark, max_broadcast):
         assert got[i].text == want and got[i].n_entities == (2 if t else 0)
 
 
+@pytest.mark.parametrize(("kind", "value", "space"), [
+    ("email", "a@b.com", 676), ("secret", "********", 1), ("ip", "192.168.1.1", 65_536)])
+def test_spaces_of_surrogates_widen(kind, value, space):
+    new = {pii.surrogate(kind, value, a) for a in range(space + 10 if space < 1000 else 10)}
+    assert len(new) > space or (kind == "ip" and any(not x.startswith("192.168.") for x in new))
+
+
+def test_names_and_numbers_widen():
+    assert len(pii.surrogate("surname", "smith", 40)) > len(pii.surrogate("surname", "smith", 0)) + 20
+    assert len(pii.surrogate("phone", "1234567", 9)) > 7 and len(pii.surrogate("ssn", "123456789", 9)) > 9
+    assert pii.shaped("12-34", "56789", "phone") == "56-789"
+
+
+def test_more_entities_than_the_first_space(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [f"{a}@{b}.com" for a in letters for b in letters]
+    d = frame(spark, [(i, f'write {v} token: ********') for i, v in enumerate(values)])
+    later = {r.value: r.attempt for r in pii.later_attempts(d).collect()}
+    new = {pii.surrogate("email", v, later.get(v, 0)) for v in values}
+    assert len(new) == 676 and not new & set(values) and later["********"] >= pii.WIDER_FROM
+
+
 def test_personal_data_in_no_rows(spark):
     assert pii.with_surrogates(frame(spark, [])).count() == 0
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches, small_batches, written
 
 KEY = b"replace with a secret key of your own"
+WIDER_FROM = 3             # attempts from which the space of surrogates grows with each one
 MAX_BROADCAST = 50_000     # entities with a later surrogate that are sent to all tasks; more are joined
 
 # Titles by the gender of the given name after them, common
@@ -156,31 +157,45 @@ def luhn(digits: str) -> bool:
 
 
 def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = KEY) -> str:
-    """The surrogate of a normalised value."""
+    """The surrogate of a normalised value.
+
+    The space widens with the attempt, so that any number of entities find
+    their own: a syllable, letter or digit more each time, the other private
+    addresses, then all.
+    """
+    wider = max(0, attempt + 1 - WIDER_FROM)
     random = _stream(key, kind.split(":")[0] if kind == "surname" else kind, value, attempt)
     if kind.startswith("given") or kind == "surname":
         script = _script(value[0])
         middle, male, female = SYLLABLES.get(script, SYLLABLES["LATIN"])
-        stem = "".join(middle[_pick(random, len(middle))] for _ in range(2 + _pick(random, 2)))
+        stem = "".join(middle[_pick(random, len(middle))] for _ in range(2 + _pick(random, 2) + wider))
         ends = {"given:m": male, "given:f": female}.get(kind, male + [""])
         return stem + ends[_pick(random, len(ends))]
     if kind == "email":
         local, _, domain = value.partition("@")
         head, dot, top = domain.rpartition(".")
-        return "".join(_alike(c, random) for c in local) + "@" + "".join(_alike(c, random) for c in head) + dot + top
+        return "".join(_alike(c, random) for c in local + "a" * wider) + "@" + "".join(_alike(c, random) for c in head) + dot + top
     if kind == "ip" and "." in value:
         first = value.split(".")
+        if wider > 6:        # all of IPv4 may be taken
+            return ":".join(["fd00"] + [f"{_pick(random, 65536):x}" for _ in range(7)])
+        if wider and first[:2] == ["192", "168"]:
+            first = ["10"]
+        if wider > 3:
+            first = [""]
         keep = 2 if first[:2] == ["192", "168"] else 1 if first[0] in ("10", "127") else 0
         fresh = [str(1 + _pick(random, 223) if i == 0 else _pick(random, 256)) for i in range(keep, 4)]
         return ".".join(first[:keep] + fresh)
     if kind == "phone":
         keep = 1 if len(value) == 11 else max(0, len(value) - 10)     # the country's digits
-        return value[:keep] + "".join(_alike(c, random) for c in value[keep:])
+        return value[:keep] + "".join(_alike(c, random) for c in value[keep:] + "0" * wider)
     if kind == "iban":
         return value[:2] + "".join(_alike(c, random) for c in value[2:])
+    if kind == "secret" and wider and re.fullmatch(r"[0-9a-f]+", value):
+        value += "0" * wider
     if kind == "ip" or (kind == "secret" and re.fullmatch(r"[0-9a-f]+", value)):
         return "".join("0123456789abcdef"[_pick(random, 16)] if c != ":" else c for c in value)
-    new = "".join(_alike(c, random) for c in value)
+    new = "".join(_alike(c, random) for c in value + {"ssn": "0", "secret": "a"}.get(kind, "") * wider)
     if kind == "card" and luhn(value):
         new = next(x for d in range(10) if luhn(x := new[:-1] + str(d)))
     return new
@@ -190,7 +205,7 @@ def shaped(mention: str, new: str, kind: str) -> str:
     """The surrogate as the mention is written: its separators and its case."""
     if kind in ("card", "phone", "ssn", "iban"):
         chars = iter(new)
-        return "".join(next(chars, "") if c.isalnum() else c for c in mention)
+        return "".join(next(chars, "") if c.isalnum() else c for c in mention) + "".join(chars)
     if mention.isupper():
         return new.upper()
     if kind.startswith("given") or kind == "surname":
