@@ -152,6 +152,29 @@ def test_entities_stay_distinct(spark, max_broadcast):
         assert got[i].text == want and got[i].n_entities == (2 if t else 0)
 
 
+LEADS = ['password = "correcthorsebattery"', 'api_key = "lettersonly"', "Token: lettersonly", 'secret = "lettersonly"',
+         'token = "lettersonly"', "AKIA" + "ABCDEFGH" * 2, "ghp_" + "abcdef" * 6, "sk-" + "lettersonly" * 2, "abcdef" * 6,
+         "ab:cd:ef:ab:cd:ef:ab:cd", "fe::ab:cd"]
+
+
+@pytest.mark.parametrize("t", LEADS)
+def test_letters_alone_are_found(monkeypatch, t):
+    got = pii.detect(f"so {t} end")
+    monkeypatch.setattr(pii, "_MAYBE", re.compile(""))
+    assert got and got == pii.detect(f"so {t} end")
+
+
+@pytest.mark.parametrize(("t", "want"), [
+    ("host 2001:db8::1, up", ["2001:db8::1"]), ("on ::1 and fe80::1ff:fe23:4567:890a.", ["::1", "fe80::1ff:fe23:4567:890a"]),
+    ("2001:db8:0:0:0:0:2:1", ["2001:db8:0:0:0:0:2:1"]), ("net 2001:db8:: is", ["2001:db8::"]),
+    ("std::cout a::b Foo::Bar :: 1::2::3", []), ("::ffff:192.0.2.1", ["192.0.2.1"])])
+def test_abbreviated_addresses(t, want):
+    found = pii.detect(t)
+    assert [v for _, _, _, v in found] == want and {k for _, _, k, _ in found} <= {"ip"}
+    assert pii.replace(t, lambda e: 0)[1] == len(want)
+    assert len({pii.surrogate("ip", "::1", a) for a in range(40)}) > 16
+
+
 @pytest.mark.parametrize(("kind", "value", "space"), [
     ("email", "a@b.com", 676), ("secret", "********", 1), ("ip", "192.168.1.1", 65_536)])
 def test_spaces_of_surrogates_widen(kind, value, space):

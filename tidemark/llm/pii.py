@@ -56,7 +56,8 @@ PATTERNS = (
                           r"[^\s\"]{8,}|\b(?:AKIA[0-9A-Z]{16}|ghp_\w{36}|sk-\w{20,})\b|(?<!\w)[0-9a-fA-F]{32,}(?!\w)")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)|(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}"
-                      r"(?![\w:])")),
+                      r"(?![\w:])|(?<![\w:])(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?::"
+                      r"(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?(?![\w:]|\.\d)")),
     ("phone", re.compile(r"(?<![\d(+])(?:\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}"
                          r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
@@ -64,7 +65,9 @@ PATTERNS = (
 )
 _NAMED = re.compile(rf"(?<!\w)(?:(?P<title>{_TITLED})\.? (?P<one>{_WORD})(?: (?P<two>{_WORD}))?"
                     rf"|(?P<given>{_GIVEN}) (?P<last>{_WORD}))(?!\w)")
-_MAYBE = re.compile(rf"[@\d]|(?<!\w)(?:{_TITLED}|{_GIVEN})(?!\w)")
+# Every match holds one of these (an address or a secret may be of letters alone).
+_MAYBE = re.compile(rf"[@\d]|(?<!\w)(?:{_TITLED}|{_GIVEN})(?!\w)|::|:[a-fA-F]{{1,4}}:|[a-fA-F]{{32}}"
+                    r"|(?i:token = \"|token: |secret = \"|password = \"|api_key = \"|AKIA|ghp_|sk-)")
 
 
 def normal(kind: str, value: str) -> str:
@@ -76,6 +79,12 @@ def normal(kind: str, value: str) -> str:
     return value.lower()
 
 
+def _abbreviated(value: str) -> bool:
+    """Whether it is an IPv6 address with ``::``, and not a name of code as ``a::b`` (two groups without a digit)."""
+    groups = [g for g in value.split(":") if g]
+    return 0 < len(groups) < 8 and value.count("::") == 1 and (len(groups) > 2 or any(c.isdigit() for c in value))
+
+
 def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, value)``, in order and without overlaps; the kinds
     of names are ``given:m``, ``given:f``, ``given:n`` and ``surname``."""
@@ -89,6 +98,8 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
             value = m.group().rstrip(".-") if kind == "email" else m.group()
             if kind == "ip" and "." in value and any(int(x) > 255 for x in value.split(".")):
                 continue
+            if kind == "ip" and "::" in value and not _abbreviated(value):
+                continue
             found.append((m.start(), m.start() + len(value), kind, value))
     found.extend(_names(text))
     found.sort(key=lambda x: (x[0], -x[1]))
@@ -175,6 +186,8 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = KEY) -> str:
         local, _, domain = value.partition("@")
         head, dot, top = domain.rpartition(".")
         return "".join(_alike(c, random) for c in local + "a" * wider) + "@" + "".join(_alike(c, random) for c in head) + dot + top
+    if kind == "ip" and "::" in value and wider:      # the groups left out as well
+        value = ":".join(["0000"] * 8)
     if kind == "ip" and "." in value:
         first = value.split(".")
         if wider > 6:        # all of IPv4 may be taken
