@@ -50,6 +50,19 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterato
     return df.mapInArrow(run, schema)
 
 
+def stretches(texts: list[str | None], letters: int = 4_000_000) -> Iterator[slice]:
+    """Cut a batch so that a stretch has about ``letters`` letters at most (a longer text is one alone)."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if size + n > letters and i > start:
+            yield slice(start, i)
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def _struct(ddl: str):
     from pyspark.sql.types import StructType
 

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, langid, licenses, lm, mixing, neardup, packing, pii, quality, toxicity
+from tidemark.llm import (
+    alignment,
+    fingerprints,
+    langid,
+    licenses,
+    lm,
+    mixing,
+    neardup,
+    packing,
+    pii,
+    quality,
+    tokencounts,
+    toxicity,
+    whitening,
+)
 from tidemark.llm.common import documents, fold_col
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +153,18 @@ FROM p
 @query("op9_mixing", OP9_SQL)
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), keep_row=False)
+
+
+@query("op11_tokenizer_alignment")
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.fit_and_whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(documents(spark, sf_dir))
