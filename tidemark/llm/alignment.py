@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from collections.abc import Iterator
 
@@ -120,13 +119,17 @@ class Block:
 # --- groups of a text
 
 def byte_tokens(path: str) -> dict[int, bytes]:
-    """Bytes of every id of a byte-level vocabulary (``tokenizers`` file)."""
+    """Bytes of every id of a byte-level vocabulary (``tokenizers`` file), added tokens left out."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     # Printable Latin-1 letters stand for their own byte; the others' stand-ins follow 255 in byte order.
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - plain))}
-    return {i: bytes(map(byte.__getitem__, t)) for t, i in spec["model"]["vocab"].items() if set(t) <= byte.keys()}
+    out = {i: bytes(map(byte.__getitem__, t)) for t, i in spec["model"]["vocab"].items() if set(t) <= byte.keys()}
+    merged = [spec["model"]["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+    if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or merged != sorted(merged):
+        raise ValueError("expects a byte-level BPE whose ids are in order of merging")
+    return out
 
 
 def piece_tokens(processor) -> dict[int, bytes]:
@@ -138,19 +141,15 @@ def piece_tokens(processor) -> dict[int, bytes]:
     return out
 
 
-def groups(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
-    """Ends of the groups, as numbers of A and of B tokens: where tokens of both end at one byte."""
-    out, i, j, x, y = [], 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if (x <= y and i < len(a)) or j == len(b):
-            x += len(a[i])
-            i += 1
-        else:
-            y += len(b[j])
-            j += 1
-        if x == y:
-            out.append((i, j))
-    return out
+class _Side:
+    """One tokenizer's ids: their lengths in bytes and how they are written before the separators."""
+
+    def __init__(self, of: dict[int, bytes], last: str):
+        self.bytes, n = of, max(of) + 1
+        self.size = np.zeros(n, np.int64)
+        self.size[list(of)] = [len(v) for v in of.values()]
+        self.inner = np.array([f"{i}," for i in range(n)], object)
+        self.last = np.array([f"{i}{last}" for i in range(n)], object)
 
 
 class Aligner:
@@ -161,20 +160,21 @@ class Aligner:
     _other = re.compile("[^\\S \n]|\u180e")
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self._a = Tokenizer.from_file(a_path)
-        self._a.encode_special_tokens = True
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self._a_bytes, self._b_bytes = byte_tokens(a_path), piece_tokens(self._b)
-        if max(max(self._a_bytes), max(self._b_bytes)) >> ID_BITS:
+        self._mark = self._b.piece_to_id("\u2581")
+        self._left, self._right = _Side(byte_tokens(a_path), "|"), _Side(piece_tokens(self._b), ";")
+        if max(len(self._left.size), len(self._right.size)) > 1 << ID_BITS:
             raise ValueError(f"ids must be below 2^{ID_BITS}")
+        # The same merges by a faster library; without special tokens their strings are plain text.
+        self._a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                    mergeable_ranks={v: i for i, v in self._left.bytes.items()})
         # A chunk starts at a space or line end after another letter: no piece of B may go on there.
-        cuts = all(not re.search("[^\u2581]\u2581", p) and "\n" not in p for p in map(
+        self._whole = not all(not re.search("[^\u2581]\u2581", p) and "\n" not in p for p in map(
             self._b.id_to_piece, range(self._b.get_piece_size())) if len(p) > 1)
-        self._whole = not cuts
         self._reset()
 
     def _reset(self) -> None:
@@ -184,36 +184,80 @@ class Aligner:
         self._links = np.zeros(0, np.int64)
         self._starts = np.zeros(0, np.int64)
 
-    def _learn(self, chunks: list[str]) -> None:
-        """B puts a space before what it encodes: it replaces a chunk's own, or is dropped before a line end."""
-        left = [e.ids for e in self._a.encode_batch(chunks, add_special_tokens=False)]
+    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, list[list[int]]]:
+        """A's ids of all chunks end to end, B's ids of each.
+
+        B puts a space before what it encodes: it replaces a chunk's own, or is dropped before a line end.
+        """
+        left, run = [], []
+        for c in chunks:
+            run.append(c)
+            # A letter before white space ends A's tokens, so chunks that end in one can be encoded together.
+            if len(run) == 500 or c[-1].isspace() or len(c) > 100:
+                left += self._a.encode_ordinary("".join(run))
+                run = []
+        left += self._a.encode_ordinary("".join(run))
         spaced = [c[0] == " " for c in chunks]
         right = self._b.encode([c[1:] if s else c for c, s in zip(chunks, spaced, strict=True)], num_threads=1)
-        sizes, links, starts = [], [], []
-        for chunk, a, b, s in zip(chunks, left, right, spaced, strict=True):
-            if not s:
-                b = b[1:]
-            elif chunk == " ":
-                b = self._b.piece_to_id(["\u2581"])      # nothing is encoded as nothing, without the space
-            a_bytes, b_bytes = [self._a_bytes[i] for i in a], [self._b_bytes[i] for i in b]
-            self._known[chunk] = len(self._texts)
-            starts.append(len(self._links) + len(links))
-            if not b"".join(a_bytes) == chunk.encode() == b"".join(b_bytes):
+        # nothing is encoded as nothing, without the space
+        return np.array(left, np.int64), [b[1:] if not s else [self._mark] if c == " " else b
+                                          for c, s, b in zip(chunks, spaced, right, strict=True)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Groups, links and sizes of new chunks, in arrays over all of them."""
+        good = [c for c in chunks if "\u2581" not in c]
+        left, right = self._encoded(good)
+        size = np.fromiter((len(c.encode()) for c in good), np.int64, len(good))
+        b_count = np.fromiter(map(len, right), np.int64, len(right))
+        b_ids = np.fromiter((i for r in right for i in r), np.int64, int(b_count.sum()))
+        whole = "".join(good).encode()
+        if b"".join(map(self._left.bytes.__getitem__, left.tolist())) != whole:
+            raise ArithmeticError("tokens of A do not give back the text")
+        if b"".join(map(self._right.bytes.__getitem__, b_ids.tolist())) != whole:
+            same = [b"".join(map(self._right.bytes.__getitem__, r)) == c.encode() for c, r in zip(good, right, strict=True)]
+            if all(same):
+                raise ArithmeticError("tokens of B do not give back the text")
+            self._learn([c for c, s in zip(good, same, strict=True) if s])
+            good = []
+        if good:
+            self._keep(good, left, b_ids, size)
+        for c in chunks:
+            if c not in self._known:
+                self._known[c] = len(self._texts)
                 self._texts.append(None)
-                sizes.append((0, 0, 0))
-                continue
-            ends = groups(a_bytes, b_bytes)
-            i = j = 0
-            parts = []
-            for x, y in ends:
-                parts.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-                links.append(a[x - 1] << ID_BITS | b[y - 1])
-                i, j = x, y
-            self._texts.append(";".join(parts))
-            sizes.append((len(a), len(b), len(ends)))
-        self._sizes = np.concatenate([self._sizes, np.array(sizes, np.int64).reshape(-1, 3)])
-        self._links = np.concatenate([self._links, np.array(links, np.int64)])
-        self._starts = np.concatenate([self._starts, np.array(starts, np.int64)])
+        missing = len(self._texts) - len(self._sizes)
+        self._sizes = np.concatenate([self._sizes, np.zeros((missing, 3), np.int64)])
+        self._starts = np.concatenate([self._starts, np.zeros(missing, np.int64)])
+
+    def _keep(self, chunks: list[str], a: np.ndarray, b: np.ndarray, size: np.ndarray) -> None:
+        a_end, b_end, ends = np.cumsum(self._left.size[a]), np.cumsum(self._right.size[b]), np.cumsum(size)
+        # Groups end where tokens of both end; every chunk's end is one.
+        at = np.minimum(np.searchsorted(b_end, a_end), len(b_end) - 1)
+        a_last = np.flatnonzero(b_end[at] == a_end)
+        b_last = at[a_last]
+        stop = a_end[a_last]
+        # Written order: a group's tokens of A, then its tokens of B.
+        a_group, b_group = np.searchsorted(stop, a_end), np.searchsorted(stop, b_end)
+        b_before, a_upto = np.append(0, b_last + 1), a_last + 1
+        written = np.empty(len(a) + len(b), object)
+        place = np.arange(len(a)) + b_before[a_group]
+        written[place] = self._left.inner[a]
+        written[place[a_last]] = self._left.last[a[a_last]]
+        place = np.arange(len(b)) + a_upto[b_group]
+        written[place] = self._right.inner[b]
+        written[place[b_last]] = self._right.last[b[b_last]]
+        # Cut everything at the chunks' ends.
+        groups, a_n, b_n = (np.searchsorted(e, ends, side="right") for e in (stop, a_end, b_end))
+        cuts, parts = (a_n + b_n).tolist(), written.tolist()
+        begin = 0
+        for c, end in zip(chunks, cuts, strict=True):
+            self._known[c] = len(self._texts)
+            self._texts.append("".join(parts[begin:end]))
+            begin = end
+        sizes = np.diff(np.stack([a_n, b_n, groups], axis=1), axis=0, prepend=np.zeros((1, 3), np.int64))
+        self._starts = np.concatenate([self._starts, len(self._links) + groups - sizes[:, 2]])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._links = np.concatenate([self._links, a[a_last] << ID_BITS | b[b_last]])
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Per text ``(n_a, n_b, n_groups)`` and the digest of its groups; all links' pairs and texts' numbers."""
@@ -233,7 +277,7 @@ class Aligner:
             if not at or None in parts:
                 digests.append("")
                 continue
-            digests.append(hashlib.sha256(";".join(parts).encode()).hexdigest())
+            digests.append(hashlib.sha256("".join(parts)[:-1].encode()).hexdigest())     # without the last ;
             found.append(np.array(at, np.int64))
             owner.append(np.full(len(at), i))
         at = np.concatenate([np.zeros(0, np.int64), *found])
