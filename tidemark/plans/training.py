@@ -7,12 +7,15 @@ ensemble). ``score``: same features for new posts -> ``model.transform`` ->
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.learn.estimators import logistic
-from tidemark.plans.features import Resources, assemble, build_features
+from tidemark.learn.graph import FittedModels, fit_models, leaderboard, main_program, sweep_models
+from tidemark.plans.features import CONFIGS, Resources, assemble, build_features
 from tidemark.plans.resources import (
     benchmark_lexicon,
     corpus_dictionary,
@@ -22,15 +25,17 @@ from tidemark.plans.resources import (
 )
 from tidemark.session import cached
 from tidemark.sources.adapters import document_posts
+from tidemark.sources.io import materialize
 
 
-def document_resources(spark: SparkSession, sf_dir: str) -> Resources:
-    """Full cleaning (spelling + lemmas) and all feature resources."""
+def document_resources(spark: SparkSession, sf_dir: str, configs=None) -> Resources:
+    """Full cleaning (spelling + lemmas) and the feature resources that ``configs`` use (None: all)."""
     dictionary = corpus_dictionary(spark, sf_dir)
+    words = configs is None or any(CONFIGS[c].embedding == "words" for c in configs)
     return Resources(dictionary=dictionary, lemma_vocab=dictionary.select("term"),
                      lemma_exceptions=lemma_exceptions(spark),
-                     word_vectors=corpus_word_vectors(spark, sf_dir),
-                     dim=embedding_dim(spark, sf_dir), lexicon=benchmark_lexicon(spark, sf_dir))
+                     word_vectors=corpus_word_vectors(spark, sf_dir) if words else None,
+                     dim=embedding_dim(spark, sf_dir) if words else None, lexicon=benchmark_lexicon(spark, sf_dir))
 
 
 # Partitions of a training table: iterative learners run many small jobs, so
@@ -68,7 +73,7 @@ def flagship(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment",
              estimator=None) -> DataFrame:
     """Documents as posts: clean -> features -> fit on labelled periods ->
     predict every period. Returns ``id, event_type, labelled``."""
-    res = document_resources(spark, sf_dir)
+    res = document_resources(spark, sf_dir, [config])
     feats = build_features(document_posts(spark, sf_dir), config, res, label_agg="max")
     model = train(feats, config, estimator or logistic())
     pred = score(model, feats, config)
@@ -76,49 +81,54 @@ def flagship(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment",
     return pred.join(labelled, "id")
 
 
-def main_program_estimator(preset: str = "reference", key_cols=("id",)):
-    """The original main program's model: bagging (10 replicas) of a stack
-    of rf170, xgb170 and lr with an LR meta learner on 3 folds."""
-    from tidemark.learn.ensemble import BaggingEstimator, StackingEstimator
-    from tidemark.learn.estimators import PRESETS, base_learners
-
-    p = PRESETS[preset]
-
-    def make(weight_col):
-        bl = base_learners(preset, weight_col)
-        return StackingEstimator({k: bl[k] for k in ("rf170", "xgb170", "lr")},
-                                 logistic(p["lr_iter"] if preset == "small" else 100,
-                                          weight_col=weight_col),
-                                 num_folds=p["folds"], key_cols=list(key_cols),
-                                 weight_col=weight_col)
-    return BaggingEstimator(make, num_models=p["bags"], key_cols=list(key_cols))
-
-
-def feature_set_leaderboard(spark: SparkSession, sf_dir: str, configs, test_groups,
-                            preset: str = "reference", models=None) -> DataFrame:
-    """The sweep of the original scripts: for each feature configuration,
-    fit the model zoo (or the ``models`` of it) on the periods of the training
-    groups and report accuracy on the held-out groups (``feature_set, model,
-    accuracy``). Posts are fully cleaned once for all configurations."""
-    from tidemark.learn.estimators import model_zoo
-    from tidemark.learn.evaluate import leaderboard
+MAIN = "main"
+
+
+def train_models(features: DataFrame, config: str, models: dict, key: str = "id", **how) -> FittedModels:
+    """Fit models of :mod:`tidemark.learn.graph` on the labelled periods of a feature table."""
+    return fit_models(assemble(features, config).where(F.col("label").isNotNull()), models, [key], **how)
+
+
+def score_models(fitted: FittedModels, features: DataFrame, config: str, model: str = MAIN) -> DataFrame:
+    """``id, event_type`` for every period of ``features`` by one of the fitted models."""
+    scored = fitted.transform(assemble(features, config, label_col="__none__"))
+    return scored.select("id", (F.col("p1")[model] > 0.5).cast("double").alias("event_type"))
+
+
+def main_program_predictions(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment") -> DataFrame:
+    """The original main program: bag of ten stacks, fitted on the labelled periods, predicting every period.
+
+    Returns ``id, event_type, labelled``.
+    """
+    res = document_resources(spark, sf_dir, [config])
+    feats = build_features(document_posts(spark, sf_dir), config, res, label_agg="max")
+    pred = score_models(train_models(feats, config, {MAIN: main_program()}), feats, config)
+    return pred.join(feats.select("id", F.col("event_type").isNotNull().alias("labelled")), "id")
+
+
+def feature_set_leaderboard(spark: SparkSession, sf_dir: str, configs, test_groups, models: dict | None = None) -> DataFrame:
+    """The sweep of the original scripts: for each feature configuration, all 16 models (or ``models``) fitted on the
+    periods of the training groups, and their accuracy on the held-out groups (``feature_set, model, accuracy``).
+
+    Posts are fully cleaned once for all configurations; configurations are fitted side by side.
+    """
     from tidemark.operators.split import split_by_group
     from tidemark.operators.text import clean_text
 
-    res = document_resources(spark, sf_dir)
+    res = document_resources(spark, sf_dir, configs)
     posts = cached(clean_text(document_posts(spark, sf_dir), stop_words=res.stop_words,
                               dictionary=res.dictionary, lemma_vocab=res.lemma_vocab,
                               lemma_exceptions=res.lemma_exceptions))
-    zoo = model_zoo(preset)
-    chosen = {k: zoo[k] for k in (models or zoo)}
-    boards = []
-    for config in configs:
+
+    def board(config: str) -> DataFrame:
         feats = build_features(posts, config, res, label_agg="max", cleaned=True)
-        data = cached(split_by_group(assemble(feats, config).where(F.col("label").isNotNull())
-                                     .repartition(TRAIN_PARTITIONS, "id").sortWithinPartitions("id"),
-                                     "match_id", test_groups))
-        boards.append(leaderboard(data.where(F.col("split") == "train"),
-                                  data.where(F.col("split") == "test"), chosen, config))
+        data = materialize(split_by_group(assemble(feats, config).where(F.col("label").isNotNull()),
+                                          "match_id", test_groups), "sweep")
+        return leaderboard(data.where(F.col("split") == "train"), data.where(F.col("split") == "test"),
+                           models or sweep_models(), config)
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        boards = list(pool.map(board, configs))
     out = boards[0]
     for b in boards[1:]:
         out = out.unionByName(b)
