@@ -135,3 +135,50 @@ def test_dictionary_and_term_sources(spark):
     df = spark.createDataFrame([(1, ""), (2, None)], "k long, s string")
     back = {r.k: r.s for r in materialize(df, "roundtrip").collect()}
     assert back == {1: "", 2: None}      # parquet keeps '' apart from NULL
+
+
+def test_records_across_splits_equal_the_multi_line_reader(spark, tmp_path):
+    """Quotes, line breaks of both kinds, delimiters and empty lines, cut into splits of a few dozen bytes."""
+    import random
+
+    from tidemark.sources.csv_records import csv_records
+    from tidemark.sources.io import SCORE_CSV_COLUMNS, header_schema
+    rng = random.Random(4)
+    for name, end in (("a.csv", "\n"), ("b+ c.csv", "\r\n")):
+        lines = [",".join(SCORE_CSV_COLUMNS) if name[0] == "a" else '"ID","MatchID",PeriodID,Timestamp,"Tweet"']
+        for i in range(120):
+            text = "".join(rng.choice(["x", "yz", ",", '""', "\n", "\r\n", " ", "é", "\n\n"]) for _ in range(rng.randrange(12)))
+            lines.append(f'{i},{name[0]},{i % 7},{i},' + (f'"{text}"' if text.strip() or rng.random() < 0.5 else ""))
+            if rng.random() < 0.1:
+                lines.append("")
+        (tmp_path / name).write_bytes(end.join(lines).encode() + (b"" if name[0] == "a" else end.encode()))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "37b")
+    try:
+        records, headers = csv_records(spark, str(tmp_path))
+        assert records.select("file", "block").distinct().count() > 100 and {r.header for r in headers.collect()} == {
+            ",".join(SCORE_CSV_COLUMNS), '"ID","MatchID",PeriodID,Timestamp,"Tweet"'}
+        got = sorted((r.match_id, r.ts, r.id, r.period_id, r.text, r.source_file) for r in read_posts(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set(key, before)
+    want = sorted((r.MatchID, r.Timestamp, r.ID, r.PeriodID, r.Tweet, r.n) for r in spark.read.schema(
+        header_schema(list(SCORE_CSV_COLUMNS))).option("header", True).option("multiLine", True).option("escape", '"').csv(
+        str(tmp_path)).selectExpr("*", "_metadata.file_name AS n").collect())
+    assert [g[:4] for g in got] == [w[:4] for w in want] and len(got) == 240
+    # The multi-line reader turns every line break of a file into \n; the records keep those inside quotes.
+    assert [g[4] and g[4].replace("\r\n", "\n") for g in got] == [w[4] and w[4].replace("\r\n", "\n") for w in want]
+    assert {g[5] for g in got} == {"a.csv", "b+ c.csv"}
+
+
+def test_records_that_do_not_fit_fail(spark):
+    d = tempfile.mkdtemp(prefix="tidemark-csv-")
+    _csv(d, "Bad.csv", "ID,MatchID,PeriodID,Timestamp,Tweet", "1,1,x,1,a")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_posts(spark, d).collect()
+    one = tempfile.mkdtemp(prefix="tidemark-csv-")
+    _csv(one, "Head.csv", '"ID","Match\nID",MatchID,PeriodID,Timestamp,Tweet', "1,z,7,2,3,a")
+    assert [(r.id, r.match_id, r.text) for r in read_posts(spark, one).collect()] == [("1", "7", "a")]
+    empty = tempfile.mkdtemp(prefix="tidemark-csv-")
+    _csv(empty, "Only.csv", "ID,MatchID,PeriodID,Timestamp,Tweet")
+    assert read_posts(spark, empty).count() == 0

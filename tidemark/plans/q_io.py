@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
 from tidemark.sources.adapters import conversation_posts
-from tidemark.sources.io import read_posts
+from tidemark.sources.io import materialize, read_posts
 
 
 @query("posts_csv_scan", sql="""
@@ -32,3 +32,30 @@ def q_posts_csv_scan(spark, sf_dir):
     return read_posts(spark, path).groupBy("match_id", "period_id").agg(
         F.count("*").alias("n_posts"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("n_chars"),
         F.max("event_type").alias("event_type"))
+
+
+@query("posts_csv_split", sql="""
+SELECT CAST(conv_id AS VARCHAR) AS match_id, turn AS period_id, count(*) AS n_posts,
+       sum(length(coalesce(text, '')) + 9 + length(CAST(turn AS VARCHAR))) AS n_chars,
+       sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 2) AS n_breaks
+FROM conversations GROUP BY ALL""",
+       note="one CSV file with quotes and line breaks in its fields, read in as many tasks as it has splits")
+def q_posts_csv_split(spark, sf_dir):
+    posts = conversation_posts(spark, sf_dir).select(
+        F.col("id").alias("ID"), F.col("match_id").alias("MatchID"), F.col("period_id").alias("PeriodID"),
+        F.col("post_id").alias("Timestamp"),
+        F.concat(F.coalesce("text", F.lit("")), F.lit('\n"q",\n,""'), F.col("period_id").cast("string")).alias("Tweet"))
+    path = scratch_path(spark, "posts-one-csv")
+    (posts.coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")          # many splits, as a large file has at the usual size
+    try:
+        found = materialize(read_posts(spark, path).select("match_id", "period_id", "text"), "split-posts")
+    finally:
+        spark.conf.set(key, before)
+    text = F.col("text")
+    return found.groupBy("match_id", "period_id").agg(
+        F.count("*").alias("n_posts"), F.sum(F.length(text)).alias("n_chars"),
+        F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).alias("n_breaks"))

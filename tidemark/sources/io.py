@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,39 +43,38 @@ def named_posts(df: DataFrame, schema: T.StructType = POSTS_CSV_SCHEMA) -> DataF
                      F.col("_metadata.file_name").alias("source_file"))
 
 
-def file_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of ``path`` by their header (first line). What reaches the driver is file names."""
-    lines = (spark.read.text(path)
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"))
-             .where(F.col("block") == 0).withColumn("at", F.monotonically_increasing_id()))
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return {tuple(next(csv.reader([r.header.lstrip("\ufeff").rstrip("\r")]), [])): r.files for r in rows}
-
-
 def read_posts(spark: SparkSession, path: str, schema: T.StructType = POSTS_CSV_SCHEMA,
                multi_line: bool = True) -> DataFrame:
     """Scan a folder of post CSVs into one posts table.
 
     Files are grouped by their header and each group is read with the types
-    of its own columns, checked against the header; so files without
-    ``EventType`` (files to score) and files with another column order can be
-    mixed. A missing column is NULL. Quoted fields may span lines; that makes
-    each file one task, so convert large files to parquet once, or pass
-    ``multi_line=False`` if no field holds a line break. Each row keeps its
+    of its own columns; so files without ``EventType`` (files to score) and
+    files with another column order can be mixed. A missing column is NULL.
+    Quoted fields may span lines, and a file is read in as many tasks as it
+    has splits (:mod:`tidemark.sources.csv_records`); ``multi_line=False``
+    saves a pass over the files if no field holds a line break. A record that
+    does not fit its header's columns fails the scan. Each row keeps its
     ``source_file`` so a per-file step is a grouping key, not a loop over
     files. ``post_id`` is unique per row; it is derived at scan time, so
     materialise the result (``materialize``) before using it across several
-    jobs.
+    jobs. What reaches the driver is the distinct headers.
     """
+    from tidemark.sources.csv_records import csv_records, line_records
+
+    records, headers = (csv_records if multi_line else line_records)(spark, path)
     out = None
-    groups = file_headers(spark, path)
-    for header, files in sorted(groups.items()):
-        part = named_posts(
-            spark.read.schema(header_schema(list(header), schema)).option("header", True)
-            .option("enforceSchema", False).option("multiLine", multi_line).option("escape", '"')
-            .option("mode", "FAILFAST").csv(path if len(groups) == 1 else files), schema)
+    for row in headers.select("header").distinct().orderBy("header").collect():
+        if row.header is None:
+            raise ValueError(f"a file in {path} has no header")
+        of = header_schema(next(csv.reader(io.StringIO(row.header)), []), schema)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in of.fields)
+        files = headers.where(F.col("header") == row.header).select("file")
+        name = F.url_decode(F.replace(F.regexp_extract("file", "([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
+        part = records.join(files, "file").select(
+            F.from_csv("record", ddl, {"mode": "FAILFAST", "escape": '"'}).alias("fields"), name.alias("source_file"))
+        have = {f.name for f in of.fields}
+        part = part.select(*[(F.col(f"fields.`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType)
+                             .alias(_RENAMES.get(f.name, f.name)) for f in schema.fields], "source_file")
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise FileNotFoundError(f"no post files in {path}")
