@@ -27,6 +27,29 @@ def test_sentiment_hash_sets_equal_join(spark):
     assert a[1] == 0.0 and a[2] == 0.0
 
 
+def test_sentiment_rules_by_hand(spark):
+    from tidemark.operators.sentiment import SentimentRules
+    rules = SentimentRules(spark.createDataFrame([("very", 0.293), ("barely", -0.293)], "token string, weight double"),
+                           spark.createDataFrame([("not",), ("not",)], "token string"),
+                           spark.createDataFrame([("but",)], "token string"))
+    cases = {
+        "good": 1.9, "very good": 1.9 + 0.293, "very x good": 1.9 + 0.293 * 0.95, "very x y good": 1.9 + 0.293 * 0.9,
+        "very x y z good": 1.9, "barely good": 1.9 - 0.293, "very bad": -2.5 - 0.293, "not good": -0.74 * 1.9,
+        "not x y bad": -0.74 * -2.5, "not x y z bad": -2.5, "not very good": (1.9 + 0.293) * -0.74,
+        "not not good": 0.74 * 0.74 * 1.9, "good but bad": 0.5 * 1.9 - 1.5 * 2.5, "good but bad but good": 0.5 * 1.9 + 1.5 * (1.9 - 2.5),
+        "but": 0.0, "": 0.0, "good very": 1.9}
+    df = spark.createDataFrame([(i, t.split()) for i, t in enumerate(cases)] + [(99, None)], "post_id long, tokens array<string>")
+    for keys in (50_000, 0):
+        got = {r.post_id: r.sentiment for r in
+               sentiment_score(df, _lexicon(spark), rules=rules, inline_keys=keys, absolute=False).collect()}
+        for i, (text, s) in enumerate(cases.items()):
+            assert abs(got[i] - round(s / math.sqrt(s * s + 15), 4)) < 1e-9, text
+        assert got[99] == 0.0
+    plain = sentiment_score(df, _lexicon(spark), absolute=False).drop("tokens")
+    none = sentiment_score(df, _lexicon(spark), rules=SentimentRules(), absolute=False).drop("tokens")
+    assert sorted(plain.collect()) == sorted(none.collect())
+
+
 def test_mean_word_vector_with_zero_default(spark):
     vecs = spark.createDataFrame([("good", [1.0, 0.0]), ("bad", [0.0, 2.0])],
                                  "word string, vec array<double>")

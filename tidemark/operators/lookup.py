@@ -78,13 +78,11 @@ def value_sets(table: DataFrame, key: str, value: str,
                max_values: int = DEFAULT_INLINE_VALUES) -> list[tuple[float, list[str]]] | None:
     """``[(value, [keys...]), ...]`` when the table is within both bounds.
 
-    Only a table proven small (counted first) is collected, grouped by value
-    on the executors; at most ``max_values`` rows reach the driver.
+    One job, which stops at ``max_keys + 1`` rows with a value other than 0: a
+    larger table is never collected.
     """
-    if bounded_count(table, max_keys) is None:
+    rows = (table.where(F.col(value).isNotNull() & (F.col(value) != 0)).limit(max_keys + 1)
+                 .groupBy(value).agg(F.collect_set(key).alias("keys")).limit(max_values + 1).collect())
+    if len(rows) > max_values or sum(len(r["keys"]) for r in rows) > max_keys:
         return None
-    if bounded_count(table.select(value).distinct(), max_values) is None:
-        return None
-    rows = (table.where(F.col(value).isNotNull() & (F.col(value) != 0))
-                 .groupBy(value).agg(F.collect_set(key).alias("keys")).collect())
-    return [(float(r[value]), sorted(r["keys"])) for r in rows]
+    return sorted((float(r[value]), sorted(r["keys"])) for r in rows)

@@ -21,6 +21,7 @@ from tidemark.plans import sqlfrag as S
 from tidemark.plans.registry import query
 from tidemark.plans.resources import (
     benchmark_lexicon,
+    benchmark_rules,
     corpus_dictionary,
     english_documents,
     lemma_exceptions,
@@ -114,6 +115,43 @@ def q_sentiment_abs_join(spark, sf_dir):
                            inline_keys=0).select("doc_id", "sentiment")
 
 
+SENTIMENT_RULES_SQL = f"""
+WITH {S.LEXICON},
+toks AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos
+         FROM (SELECT doc_id, {S.drop_stop(S.tokens(S.clean('text')))} AS tokens FROM documents)),
+v AS (SELECT t.doc_id, t.pos, coalesce(l.valence, 0.0) AS v,
+             CASE WHEN l.valence = 0 AND length(t.token) = 4 AND t.token[1:1] <= 'l'
+                  THEN CASE WHEN t.token[-1:] = 'e' THEN -0.293 ELSE 0.293 END ELSE 0 END::DOUBLE AS b,
+             CASE WHEN l.valence = 0 AND length(t.token) = 4 AND t.token[1:1] > 'l' THEN 1 ELSE 0 END AS n,
+             CASE WHEN l.valence = 0 AND length(t.token) = 13 THEN t.pos END AS c
+      FROM toks t LEFT JOIN lexicon l ON t.token = l.token),
+w AS (SELECT doc_id, pos, v, min(c) OVER (PARTITION BY doc_id) AS c,
+             coalesce(lag(b, 1) OVER o, 0) + coalesce(lag(b, 2) OVER o, 0) * 0.95::DOUBLE
+               + coalesce(lag(b, 3) OVER o, 0) * 0.9::DOUBLE AS boost,
+             coalesce(lag(n, 1) OVER o, 0) + coalesce(lag(n, 2) OVER o, 0) + coalesce(lag(n, 3) OVER o, 0) AS neg
+      FROM v WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+sums AS (SELECT doc_id, sum((v + sign(v) * boost) * pow(-0.74::DOUBLE, neg)
+                            * CASE WHEN pos < c THEN 0.5 WHEN pos > c THEN 1.5 ELSE 1 END) AS s
+         FROM w WHERE v <> 0 GROUP BY doc_id)
+SELECT d.doc_id, {S.compound('s.s')} AS sentiment
+FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id"""
+
+
+@query("sentiment_rules", sql=SENTIMENT_RULES_SQL)
+def q_sentiment_rules(spark, sf_dir):
+    """Valences in context: boosters, negators and a contrast word."""
+    df = with_tokens(_docs(spark, sf_dir))
+    return sentiment_score(df, benchmark_lexicon(spark, sf_dir), key_col="doc_id",
+                           rules=benchmark_rules(spark, sf_dir)).select("doc_id", "sentiment")
+
+
+@query("sentiment_rules_join", sql=SENTIMENT_RULES_SQL, note="the join path of a lexicon above the map limit")
+def q_sentiment_rules_join(spark, sf_dir):
+    df = with_tokens(_docs(spark, sf_dir))
+    return sentiment_score(df, benchmark_lexicon(spark, sf_dir), key_col="doc_id", inline_keys=0,
+                           rules=benchmark_rules(spark, sf_dir)).select("doc_id", "sentiment")
+
+
 @query("sentiment_spread_by_period", sql=f"""
 WITH {S.LEXICON}, {S.DOC_POSTS},
 toks AS (SELECT post_id, unnest(tokens) AS token FROM posts),

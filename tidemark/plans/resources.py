@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.fixed import ENGLISH_STOP_WORDS, NOUN_EXCEPTIONS
 from tidemark.functions.text import clean_regex, token_rows, tokenize
 from tidemark.operators.periods import global_row_index
+from tidemark.operators.sentiment import SentimentRules
 from tidemark.operators.text import frequency_dictionary, with_tokens
 from tidemark.sources.adapters import read_table
 from tidemark.sources.io import materialize
@@ -65,5 +66,15 @@ def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valence", ((F.length("token") % 9) - 4).cast("double") / F.lit(2.0))
 
 
+def benchmark_rules(spark: SparkSession, sf_dir: str) -> SentimentRules:
+    """Rule terms from the lexicon's tokens without valence: of length 4 those up to ``l`` boost (0.293, damping if they
+    end in ``e``) and the others negate; those of length 13 contrast."""
+    words = benchmark_lexicon(spark, sf_dir).where(F.col("valence") == 0).select("token")
+    four, low = words.where(F.length("token") == 4), F.substring("token", 1, 1) <= "l"
+    weight = F.when(F.col("token").endswith("e"), -0.293).otherwise(0.293)
+    return SentimentRules(boosters=four.where(low).select("token", weight.alias("weight")),
+                          negators=four.where(~low), contrasts=words.where(F.length("token") == 13))
+
+
 def lemma_exceptions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOUN_EXCEPTIONS), "token string, lemma string")
