@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
-from tidemark.sources.adapters import conversation_posts
+from tidemark.operators.periods import period_volume
+from tidemark.sources.adapters import conversation_posts, event_posts
+from tidemark.sources.checkpoints import address, checkpoint, is_done
 from tidemark.sources.io import materialize, read_posts
 
 
@@ -59,3 +61,18 @@ def q_posts_csv_split(spark, sf_dir):
     return found.groupBy("match_id", "period_id").agg(
         F.count("*").alias("n_posts"), F.sum(F.length(text)).alias("n_chars"),
         F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).alias("n_breaks"))
+
+
+@query("checkpoint_reuse", sql="""
+SELECT event_type AS match_id, CAST(floor(epoch(ts) / 3600) - floor(epoch(TIMESTAMP '2024-01-01') / 3600) AS BIGINT) AS period_id,
+       count(*) AS n_posts, TRUE AS reused, FALSE AS changed_reused
+FROM events GROUP BY ALL""",
+       note="a checkpoint written by one plan is found by an equal one, and not by one with another parameter")
+def q_checkpoint_reuse(spark, sf_dir):
+    root = scratch_path(spark, "checkpoints")
+    table = lambda: period_volume(event_posts(spark, sf_dir))
+    checkpoint(table(), "volume", root, {"feature": "volume"})
+    reused = is_done(spark, f"{root}/volume-{address(table(), {'feature': 'volume'})}")
+    changed = is_done(spark, f"{root}/volume-{address(table(), {'feature': 'other'})}")
+    return checkpoint(table(), "volume", root, {"feature": "volume"}).select(
+        "match_id", "period_id", "n_posts", F.lit(reused).alias("reused"), F.lit(changed).alias("changed_reused"))

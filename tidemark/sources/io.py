@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
+from tidemark.sources.checkpoints import NoAddress, checkpoint
 
 # Columns of post files; a file to score has no ``EventType``, and files may
 # have their columns in any order.
@@ -144,8 +145,19 @@ def read_terms(spark: SparkSession, path: str, col: str = "token") -> DataFrame:
 
 def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back (S3/S4): cuts lineage, survives executor loss, keeps NULL vs ''."""
+    back (S3/S4): cuts lineage, survives executor loss, keeps NULL vs ''.
+
+    With the session setting ``tidemark.checkpoints`` (a shared folder) a table
+    whose plan has an address is kept there and found again by later runs
+    (:mod:`tidemark.sources.checkpoints`).
+    """
     spark = spark or df.sparkSession
+    root = spark.conf.get("tidemark.checkpoints", None)
+    if root:
+        try:
+            return checkpoint(df, name, root)
+        except NoAddress:
+            pass
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
