@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import round_vector
@@ -15,6 +18,7 @@ from tidemark.operators.embedding import (
     period_vector_sum,
     period_word_vector_sum,
 )
+from tidemark.operators.encoder import contextual_encoder, random_weights
 from tidemark.operators.periods import PERIOD_KEYS, period_volume
 from tidemark.operators.text import with_tokens
 from tidemark.plans import sqlfrag as S
@@ -85,6 +89,20 @@ def q_encode_text_batch(spark, sf_dir):
     return out.select(*keys, "n_posts", round_vector("vec", V).alias("vec"))
 
 
+@query("encode_text_contextual", note="rows-only: self-attention over subwords of a public vocabulary, cut at 128, weights "
+       "from a file (seeded: trained ones are an input); tests compare it with a plain loop")
+def q_encode_text_contextual(spark, sf_dir):
+    import public_tokenizers
+
+    keys, dim = list(PERIOD_KEYS), 32
+    weights = random_weights(os.path.join(tempfile.mkdtemp(prefix="tidemark-weights-"), "encoder.npz"), 49_408, dim)
+    encoder = contextual_encoder(spark, weights, public_tokenizers.path("word_bpe_49k.json"), 49_406, 49_407)
+    posts = document_posts(spark, sf_dir, labelled=False)
+    enc = encode_text(posts, "text", dim, make_encoder=encoder, batch_size=512)
+    out = attach_period_mean(period_volume(posts), period_vector_sum(enc.select(*keys, "vec"), keys), keys, dim)
+    return out.select(*keys, "n_posts", round_vector("vec", 3).alias("vec"))
+
+
 @query("encode_text_hashing", note="rows-only: JVM HashingTF encoder")
 def q_encode_text_hashing(spark, sf_dir):
     keys = list(PERIOD_KEYS)
