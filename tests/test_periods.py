@@ -98,7 +98,27 @@ def test_result_independent_of_partitioning(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_index_method_equals_window(spark):
+def test_halo_over_many_partitions(spark):
+    """Neighbours across range partitions, some smaller than the largest offset, against plain lists."""
+    from tidemark.operators.periods import neighbour_values
+    rng = random.Random(3)
+    groups = {m: [rng.randrange(50) for _ in range(n)] for m, n in (("a", 1), ("b", 40), ("c", 2), (None, 9), ("d", 3))}
+    rows = [(m, p, f"{m}:{p}", x) for m, xs in groups.items() for p, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "match_id string, period_id long, id string, x long").repartition(3)
+    offsets = [1, 2, 7, -1, -5]
+    for partitions in (None, 1, 4, 23, 80):
+        out, nb = neighbour_values(df, "x", offsets, partitions=partitions)
+        got = out.select("match_id", "period_id", "x", *[nb[k].alias(f"o{i}") for i, k in enumerate(offsets)]).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            xs = groups[r.match_id]
+            assert r.x == xs[r.period_id]
+            assert list(r[3:]) == [xs[r.period_id - k] if 0 <= r.period_id - k < len(xs) else None for k in offsets]
+    out, nb = neighbour_values(df.limit(0), "x", [1])
+    assert out.select(nb[1]).collect() == []
+
+
+def test_changes_do_not_depend_on_partitions(spark):
     rng = random.Random(3)
     rows, pid = [], 0
     for m in ("a", "b", "c"):
@@ -109,11 +129,11 @@ def test_index_method_equals_window(spark):
     posts = spark.createDataFrame(rows, "match_id string, period_id long, id string, post_id long, value double")
     vol = period_volume(posts)
     for mode in ("row_lag", "period_lag"):
-        a = volume_change(vol, mode=mode, method="window").collect()
-        b = volume_change(vol, mode=mode, method="index").collect()
+        a = volume_change(vol, mode=mode).collect()
+        b = volume_change(vol, mode=mode, partitions=7).collect()
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
-    a = period_change(vol, "n_posts", method="window").collect()
-    b = period_change(vol, "n_posts", method="index").collect()
+    a = period_change(vol, "n_posts").collect()
+    b = period_change(vol, "n_posts", partitions=7).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 

@@ -98,76 +98,56 @@ def period_spread(posts: DataFrame, col: str, keys: Sequence[str] = PERIOD_KEYS)
         F.stddev_samp(_nan_to_null(col)).alias(f"std_{col}"))
 
 
-# A group (match) with more periods than this is not sorted in one window
-# task; its neighbours come from a self-join on a global row index instead.
-WINDOW_GROUP_LIMIT = 2_000_000
-
-
-def _period_window(by: Sequence[str] | str, order: Sequence[str]):
-    by = [by] if isinstance(by, str) else list(by)
-    return Window.partitionBy(*by).orderBy(*order)
-
-
 def neighbour_values(periods: DataFrame, col: str, offsets: Sequence[int],
                      by: Sequence[str] | str = "match_id",
                      order: Sequence[str] = ("period_id", "id"),
-                     method: str = "auto") -> tuple[DataFrame, dict[int, Column]]:
+                     partitions: int | None = None) -> tuple[DataFrame, dict[int, Column]]:
     """Values of ``col`` ``k`` rows back (k > 0) or ahead (k < 0) in the same
     group, in ``order``; NULL past the group's ends.
 
-    ``method="window"``: ``lag``/``lead`` over a window partitioned by group -
-    one task sorts a whole group. ``method="index"``: number all periods in
-    the total order (group, order) with the distributed ``global_row_index``
-    and fetch neighbours by an equi-join on the shifted index (unique keys,
-    so no skew however large a group is). ``method="auto"`` counts the
-    largest group (one aggregate over the period table) and uses the window
-    only below ``WINDOW_GROUP_LIMIT``.
-    Returns the frame and a Column per offset.
+    The periods are sorted once into range partitions of (group, order), so a
+    large group is many partitions. The last rows of a partition, as many as
+    the largest offset, are also handed to the ones after it (and the first
+    to the ones before): with that halo every offset is a window inside one
+    partition, whatever the size of a group. ``partitions``: how many
+    (default: as many as the table needs). Returns the frame and a Column
+    per offset.
     """
     by = [by] if isinstance(by, str) else list(by)
-    if method == "auto":
-        largest = periods.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        method = "window" if largest <= WINDOW_GROUP_LIMIT else "index"
-    if method == "window":
-        w = _period_window(by, order)
-        cols = {k: (F.lag(F.col(col), k) if k > 0 else F.lead(F.col(col), -k)).over(w)
-                for k in offsets}
-        return periods, cols
-    if method != "index":
-        raise ValueError(f"method must be 'auto', 'window' or 'index', got {method!r}")
-    out = global_row_index(periods, by + list(order), "__r")
-    cols = {}
-    for k in offsets:
-        name = f"__nb{k}".replace("-", "m")
-        shifted = out.select((F.col("__r") + F.lit(k)).alias("__r"),
-                             *[F.col(b).alias(f"{name}_{b}") for b in by],
-                             F.col(col).alias(name))
-        out = out.join(shifted, "__r", "left")
-        same = F.lit(True)
-        for b in by:
-            same = same & F.col(f"{name}_{b}").eqNullSafe(F.col(b))
-        out = out.withColumn(name, F.when(same, F.col(name))).drop(*[f"{name}_{b}" for b in by])
-        cols[k] = F.col(name)
-    return out, cols
+    back, ahead = max((k for k in offsets if k > 0), default=0), max((-k for k in offsets if k < 0), default=0)
+    names = {k: f"__nb{k}".replace("-", "m") for k in offsets}
+    rows, sizes = _range_sorted(periods, by + list(order), partitions)
+    total = F.array(*[F.lit(n) for n in sizes or [0]])
+    begin = F.array(*[F.lit(sum(sizes[:p])).cast("long") for p in range(max(1, len(sizes)))])
+    place = F.get(begin, F.col("__part")) + F.col("__local")
+    edge = (F.col("__local") < ahead) | (F.col("__local") >= F.get(total, F.col("__part")) - back)
+    near = F.filter(F.sequence(F.lit(0), F.lit(max(0, len(sizes) - 1))), lambda p: (
+        (place >= F.get(begin, p) - back) & (place < F.get(begin, p) + F.get(total, p) + ahead)))
+    homes = F.when(edge, near).otherwise(F.array("__part")) if len(sizes) > 1 else F.array("__part")
+    w = Window.partitionBy("__home", *by).orderBy("__part", "__local")
+    lags = {names[k]: (F.lag(col, k) if k > 0 else F.lead(col, -k)).over(w) for k in offsets}
+    out = (rows.select("*", F.explode(homes).alias("__home")).withColumns(lags)
+           .where(F.col("__home") == F.col("__part")).drop("__home", "__part", "__local"))
+    return out, {k: F.col(n) for k, n in names.items()}
 
 
 def _drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("__nb") or c == "__r"])
+    return df.drop(*[c for c in df.columns if c.startswith("__nb")])
 
 
 def period_change(periods: DataFrame, col: str,
                   lags: Sequence[int] = (1, 2, 3), leads: Sequence[int] = (1,),
                   by: Sequence[str] | str = "match_id",
                   order: Sequence[str] = ("period_id", "id"),
-                  method: str = "auto") -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """``x - lag(x, k)`` as ``<col>_before<k>`` and ``x - lead(x, k)``
     as ``<col>_after<k>``; 0 where the neighbour does not exist.
 
-    Runs on the period table (one row per period); see ``neighbour_values``
-    for how a very large group is handled.
+    Runs on the period table (one row per period), all offsets in one pass
+    (``neighbour_values``).
     """
     offsets = list(lags) + [-k for k in leads]
-    out, nb = neighbour_values(periods, col, offsets, by, order, method)
+    out, nb = neighbour_values(periods, col, offsets, by, order, partitions)
     x = F.col(col)
     for k in lags:
         out = out.withColumn(f"{col}_before{k}", F.coalesce(x - nb[k], F.lit(0)))
@@ -179,7 +159,7 @@ def period_change(periods: DataFrame, col: str,
 def volume_change(periods: DataFrame, n_col: str = "n_posts", mode: str = "row_lag",
                   by: Sequence[str] | str = "match_id",
                   order: Sequence[str] = ("period_id", "id"),
-                  out_col: str = "volume_change", method: str = "auto") -> DataFrame:
+                  out_col: str = "volume_change", partitions: int | None = None) -> DataFrame:
     """Change in volume two steps back, per period.
 
     ``mode="row_lag"`` is what the original computes: every *post* carries
@@ -199,7 +179,7 @@ def volume_change(periods: DataFrame, n_col: str = "n_posts", mode: str = "row_l
     """
     if mode not in ("row_lag", "period_lag"):
         raise ValueError(f"mode must be 'row_lag' or 'period_lag', got {mode!r}")
-    out, nb = neighbour_values(periods, n_col, [1, 2], by, order, method)
+    out, nb = neighbour_values(periods, n_col, [1, 2], by, order, partitions)
     n = F.col(n_col).cast("double")
     out = out.withColumn("__n1", nb[1].cast("double")).withColumn("__n2", nb[2].cast("double"))
     p1, p2 = F.col("__n1"), F.col("__n2")
@@ -238,7 +218,8 @@ def max_scale(df: DataFrame, col: str, by: Sequence[str] | str | None = None,
         return df.withColumn(out_col, F.try_divide(F.col(col).cast("double"), m))
     by = [by] if isinstance(by, str) else list(by)
     keys = [F.col(c).alias(f"__k{i}") for i, c in enumerate(by)]
-    maxima = df.groupBy(*keys).agg(F.max(src).alias("__max"))
+    # Written once: it is counted, then joined.
+    maxima = materialize(df.groupBy(*keys).agg(F.max(src).alias("__max")), "maxima")
     same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)]
     # The group table is counted and broadcast when small, so a hot group
     # is not shuffled; rows whose group is NULL form a group of their own.
@@ -256,32 +237,31 @@ def fill_nulls(df: DataFrame, cols: Sequence[str], value: float = 0.0) -> DataFr
     return out
 
 
+def _range_sorted(df: DataFrame, order: Sequence[str | Column],
+                  partitions: int | None = None) -> tuple[DataFrame, list[int]]:
+    """``df`` in range partitions of ``order`` with its place (``__part int, __local long``), and their sizes.
+
+    The numbered table is written to the shared checkpoint folder so that
+    sizes and places come from one run. The sizes - one number per partition -
+    come to the driver.
+    """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rows = materialize(ranged.sortWithinPartitions(*order).withColumn("__mid", F.monotonically_increasing_id()),
+                       "row-index")
+    part = F.shiftright("__mid", 33)
+    rows = (rows.withColumn("__part", part.cast("int")).withColumn("__local", F.col("__mid") - F.shiftleft(part, 33))
+                .drop("__mid"))
+    counts = dict(rows.groupBy("__part").count().collect())
+    return rows, [counts.get(p, 0) for p in range(max(counts, default=-1) + 1)]
+
+
 def global_row_index(df: DataFrame, order: Sequence[str | Column],
                      out_col: str = "row_index") -> DataFrame:
     """1-based position of every row in the total order ``order``.
 
-    Distributed: range-partition and sort, number rows inside each partition
-    with ``monotonically_increasing_id`` (partition id in the high bits), then
-    add the count of all earlier partitions. The counts - one number per
-    partition, bounded by the partition count - come to the driver and go
-    back as an array literal indexed by partition id. The numbered table is
-    written to the shared checkpoint folder so counts and ids come from one
-    run.
+    Distributed: rows are numbered inside range partitions, then the count of
+    all earlier partitions is added, an array literal indexed by partition.
     """
-    sorted_df = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-                   .withColumn("__mid", F.monotonically_increasing_id()))
-    sorted_df = materialize(sorted_df, "row-index")
-    part = F.shiftright(F.col("__mid"), 33)
-    local = F.col("__mid") - F.shiftleft(part, 33)
-    with_part = sorted_df.withColumn("__part", part).withColumn("__local", local)
-    counts = dict(with_part.groupBy("__part").count().collect())
-    offsets, total = [], 0
-    for p in range(int(max(counts, default=-1)) + 1):
-        offsets.append(total)
-        total += counts.get(p, 0)
-    if not offsets:
-        return with_part.withColumn(out_col, F.lit(None).cast("long")).drop(
-            "__mid", "__part", "__local")
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), (F.col("__part") + 1).cast("int"))
-    return (with_part.withColumn(out_col, offset.cast("long") + F.col("__local") + 1)
-            .drop("__mid", "__part", "__local"))
+    rows, sizes = _range_sorted(df, order)
+    starts = F.array(*[F.lit(sum(sizes[:p])).cast("long") for p in range(max(1, len(sizes)))])
+    return rows.withColumn(out_col, F.get(starts, F.col("__part")) + F.col("__local") + 1).drop("__part", "__local")

@@ -29,13 +29,13 @@ from tidemark.plans.features import CONFIGS, build_features, training_maxima
 from tidemark.plans.q_features import TEST_SOURCES
 from tidemark.plans.registry import query
 from tidemark.plans.training import (
-    TRAIN_PARTITIONS,
     document_resources,
     feature_set_leaderboard,
     flagship,
     main_program_predictions,
     score,
     train,
+    train_partitions,
 )
 from tidemark.session import cached
 from tidemark.sources.adapters import document_posts, read_table
@@ -56,9 +56,9 @@ def _split(spark, sf_dir):
     """Training and test part; the training part dealt by a hash of its key, so forests do not
     depend on the files' layout."""
     data = learner_input(spark, sf_dir)
-    train = (data.where(~F.col("is_test")).repartition(TRAIN_PARTITIONS, "vec_id")
-             .sortWithinPartitions("vec_id"))
-    return train, data.where(F.col("is_test"))
+    part = data.where(~F.col("is_test"))
+    part = part.repartition(train_partitions(part), "vec_id").sortWithinPartitions("vec_id")
+    return part, data.where(F.col("is_test"))
 
 
 def _fit_predict(spark, sf_dir, est):

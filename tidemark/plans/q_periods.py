@@ -166,7 +166,7 @@ def q_period_features_filled(spark, sf_dir):
 
 @query("volume_change_row_lag_index", sql=f"""WITH {_EV_TYPE_HOUR}, {_ROW_LAG}
 SELECT match_id, period_id, id, n_posts, round(volume_change, {R}) AS volume_change FROM rowlag""",
-       note="neighbours by a self-join on a global row index (the path for very large matches)")
+       note="matches cut over 24 range partitions, with a halo of neighbours")
 def q_volume_change_row_lag_index(spark, sf_dir):
-    v = volume_change(period_volume(event_posts(spark, sf_dir)), method="index")
+    v = volume_change(period_volume(event_posts(spark, sf_dir)), partitions=24)
     return v.select(*_keys(), "n_posts", F.round("volume_change", R).alias("volume_change"))

@@ -51,8 +51,8 @@ def corpus_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = (global_row_index(counts, [F.desc("cnt"), F.asc("term")], "rank")
               .withColumn("vec_id", F.col("rank") - 1))
     vecs = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return (ranked.join(vecs, ranked["vec_id"] == vecs["vec_id"])
-                  .select(F.col("term").alias("word"), F.col("embedding").alias("vec")))
+    return materialize(ranked.join(vecs, ranked["vec_id"] == vecs["vec_id"])
+                       .select(F.col("term").alias("word"), F.col("embedding").alias("vec")), "word-vectors")
 
 
 def embedding_dim(spark: SparkSession, sf_dir: str) -> int:

@@ -38,24 +38,28 @@ def document_resources(spark: SparkSession, sf_dir: str, configs=None) -> Resour
                      dim=embedding_dim(spark, sf_dir) if words else None, lexicon=benchmark_lexicon(spark, sf_dir))
 
 
-# Partitions of a training table: iterative learners run many small jobs, so
-# few; a stated number, because forests draw their samples per partition.
+# Rows of a training table in a partition. Iterative learners run many small jobs, so a small table has few.
+TRAIN_ROWS = 50_000
 TRAIN_PARTITIONS = 2
 
 
-def train(features: DataFrame, config: str, estimator, partitions: int = TRAIN_PARTITIONS,
-          key: str = "id"):
-    """Fit ``estimator`` on the labelled periods of a feature table.
+def train_partitions(rows: DataFrame) -> int:
+    """Partitions of a training table, by its number of rows."""
+    return max(TRAIN_PARTITIONS, -(-rows.count() // TRAIN_ROWS))
 
-    The training table (one row per period) is dealt to ``partitions`` by a
-    hash of its key, sorted within them and persisted for the fit, so the
-    same periods give the same model whatever the partitioning of their
-    source. (Another number of partitions gives another forest: its
-    bootstrap is drawn per partition. Raise it with the table.)
+
+def train(features: DataFrame, config: str, estimator, partitions: int | None = None, key: str = "id"):
+    """Fit a ``pyspark.ml`` ``estimator`` on the labelled periods of a feature table.
+
+    The training table (one row per period) is dealt to ``partitions`` (one for
+    ``TRAIN_ROWS`` rows, ``TRAIN_PARTITIONS`` at least) by a hash of its key,
+    sorted within them and persisted for the fit, so the same periods give the
+    same model whatever the partitioning of their source. (Another number of
+    partitions gives another ``pyspark.ml`` forest: its bootstrap is drawn per
+    partition.)
     """
-    data = (assemble(features, config).where(F.col("label").isNotNull())
-            .repartition(partitions, key).sortWithinPartitions(key)
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    rows = assemble(features, config).where(F.col("label").isNotNull())
+    data = rows.repartition(partitions or train_partitions(rows), key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator.fit(data)
     finally:
