@@ -1,15 +1,20 @@
-"""Registered queries: post files."""
+"""Registered queries: post files and checkpoints."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.learn.fits import Boost, Forest, Logistic
+from tidemark.learn.graph import Bag, FittedModels, Single, Stack
+from tidemark.operators.periods import period_volume
+from tidemark.plans.features import Resources, build_features
 from tidemark.plans.registry import query
+from tidemark.plans.resources import benchmark_lexicon
+from tidemark.plans.training import score, train_models
 from tidemark.session import scratch_path
-from tidemark.operators.periods import period_volume
 from tidemark.sources.adapters import conversation_posts, event_posts
 from tidemark.sources.checkpoints import address, checkpoint, is_done
-from tidemark.sources.io import materialize, read_posts
+from tidemark.sources.io import materialize, read_posts, write_predictions
 
 
 @query("posts_csv_scan", sql="""
@@ -76,3 +81,33 @@ def q_checkpoint_reuse(spark, sf_dir):
     changed = is_done(spark, f"{root}/volume-{address(table(), {'feature': 'other'})}")
     return checkpoint(table(), "volume", root, {"feature": "volume"}).select(
         "match_id", "period_id", "n_posts", F.lit(reused).alias("reused"), F.lit(changed).alias("changed_reused"))
+
+
+@query("score_csv_files", sql="""
+SELECT DISTINCT event_type || ':' || p AS id, CAST(p % 2 AS DOUBLE) AS event_type
+FROM (SELECT event_type, CAST(floor(epoch(ts) / 3600) - floor(epoch(TIMESTAMP '2024-01-01') / 3600) AS BIGINT) AS p FROM events)
+WHERE event_type IN ('signup', 'view')""",
+       note="training files and files to score, features scaled per file, a stack and a bag fitted, saved and loaded, "
+       "predictions written in order and read back; posts of odd periods name a key phrase, so the answer is known")
+def q_score_csv_files(spark, sf_dir):
+    posts = event_posts(spark, sf_dir).select(
+        F.col("id").alias("ID"), F.col("match_id").alias("MatchID"), F.col("period_id").alias("PeriodID"),
+        (F.col("period_id") % 2).cast("double").alias("EventType"), F.col("post_id").alias("Timestamp"),
+        F.when(F.col("period_id") % 2 == 1, F.lit("goal, now\nor never")).otherwise("nothing to see").alias("Tweet"))
+    to_score = F.col("MatchID").isin("signup", "view")
+    root = scratch_path(spark, "score-files")
+    for part, name in ((posts.where(~to_score), "train"), (posts.where(to_score).drop("EventType"), "eval")):
+        (part.repartition("MatchID").write.option("header", True).option("quoteAll", True).option("escape", '"')
+         .csv(f"{root}/{name}"))
+    res = Resources(lexicon=benchmark_lexicon(spark, sf_dir))
+    feats = build_features(read_posts(spark, f"{root}/train"), "features_only", res)
+    learners = {"stack": Stack((Forest(10, 4), Boost(10, 0.3, 3), Logistic())), "bag": Bag(Single(Boost(5, 0.3, 2)), 3)}
+    train_models(feats, "features_only", learners).save(f"{root}/model")
+    fitted = FittedModels.load(spark, f"{root}/model")
+    # every file scaled by its own maxima, as the original scores them
+    evals = build_features(read_posts(spark, f"{root}/eval"), "features_only", res, label_col=None, scale_by="source_file")
+    stack, bag = (score(fitted.model(m), evals, "features_only") for m in learners)
+    write_predictions(stack.join(bag.withColumnRenamed("event_type", "other"), "id").where("event_type = other"),
+                      f"{root}/predictions", sort=True)
+    back = spark.read.schema("ID string, EventType double").option("header", True).csv(f"{root}/predictions")
+    return back.select(F.col("ID").alias("id"), F.col("EventType").alias("event_type"))

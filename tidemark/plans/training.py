@@ -93,12 +93,6 @@ def train_models(features: DataFrame, config: str, models: dict, key: str = "id"
     return fit_models(assemble(features, config).where(F.col("label").isNotNull()), models, [key], **how)
 
 
-def score_models(fitted: FittedModels, features: DataFrame, config: str, model: str = MAIN) -> DataFrame:
-    """``id, event_type`` for every period of ``features`` by one of the fitted models."""
-    scored = fitted.transform(assemble(features, config, label_col="__none__"))
-    return scored.select("id", (F.col("p1")[model] > 0.5).cast("double").alias("event_type"))
-
-
 def main_program_predictions(spark: SparkSession, sf_dir: str, config: str = "volume_sentiment") -> DataFrame:
     """The original main program: bag of ten stacks, fitted on the labelled periods, predicting every period.
 
@@ -106,7 +100,7 @@ def main_program_predictions(spark: SparkSession, sf_dir: str, config: str = "vo
     """
     res = document_resources(spark, sf_dir, [config])
     feats = build_features(document_posts(spark, sf_dir), config, res, label_agg="max")
-    pred = score_models(train_models(feats, config, {MAIN: main_program()}), feats, config)
+    pred = score(train_models(feats, config, {MAIN: main_program()}).model(MAIN), feats, config)
     return pred.join(feats.select("id", F.col("event_type").isNotNull().alias("labelled")), "id")
 
 
