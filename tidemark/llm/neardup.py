@@ -7,19 +7,19 @@ ordered pick is equal, which is likely for texts at a small edit distance and
 unlikely for texts that share words in another order. Candidates are verified
 by a banded alignment of their labelled shingles.
 
-Exact copies are one text. Few texts under a key give all their pairs. In a
-crowd under a key every text is compared with the crowd's leaders, texts that
-are in the most crowds. What is not linked to the first leader goes on under
-new keys, made of what the texts have and that leader has not: texts that only
-share a passage part ways, while copies of a variant meet again. This is
-repeated as long as there are crowds, so the work grows with the number of
-texts and not with the square of a crowd.
+Exact copies are one text. Few texts under a key give all their pairs. In its
+largest crowd a text is compared with the crowd's leaders, texts that are in
+the most crowds. What is not linked to the first leader goes on under new keys,
+made of what the texts have and that leader has not: texts that only share a
+passage part ways, while copies of a variant meet again. This is repeated as
+long as there are crowds, so the work grows with the number of texts and not
+with the square of a crowd.
 
 The rounds only link early what is easily linked. Afterwards all texts that
 were in a crowd and are not in one component yet meet in an exact join: with
 the shingles in one order, rare ones first, two alike texts share one among
-the first of both (prefix filter), at places and lengths that allow the
-similarity. No alike pair of crowd members is missed, whatever share of their
+the first of both (prefix filter), at places in that order and in the texts, and
+with lengths, that allow the similarity. No alike pair of crowd members is missed, whatever share of their
 texts a leader covers.
 """
 
@@ -278,32 +278,34 @@ def _exact_pairs(crowded: DataFrame, found: DataFrame, links: DataFrame | None,
     def run(batches):
         classes = shared.value
         for batch in batches:
-            out = {"key": [], "tid": [], "root": [], "size": [], "place": [], "short": []}
+            out = {"key": [], "tid": [], "root": [], "size": [], "place": [], "at": [], "short": []}
             for tid, root, w in zip(batch["tid"], batch["root"], batch["words"], strict=True):
                 own = labelled(np.frombuffer(w, np.uint32))
                 first, short = prefix(own, classes, similarity)
-                k = len(first)
+                k, by = len(first), np.argsort(own)
+                at = by[np.searchsorted(own, first, sorter=by)].tolist()
                 for c, v in zip(out, (first.view(np.int64).tolist(), [tid] * k, [root] * k, [len(own)] * k,
-                                      range(k), [i < short for i in range(k)]), strict=True):
+                                      range(k), at, [i < short for i in range(k)]), strict=True):
                     out[c].extend(v)
             yield out
 
-    rows = written(map_batches(texts, run, "key long, tid binary, root binary, size int, place int, short boolean"),
-                   "near-prefixes")
+    rows = written(map_batches(texts, run, "key long, tid binary, root binary, size int, place int, at int, "
+                                      "short boolean"), "near-prefixes")
     salts = (rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.xxhash64("root")).alias("low"),
                                      F.max(F.xxhash64("root")).alias("high"))
              .where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("s")))
     rows = written(rows.join(salts, "key"), "near-shared")
     x = rows.where("short").select("key", F.pmod(F.xxhash64("tid"), F.col("s")).cast("int").alias("salt"),
-                                   *[F.col(c).alias(f"x_{c}") for c in ("tid", "root", "size", "place")])
+                                   *[F.col(c).alias(f"x_{c}") for c in ("tid", "root", "size", "place", "at")])
     y = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"),
-                    *[F.col(c).alias(f"y_{c}") for c in ("tid", "root", "size", "place")])
+                    *[F.col(c).alias(f"y_{c}") for c in ("tid", "root", "size", "place", "at")])
     c = F.col
     need = F.ceil(F.lit(similarity / (1 + similarity)) * (c("x_size") + c("y_size")) - 1e-9)
     pairs = x.hint("merge").join(y, [
         x["key"] == y["key"], x["salt"] == y["salt"], c("x_root") != c("y_root"),
         (c("x_size") < c("y_size")) | ((c("x_size") == c("y_size")) & (c("x_tid") < c("y_tid"))),
-        F.least(c("x_size") - c("x_place"), c("y_size") - c("y_place")) >= need])
+        F.least(c("x_size") - c("x_place"), c("y_size") - c("y_place")) >= need,
+        F.abs(c("x_at") - c("y_at")) <= F.greatest("x_size", "y_size") - need])
     return written(pairs.select(F.least("x_tid", "y_tid").alias("a"), F.greatest("x_tid", "y_tid").alias("b"))
                    .distinct().withColumn("lead", F.lit(False)), "near-exact-pairs")
 
@@ -331,7 +333,9 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
         best = [F.max(F.struct("w", F.xxhash64("tid", F.lit(i)).alias("h"), "tid"))["tid"] for i in range(LEADERS)]
         leaders = (crowd.join(weight, "tid").groupBy("key").agg(F.array(*best).alias("top"))
                    .select("key", F.posexplode("top").alias("i", "a")))
-        pairs = (crowd.join(leaders, "key").where(F.col("tid") != F.col("a"))
+        # A text meets the leaders of its largest crowd alone: three rows a text, however many crowds it is in.
+        own = crowd.groupBy("tid").agg(F.max(F.struct("n", "key"))["key"].alias("key"))
+        pairs = (own.join(leaders, "key").where(F.col("tid") != F.col("a"))
                  .select("a", F.col("tid").alias("b"), (F.col("i") == 0).alias("lead")))
         few = _pairs(members.where(F.col("n") <= pairs_up_to))
         pairs = written(few.unionByName(pairs).groupBy("a", "b").agg(F.max("lead").alias("lead")), "near-pairs")
