@@ -6,7 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, packing
-from tidemark.llm.tokens import Encoder, load_encoding
+from tidemark.llm.tokens import Encoder, added_tokens, load_encoding
 
 SCHEMA = "doc_id long, text string, source string, size string, row string, bucket long"
 TEXTS = [None, "", "one", "two words", "a b c d e f g", "x " * 5000, "a b c d e f g", " \n ", "ö ä ü", "line\n\nline  two "]
@@ -69,12 +69,14 @@ def test_mix_of_nothing(spark):
 
 
 @pytest.mark.parametrize("text", [*TEXTS, "don't they're", "tab\tx", "a\x1cb c", " lead", "trail ", "x\r\ny z", "日本 語",
-                                  "é 　 z", "a\x85b \x85", "12 345,6 !!", "<|endoftext|> x", "𝔘 🙂 a"])
+                                  "é 　 z", "a\x85b \x85", "12 345,6 !!", "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\ny  <|endo", "𝔘 🙂 a"])
 def test_ids_equal_the_tokenizer(text):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = t.encode(text or "", add_special_tokens=False).ids
+    assert np.frombuffer(Encoder(added=added_tokens()).ids(text), "<u4").tolist() == want
     t.encode_special_tokens = True
     want = t.encode(text or "", add_special_tokens=False).ids
     assert np.frombuffer(Encoder().ids(text), "<u4").tolist() == want
@@ -119,7 +121,7 @@ def test_costs_are_balanced():
 def test_pieces_hold_every_id_once(spark):
     d = docs(spark).repartition(3)
     pieces = packing.pack(d, length=64, group_tokens=500).collect()
-    encoder = Encoder()
+    encoder = Encoder(added=added_tokens())
     want = []
     for r in d.collect():
         ids = encoder.ids(r.text) + np.array([1], "<u4").tobytes()

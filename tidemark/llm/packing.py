@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, small_batches
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import Encoder, added_tokens
 
 LENGTH = 2048
 END_ID = 1
@@ -71,18 +71,20 @@ def assign(lengths: list[int], length: int = LENGTH,
 
 
 def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenizer: str | None = None,
-         group_tokens: int = GROUP_TOKENS, width: int = MODEL_WIDTH, id_col: str = "doc_id",
+         group_tokens: int = GROUP_TOKENS, width: int = MODEL_WIDTH, added: str | None = None, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, cost``.
 
-    A document's ids are its text's followed by ``end_id``. Null and empty
+    A document's ids are its text's followed by ``end_id``. Added tokens of the
+    file ``added`` (default: ``byte_bpe_50k.json``) that stand in a text are one
+    id each, as the library has it by default. Null and empty
     texts are documents of that one id. Null ids and repeated rows are packed
     like any other row. Empty table: no rows. Other columns are not read.
     """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, added=added_tokens(added))
         end = np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 33
         names = [c.split()[0] for c in SCHEMA.split(", ")]

@@ -10,6 +10,8 @@ line, and a newline id between lines); any other text is encoded as a whole.
 from __future__ import annotations
 
 import base64
+import json
+import re
 
 import numpy as np
 
@@ -28,6 +30,14 @@ def load_encoding(path: str | None = None):
                              special_tokens={})
 
 
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """Added tokens of a ``tokenizers`` file (default: ``byte_bpe_50k.json``) and their ids."""
+    import public_tokenizers
+
+    with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 class _Cache(dict):
     def __init__(self, encode, prefix: str, limit: int):
         super().__init__()
@@ -41,15 +51,28 @@ class _Cache(dict):
 
 
 class Encoder:
-    """Whole texts to ids as little-endian unsigned 32-bit integers."""
+    """Whole texts to ids as little-endian unsigned 32-bit integers.
 
-    def __init__(self, path: str | None = None, cache_words: int = CACHE_WORDS):
+    ``added``: strings that are a token of their own wherever they stand in a text (none: all is plain text).
+    """
+
+    def __init__(self, path: str | None = None, cache_words: int = CACHE_WORDS, added: dict[str, int] | None = None):
+        self._added = {s: np.array([i], "<u4").tobytes() for s, i in (added or {}).items()}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._apart = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self._encode = load_encoding(path).encode_ordinary
         self._inner = _Cache(self._encode, " ", cache_words)
         self._first = _Cache(self._encode, "", cache_words // 10)
         self._newline = np.array(self._encode("\n"), "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self._apart and self._apart.search(text):
+            return b"".join(self._added.get(part) or self._plain(part) for part in self._apart.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         lines = text.split("\n")
