@@ -26,13 +26,13 @@ from tidemark.plans.resources import (
     english_documents,
     lemma_exceptions,
 )
-from tidemark.sources.adapters import conversation_posts, document_posts, read_table
+from tidemark.sources.adapters import conversation_posts, document_posts, text_table
 
 R = 6
 
 
 def _docs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents")
+    return text_table(spark, sf_dir, "documents", "doc_id")
 
 
 @query("clean_regex", sql=f"SELECT doc_id, {S.clean('text')} AS clean FROM documents")

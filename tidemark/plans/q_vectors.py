@@ -24,7 +24,7 @@ from tidemark.operators.text import with_tokens
 from tidemark.plans import sqlfrag as S
 from tidemark.plans.registry import query
 from tidemark.plans.resources import corpus_word_vectors, embedding_dim
-from tidemark.sources.adapters import document_posts, read_table
+from tidemark.sources.adapters import document_posts, read_table, text_table
 
 V = 4  # decimals of vector elements compared against the oracle
 
@@ -38,7 +38,7 @@ vecs AS (SELECT post_id, list(x ORDER BY i) AS vec FROM pv GROUP BY post_id)
 SELECT d.doc_id, {S.round_list(f"coalesce(v.vec, {S.zeros()})")} AS vec
 FROM documents d LEFT JOIN vecs v ON d.doc_id = v.post_id""")
 def q_mean_word_vector(spark, sf_dir):
-    docs = with_tokens(read_table(spark, sf_dir, "documents"))
+    docs = with_tokens(text_table(spark, sf_dir, "documents", "doc_id"))
     out = mean_word_vector(docs, corpus_word_vectors(spark, sf_dir), embedding_dim(spark, sf_dir),
                            key_col="doc_id")
     return out.select("doc_id", round_vector("vec", V).alias("vec"))

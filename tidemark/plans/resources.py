@@ -25,11 +25,11 @@ from tidemark.functions.text import clean_regex, token_rows, tokenize
 from tidemark.operators.periods import global_row_index
 from tidemark.operators.sentiment import SentimentRules
 from tidemark.operators.text import frequency_dictionary, with_tokens
-from tidemark.sources.adapters import read_table
+from tidemark.sources.adapters import read_table, text_table
 from tidemark.sources.io import materialize
 
 def english_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").where(F.col("lang") == "en")
+    return text_table(spark, sf_dir, "documents", "doc_id").where(F.col("lang") == "en")
 
 
 def corpus_dictionary(spark: SparkSession, sf_dir: str,

@@ -22,6 +22,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# A text table with less than this for each core is dealt out before it is worked on.
+SPREAD_BYTES = 32 << 20
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, *key: str) -> DataFrame:
+    """A table of texts with enough partitions for all cores.
+
+    Work on texts is bound by CPU, and a small table is often one row group,
+    that is one task. Tables of less than ``SPREAD_BYTES`` a core are dealt out
+    by ``key`` (text moves once); larger ones have splits enough.
+    """
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))     # of the listed files
+    return df.repartition(cores, *key) if size < cores * SPREAD_BYTES else df
+
+
 def _period_id(key: F.Column) -> F.Column:
     return F.concat_ws(":", key.cast("string"), F.col("period_id").cast("string"))
 
@@ -65,7 +82,7 @@ def document_posts(spark: SparkSession, sf_dir: str, period_size: int = 100,
     ``labels`` has at most one row per document, so the join keeps one row
     per document.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", "lang", "source")
     if labelled:
         docs = docs.join(read_table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     else:
@@ -83,7 +100,7 @@ def document_posts(spark: SparkSession, sf_dir: str, period_size: int = 100,
 
 def conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` as unlabelled posts: match = ``conv_id``, period = ``turn``."""
-    conv = read_table(spark, sf_dir, "conversations")
+    conv = text_table(spark, sf_dir, "conversations", "conv_id", "turn")
     return (conv.select(
                 F.col("conv_id").cast("string").alias("match_id"),
                 F.col("turn").cast("long").alias("period_id"),
