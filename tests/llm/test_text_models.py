@@ -261,3 +261,60 @@ def test_held_out_text_is_likelier_than_by_the_base(spark):
     out = lm.fit_and_score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     rows = [r for r in out.collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_long_words_are_scored_whole():
+    """Scaled values over any length equal the sum over all segmentations; pieces of all lengths are used."""
+    pieces = langid.vocabulary()
+    assert max(map(len, pieces)) >= 12 and len(pieces) > 20_000
+    lattice = langid.Lattice(pieces)
+    rng = random.Random(3)
+    p = np.append(rng_p := np.random.default_rng(1).dirichlet(np.ones(len(pieces))), 0.0)[:, None]
+    assert abs(rng_p.sum() - 1) < 1e-9
+    for n in (1, 5, 23, 24, 25, 60, 130):
+        word = langid._START + "".join(rng.choice("aeinrstlmo") for _ in range(n))
+        lat = lattice.of([word])
+        want = math.log(langid.forward(lat, p)[-1, 0, 0])
+        assert abs(langid.log_total(lat, p)[0, 0] - want) < 1e-9 * abs(want)
+    assert np.isfinite(langid.log_total(lattice.of([langid._START + "q" * 3000]), p)).all()
+
+
+def test_fit_in_tasks_equals_one_place(spark):
+    """The distributed rounds give the probabilities of the plain ones, and a rare language is learned."""
+    rows = [Row(i if i % 5 else None, t, "en") for i, t in enumerate(["the cat sat on the mat", "a cat and the hat " * 3] * 20)]
+    rows += [Row(900, "katten satt på mattan", "sv"), Row(901, None, "sv"), Row(902, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(df)
+    assert model.languages == ["en", "sv"]
+    lattice = langid.Lattice(model.pieces)
+    for lang in model.languages:
+        words = [w for r in rows if r[2] == lang for w in langid.split_words(r[1])]
+        p = langid.fit_language(sorted(set(words)), np.array([words.count(w) for w in sorted(set(words))], float), lattice)
+        assert np.abs(p - model.p[:, model.languages.index(lang)]).max() < 1e-9
+    few = langid.fit(df, max_docs=3)
+    assert few.languages == ["en", "sv"]
+
+
+def test_network_scores_against_a_plain_loop():
+    """One target at a time: its window, its attention position by position, its class and member."""
+    rng = np.random.default_rng(4)
+    net = lm.Network.new(np.ones(50), rng)
+    net.p["b"] = rng.standard_normal(lm.WINDOW).astype(np.float32)
+    net = lm.Network(net.p)
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    texts = [rng.integers(0, lm.CLASSES * lm.MEMBERS, n) for n in (1, 2, 12, 13, 16, 31, 60)]
+
+    def plain(t, j):
+        before = [lm.END, *t[:-1].tolist()]
+        start = j // lm.STRIDE * lm.STRIDE - (lm.WINDOW - lm.STRIDE)
+        seen = [before[i] if i >= 0 else lm.END for i in range(start, j + 1)]
+        q = p["E"][seen[-1]] @ p["Wq"] / math.sqrt(lm.KEY_WIDTH)
+        e = [math.exp(min(60, q @ (p["E"][x] @ p["Wk"]) + p["b"][len(seen) - 1 - i])) for i, x in enumerate(seen)]
+        h = p["E"][seen[-1]] @ p["Wr"] + sum(a / sum(e) * (p["E"][x] @ p["Wv"]) for a, x in zip(e, seen, strict=True))
+        c, m = divmod(int(t[j]), lm.MEMBERS)
+        z, zm = h @ p["Uc"] + p["bc"], h @ p["Um"][c] + p["bm"][c]
+        return z[c] - math.log(np.exp(z).sum()) + zm[m] - math.log(np.exp(zm).sum()) + (-3.0 if t[j] == lm.RARE else 0)
+
+    got = net.score(np.concatenate(texts).astype(np.uint16), np.array(list(map(len, texts))), -3.0)
+    want = [plain(t, j) for t in texts for j in range(len(t))]
+    assert np.abs(got - want).max() < 1e-3

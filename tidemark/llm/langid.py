@@ -5,7 +5,8 @@ A word's probability is the sum over all its segmentations into pieces of the
 product of their probabilities (forward algorithm); a text's score is the sum
 of its words' log probabilities. Piece probabilities are fitted per language
 by expectation maximisation on the words of a bounded sample of labelled
-documents, one task per language.
+documents of each language: in every round tasks add up the expected counts of
+their words, whatever the language, and Spark sums them piece by piece.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold_col, map_batches, small_batches
+from tidemark.llm.common import fold_col, map_batches, small_batches, written
 
-FIT_DOCS = 6000          # labelled documents to fit on, the lowest by a hash of their ids
+FIT_DOCS = 1500          # labelled documents of a language to fit on, a share by a hash of id and text
 EM_ROUNDS = 4
-PIECE_CHARS = 5          # longest piece, without the mark of a word's start
-STRETCH = 40             # longer words are scored in stretches of so many characters
+STRETCH = 40             # longer words are learned in stretches of so many characters (and scored whole)
+HELD_WORDS = 30_000      # words of a language that a task gathers before it counts their pieces
+RESCALE = 24             # characters after which a long word's forward values are scaled
 CACHE_WORDS = 250_000    # scored words kept per task (about 60 MB)
 UNKNOWN = 1e-7           # probability of a character outside the vocabulary
 UNDETERMINED = "und"
@@ -33,15 +35,14 @@ _START = "▁"        # the vocabulary's mark of a word's start
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
-def vocabulary(path: str | None = None, piece_chars: int = PIECE_CHARS) -> list[str]:
-    """Lower-case letter pieces of the public vocabulary (default: ``piece_bpe_32k.model``)."""
+def vocabulary(path: str | None = None) -> list[str]:
+    """All lower-cased letter pieces of the public vocabulary (default: ``piece_bpe_32k.model``)."""
     import public_tokenizers
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
     pieces = {sp.id_to_piece(i).lower() for i in range(sp.get_piece_size())}
-    return sorted(p for p in pieces if _LETTERS.fullmatch(p.removeprefix(_START))
-                  and len(p.removeprefix(_START)) <= piece_chars)
+    return sorted(p for p in pieces if _LETTERS.fullmatch(p.removeprefix(_START)))
 
 
 def _codes(word: str) -> np.ndarray:
@@ -51,12 +52,16 @@ def _codes(word: str) -> np.ndarray:
 class Lattice:
     """Piece numbers of every substring of words of one length, found by a rolling hash."""
 
-    def __init__(self, pieces: list[str], piece_chars: int = PIECE_CHARS):
-        self.reach = piece_chars + 1                       # with the mark of the word's start
+    def __init__(self, pieces: list[str]):
+        self.reach = max(map(len, pieces), default=1)
         with np.errstate(over="ignore"):
             hashes = np.array([self._hash(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self._sorted, self._number = hashes[order], order.astype(np.int32)
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        self._by_length = []                               # hashes of the pieces of each length, and their numbers
+        for k in range(1, self.reach + 1):
+            own = np.flatnonzero(lengths == k)
+            own = own[np.argsort(hashes[own])]
+            self._by_length.append((hashes[own], own.astype(np.int32)))
         self.size = len(pieces)
 
     @staticmethod
@@ -68,8 +73,8 @@ class Lattice:
 
     def of(self, found: list[str]) -> np.ndarray:
         """``[k, word, end]``: the piece of ``k + 1`` characters ending at ``end``, or ``size``."""
-        codes = np.stack([_codes(w) for w in found])
-        n, length = codes.shape
+        n, length = len(found), len(found[0])
+        codes = _codes("".join(found)).reshape(n, length)
         out = np.full((self.reach, n, length), self.size, np.int32)
         with np.errstate(over="ignore"):
             h = np.zeros((n, length), np.uint64)
@@ -78,32 +83,58 @@ class Lattice:
                 shifted = np.zeros_like(h)
                 shifted[:, 1:] = h[:, :-1]
                 h = shifted * _BASE + codes
-                at = np.searchsorted(self._sorted, h[:, k:])
-                at[at == self.size] = 0
-                hit = self._sorted[at] == h[:, k:]
-                out[k, :, k:][hit] = self._number[at[hit]]
+                known, number = self._by_length[k]
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h[:, k:]), len(known) - 1)
+                    hit = known[at] == h[:, k:]
+                    out[k, :, k:][hit] = number[at[hit]]
         return out
 
 
+def _step(lattice: np.ndarray, p: np.ndarray, before, end: int) -> np.ndarray:
+    """Forward values after ``end``; ``before(k)``: those ``k + 1`` characters before it."""
+    none = len(p) - 1
+    number = lattice[0, :, end]
+    q = p[number]
+    q[number == none] = UNKNOWN
+    out = before(0) * q
+    for k in range(1, min(len(lattice), end + 1)):
+        rows = np.flatnonzero(lattice[k, :, end] != none)          # long pieces are rare
+        if len(rows):
+            out[rows] += before(k)[rows] * p[lattice[k, rows, end]]
+    return out
+
+
 def forward(lattice: np.ndarray, p: np.ndarray) -> np.ndarray:
     """``alpha[end, word, language]``: total probability of all segmentations up to ``end``.
 
     ``p[piece, language]``; the row after the last piece is 0, and a single
     character outside the vocabulary counts ``UNKNOWN``.
     """
-    reach, n, length = lattice.shape
-    none = len(p) - 1
+    _, n, length = lattice.shape
     alpha = np.zeros((length + 1, n, p.shape[1]))
     alpha[0] = 1.0
     for end in range(length):
-        for k in range(min(reach, end + 1)):
-            q = p[lattice[k, :, end]]
-            if k == 0:
-                q[lattice[0, :, end] == none] = UNKNOWN
-            alpha[end + 1] += alpha[end - k] * q
+        alpha[end + 1] = _step(lattice, p, lambda k, end=end: alpha[end - k], end)
     return alpha
 
 
+def log_total(lattice: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Log probability of whole words of any length, summed over all segmentations: ``[word, language]``.
+
+    Only the last values are kept; they are scaled from time to time, so that long words do not vanish.
+    """
+    reach, n, length = lattice.shape
+    last, scale = [np.ones((n, p.shape[1]))], np.zeros((n, p.shape[1]))
+    for end in range(length):
+        last = [*last[-reach:], _step(lattice, p, lambda k: last[-1 - k], end)]
+        if (end + 1) % RESCALE == 0:
+            top = np.maximum(np.max(last, axis=0), 1e-300)
+            last = [a / top for a in last]
+            scale += np.log(top)
+    return np.log(np.maximum(last[-1], 1e-300)) + scale
+
+
 def _by_length(found: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(found):
@@ -115,46 +146,62 @@ def _by_length(found: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
             yield np.array(part), [found[i] for i in part]
 
 
-def fit_language(found: list[str], counts: np.ndarray, lattice: Lattice, rounds: int = EM_ROUNDS) -> np.ndarray:
-    """Piece probabilities by expectation maximisation over all segmentations."""
-    p = np.full(lattice.size + 1, 1.0 / lattice.size)
+def expected_counts(found: list[str], counts: np.ndarray, lattice: Lattice, p: np.ndarray) -> np.ndarray:
+    """Expected number of uses of each piece over all segmentations of the words (one language)."""
+    expected = np.zeros(lattice.size + 1)
+    for rows, ws in _by_length(found):
+        lat = lattice.of(ws)
+        reach, n, length = lat.shape
+        alpha = forward(lat, p[:, None])[:, :, 0]
+        beta = np.zeros((length + 1, n))
+        beta[length] = 1.0
+        for start in range(length - 1, -1, -1):
+            for k in range(min(reach, length - start)):
+                number = lat[k, :, start + k]
+                use = slice(None) if k == 0 else np.flatnonzero(number != lattice.size)
+                q = p[number[use]]
+                if k == 0:
+                    q[number == lattice.size] = UNKNOWN
+                beta[start][use] += q * beta[start + k + 1][use]
+        scale = counts[rows] / alpha[length]
+        for end in range(length):
+            for k in range(min(reach, end + 1)):
+                number = lat[k, :, end]
+                use = np.flatnonzero(number != lattice.size)
+                if len(use):
+                    number = number[use]
+                    weight = alpha[end - k][use] * p[number] * beta[end + 1][use] * scale[use]
+                    expected += np.bincount(number, weight, lattice.size + 1)
+    return expected
+
+
+def maximised(expected: np.ndarray) -> np.ndarray:
+    """Piece probabilities from expected counts; every piece keeps a little."""
+    p = expected + 0.01
     p[-1] = 0.0
+    return p / p.sum()
+
+
+def uniform(size: int) -> np.ndarray:
+    return np.append(np.full(size, 1.0 / max(size, 1)), 0.0)
+
+
+def fit_language(found: list[str], counts: np.ndarray, lattice: Lattice, rounds: int = EM_ROUNDS) -> np.ndarray:
+    """Piece probabilities by expectation maximisation over all segmentations, in one place."""
+    p = uniform(lattice.size)
     for _ in range(rounds):
-        expected = np.full(lattice.size + 1, 0.01)
-        for rows, ws in _by_length(found):
-            lat = lattice.of(ws)
-            reach, n, length = lat.shape
-            alpha = forward(lat, p[:, None])[:, :, 0]
-            beta = np.zeros((length + 1, n))
-            beta[length] = 1.0
-            for start in range(length - 1, -1, -1):
-                for k in range(min(reach, length - start)):
-                    q = p[lat[k, :, start + k]]
-                    if k == 0:
-                        q[lat[0, :, start] == lattice.size] = UNKNOWN
-                    beta[start] += q * beta[start + k + 1]
-            scale = counts[rows] / alpha[length]
-            for end in range(length):
-                for k in range(min(reach, end + 1)):
-                    number = lat[k, :, end]
-                    weight = alpha[end - k] * p[number] * beta[end + 1] * scale
-                    expected += np.bincount(number, weight, lattice.size + 1)
-        expected[-1] = 0.0
-        p = expected / expected.sum()
+        p = maximised(expected_counts(found, counts, lattice, p))
     return p
 
 
 def split_words(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, marked at the start; long ones in stretches."""
-    found = _LETTERS.findall(text.lower()) if text else []
-    out = []
-    for w in found:
-        if len(w) < STRETCH:
-            out.append(_START + w)
-        else:
-            w = _START + w
-            out.extend(w[i:i + STRETCH] for i in range(0, len(w), STRETCH))
-    return out
+    """Lower-cased runs of letters, marked at the start."""
+    return [_START + w for w in _LETTERS.findall(text.lower())] if text else []
+
+
+def stretches_of(word: str) -> list[str]:
+    """A word in stretches of at most ``STRETCH`` characters."""
+    return [word[i:i + STRETCH] for i in range(0, len(word), STRETCH)] if len(word) > STRETCH else [word]
 
 
 class Model:
@@ -165,43 +212,75 @@ class Model:
 
 
 def fit(labelled: DataFrame, max_docs: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang", pieces: list[str] | None = None) -> Model:
-    """Fit on at most about ``max_docs`` of the labelled rows (a fixed hash
-    share of the ids). Rows without text or label are left out. What is
-    gathered is piece probabilities: vocabulary times languages."""
+        lang_col: str = "lang", pieces: list[str] | None = None, rounds: int = EM_ROUNDS) -> Model:
+    """Fit on about ``max_docs`` labelled rows of each language at most (a share by a hash of id and text, so that
+    a rare language has all its rows in). Rows without text or label are left out.
+
+    What comes to the driver is piece counts: vocabulary times languages.
+    """
     pieces = pieces or vocabulary()
     small_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    n = labelled.where(F.col(lang_col).isNotNull()).count()
-    if n > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * max_docs / n))
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
+    if not languages:
+        return Model([], np.zeros((len(pieces) + 1, 0)), pieces)
+    share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, max_docs / n))])
+    rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
     def count(batches):
         found: dict[str, Counter] = {}
         for b in batches:
             for lang, text in zip(b["lang"], b["text"], strict=True):
-                found.setdefault(lang, Counter()).update(split_words(text))
+                found.setdefault(lang, Counter()).update(w for x in split_words(text) for w in stretches_of(x))
             if sum(map(len, found.values())) > CACHE_WORDS:
-                yield _rows(found)
+                yield _flat(found)
                 found = {}
-        yield _rows(found)
+        yield _flat(found)
 
-    def _rows(found):
+    def _flat(found):
         flat = [(lang, w, c) for lang, ws in found.items() for w, c in ws.items()]
         return dict(zip(("lang", "word", "n"), map(list, zip(*flat, strict=True)), strict=True)) if flat else {
             "lang": [], "word": [], "n": []}
 
-    def em(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        p = fit_language(list(pdf["word"]), pdf["n"].to_numpy(float), Lattice(pieces))
-        return pd.DataFrame({"lang": key[0], "p": [p.tolist()]})
-
-    counted = (map_batches(rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), count,
-                           "lang string, word string, n long")
-               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    fitted = sorted((r.lang, r.p) for r in
-                    counted.groupBy("lang").applyInPandas(em, "lang string, p array<double>").collect())
-    p = np.array([f[1] for f in fitted]).T if fitted else np.zeros((len(pieces) + 1, 0))
-    return Model([f[0] for f in fitted], p, pieces)
+    counted = written(map_batches(rows.select("lang", "text"), count, "lang string, word string, n long")
+                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "lang-words")
+    of = {lang: i for i, lang in enumerate(languages)}
+    p = np.repeat(uniform(len(pieces))[:, None], len(languages), axis=1)
+    for _ in range(rounds):
+        shared = labelled.sparkSession.sparkContext.broadcast(p)
+
+        def expect(batches, shared=shared):
+            lattice, now = Lattice(pieces), shared.value
+            total: dict[str, np.ndarray] = {}
+            held: dict[str, tuple[list, list]] = {}
+
+            def settle(lang: str) -> None:
+                words, n = held.pop(lang)
+                total[lang] = total.get(lang, 0.0) + expected_counts(words, np.array(n, float), lattice, now[:, of[lang]])
+
+            for b in batches:
+                for lang, word, n in zip(b["lang"], b["word"], b["n"], strict=True):
+                    words, counts = held.setdefault(lang, ([], []))
+                    words.append(word)
+                    counts.append(n)
+                # Many words at a time: words of one length share their steps.
+                for lang in [x for x, (words, _) in held.items() if len(words) > HELD_WORDS]:
+                    settle(lang)
+            for lang in list(held):
+                settle(lang)
+            for lang, v in total.items():
+                at = np.flatnonzero(v)
+                yield {"lang": [lang] * len(at), "piece": at.tolist(), "v": v[at].tolist()}
+
+        found = (map_batches(counted, expect, "lang string, piece int, v double").groupBy("lang", "piece")
+                 .agg(F.sum("v").alias("v")).toArrow())
+        expected = np.zeros_like(p)
+        lang = np.array([of[x] for x in found.column("lang").to_pylist()], np.int64)
+        expected[found.column("piece").to_numpy(), lang] = found.column("v").to_numpy()
+        p = np.stack([maximised(e) for e in expected.T], axis=1)
+    return Model(languages, p, pieces)
 
 
 class Scorer:
@@ -217,26 +296,25 @@ class Scorer:
 
     def _learn(self, new: list[str]) -> None:
         scores = np.zeros((len(new), len(self.model.languages)), np.float32)
-        for rows, ws in _by_length(new):
-            alpha = forward(self.lattice.of(ws), self.model.p)[-1]
-            scores[rows] = np.log(np.maximum(alpha, 1e-300))
+        for rows, ws in _by_length([_START + w for w in new]):
+            scores[rows] = log_total(self.lattice.of(ws), self.model.p)
         self.index.update(zip(new, range(len(self.scores), len(self.scores) + len(new)), strict=True))
         self.scores = np.concatenate([self.scores, scores])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if len(self.index) > CACHE_WORDS:
             self._reset()
-        split = [split_words(t) for t in texts]
+        split = [_LETTERS.findall(t.lower()) if t else [] for t in texts]
         if self.model.languages:
-            new = [w for w in dict.fromkeys(w for ws in split for w in ws) if w not in self.index]
-            self._learn(new)
+            self._learn(list(set().union(*split).difference(self.index)))
         langs, scores = [], []
         for ws in split:
             if not ws or not self.model.languages:
                 langs.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
-            total = self.scores[[self.index[w] for w in ws]].sum(axis=0, dtype=np.float64)
+            at = np.fromiter(map(self.index.__getitem__, ws), np.int64, len(ws))
+            total = self.scores[at].sum(axis=0, dtype=np.float64)
             best = int(total.argmax())
             langs.append(self.model.languages[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
@@ -247,7 +325,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """``doc_id, lang_pred, score`` for each row.
 
     ``score`` is the posterior of the predicted language under equal priors.
-    Null, empty and letterless texts: ``und`` with score 0. Ties go to the
+    Null, empty and letterless texts: ``und`` with score 0. Long words and texts
+    are scored whole, in time proportional to their length. Ties go to the
     first language by code point. Repeated rows and null ids: a row each.
     Empty table: no rows. Without any labelled row all is ``und``.
     """
