@@ -160,3 +160,31 @@ def test_local_fallback_is_refused_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_resources_and_partitions_by_need(spark):
+    from tidemark.plans.training import document_resources, train_partitions
+    from tidemark.sources.adapters import text_table
+
+    assert document_resources(spark, SF, ["features_only", "encoder_only"]).word_vectors is None
+    assert document_resources(spark, SF, ["embedding_only"]).word_vectors is not None
+    assert [train_partitions(spark.range(n)) for n in (0, 10, 100_000, 120_000)] == [2, 2, 2, 3]
+    plan = text_table(spark, SF, "documents", "doc_id").where("lang = 'en'").select("doc_id", "lang")
+    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_small_sides_are_computed_once(spark):
+    """A lexicon's key sets take one job; a group's maximum is written, then counted and joined."""
+    from tidemark.operators.lookup import value_sets
+    from tidemark.operators.periods import max_scale
+
+    lexicon = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("c", -2.0), ("d", 0.0), (None, None)], "token string, value double")
+    assert value_sets(lexicon, "token", "value") == [(-2.0, ["c"]), (1.0, ["a", "b"])]
+    assert value_sets(lexicon, "token", "value", max_keys=2) is None
+    assert value_sets(lexicon, "token", "value", max_values=1) is None
+    df = spark.createDataFrame([("x", 1.0), ("x", 4.0), ("y", 0.0), (None, 3.0)], "g string, v double")
+    plan = _optimized(max_scale(df, "v", by="g", out_col="s"))
+    assert "Aggregate" not in plan
+    assert sorted((r.g or "", r.s) for r in max_scale(df, "v", by="g", out_col="s").collect() if r.s is not None) == [
+        ("", 1.0), ("x", 0.25), ("x", 1.0)]
