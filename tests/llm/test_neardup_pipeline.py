@@ -234,3 +234,25 @@ def test_pipeline_by_brute_force(spark, tmp_path):
     assert len({p.doc_id for p in pieces}) == len(got)
     assert sum(p.start == 0 for p in pieces) == len(per_copy)
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_on_an_empty_table_and_extra_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, tid string, row string, made string, " \
+             "key string, class_id string, bucket int, size string, hash string, root string"
+    rows = [(i if i else None, t, "en", s, 0, *"abcde", 7, *"fgh") for i, (t, s) in enumerate(
+        [("Write to anna.smith@example.com about the plan of the week " * 3, "x"), (None, "x"), ("", None),
+         ("The cat and the dog sat on the mat in the house of the man", None)] * 2)]
+    for name, data in (("empty", []), ("clash", rows)):
+        sf = str(tmp_path / name)
+        spark.createDataFrame(data, schema).write.parquet(f"{sf}/documents.parquet")
+        docs = spark.read.parquet(f"{sf}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf)
+            assert out.columns == docs.columns
+            if data and stage is corpus_pipeline.STAGES[2][1]:
+                kept = {r.doc_id: r for r in docs.collect()}
+                for r in out.collect():
+                    assert "anna.smith" not in r.text and r[5:] == kept[r.doc_id][5:] and r.made == "c"
+            docs = corpus_pipeline.written(out, "test-stage")
+        pieces = corpus_pipeline.run(spark, sf).collect()
+        assert (len(pieces) == 0) == (not data)

@@ -298,7 +298,10 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
     small_batches(spark)
     moved = later_attempts(docs, key, text_col, make)
     few = moved.limit(max_broadcast + 1).collect()
-    text = F.col(f"`{text_col}`")
+    # The input goes along as one column, so that no name in it can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{text_col}`").alias("text"))
+    text = F.col("text")
 
     if len(few) <= max_broadcast:
         shared = spark.sparkContext.broadcast({(r.kind, r.value): r.attempt for r in few})
@@ -309,7 +312,7 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
             return pd.DataFrame([replace(t, lambda e: later.get(e, 0), key, make) for t in texts],
                                 columns=["text", "n_entities"])
 
-        out, made = docs, changed(text)
+        out, made = rows, changed(text)
     else:
         def mentions(batches):
             for b in batches:
@@ -317,10 +320,10 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
                         for _, _, k, v in detect(t)}
                 yield {"hash": [r[0] for r in rows], "kind": [r[1] for r in rows], "value": [r[2] for r in rows]}
 
-        own = (map_batches(docs.select(F.xxhash64(text).alias("hash"), text.alias("text")), mentions,
+        own = (map_batches(rows.select(F.xxhash64(text).alias("hash"), "text"), mentions,
                            "hash long, kind string, value string").distinct()
-               .join(moved, ["kind", "value"]).groupBy(F.col("hash").alias("__hash"))
-               .agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__later")))
+               .join(moved, ["kind", "value"]).groupBy("hash")
+               .agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("later")))
 
         @F.pandas_udf("text string, n_entities int")
         def changed_by(texts: pd.Series, later: pd.Series) -> pd.DataFrame:
@@ -330,9 +333,9 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text",
                 rows.append(replace(t, lambda e, known=known: known.get(e, 0), key, make))
             return pd.DataFrame(rows, columns=["text", "n_entities"])
 
-        out = docs.join(own, F.xxhash64(text) == F.col("__hash"), "left")
-        made = changed_by(text, F.col("__later"))
-    out = out.withColumn("__made", made)
-    return out.select(*[(F.when(text.isNull(), F.lit(None)).otherwise(F.col("__made.text")) if c == text_col
-                         else F.col(f"`{c}`")).alias(c) for c in docs.columns if c != "n_entities"],
-                      F.col("__made.n_entities").alias("n_entities"))
+        out = rows.join(own, F.xxhash64(text) == F.col("hash"), "left")
+        made = changed_by(text, F.col("later"))
+    out = out.select("row", "text", made.alias("made"))
+    return out.select(*[(F.when(text.isNull(), F.lit(None)).otherwise(F.col("made.text")) if c == text_col
+                         else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != "n_entities"],
+                      F.col("made.n_entities").alias("n_entities"))
