@@ -282,3 +282,48 @@ def test_scan(spark):
     assert sorted((str(r.doc_id), r.licence, r.start, r.end) for r in out) == [
         ("1", "MIT", 2, 33), ("1", "MIT", 2, 33), ("None", "CC-BY-4.0", 0, 25)]
     assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_nested_units_by_brute_force():
+    rng = random.Random(6)
+    for _ in range(300):
+        found = set()
+        for _ in range(rng.randrange(25)):
+            a = rng.randrange(20)
+            found.add((a, a + rng.randrange(1, 12), rng.choice("xyz")))
+        want = {f for f in found if not any(g != f and g[2] == f[2] and f[0] <= g[0] and g[1] <= f[1] for g in found)}
+        assert set(licenses.tightest(found)) == want and len(licenses.tightest(found)) == len(want)
+
+
+def test_rules_by_brute_force():
+    """Every stretch of a sequence of sentences tried against every rule: the longest rule that fits goes first."""
+    rng = random.Random(8)
+    ids = sorted({i for _, _, wanted in licenses.rules() for i in wanted})
+    texts = [w for _, _, w in licenses.rules() if len(w) > 1]
+    for _ in range(200):
+        seq = []
+        while len(seq) < 12:
+            w = list(rng.choice(texts)) if rng.random() < 0.5 else [rng.choice(ids)]
+            seq += w[:rng.randrange(1, len(w) + 1)] if rng.random() < 0.3 else w
+        found = [(10 * i, 10 * i + 9, x) for i, x in enumerate(seq)]
+        want, i = [], 0
+        while i < len(seq):
+            fits = [(len(w), n, lic) for n, lic, w in licenses.rules() if tuple(seq[i:i + len(w)]) == w]
+            if not fits:
+                i += 1
+                continue
+            size = max(f[0] for f in fits)
+            _, name, lic = min((f for f in fits if f[0] == size), key=lambda f: f[1])
+            want.append((name, lic, found[i][0], found[i + size - 1][1], size))
+            i += size
+        assert licenses.match(found) == want
+
+
+def test_many_notices_take_time_in_proportion():
+    import time
+    line = "This program is licensed under the MIT license.\n"
+    t0 = time.time()
+    few = len(licenses.recognise(line * 500))
+    t1 = time.time()
+    many = len(licenses.recognise(line * 4000))
+    assert (few, many) == (500, 4000) and time.time() - t1 < 30 * max(t1 - t0, 0.01)

@@ -173,6 +173,17 @@ def _split(text: str, at: int, ends: re.Pattern = _SENTENCE):
     yield at + start, at + len(text), text[start:]
 
 
+def tightest(found: set[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The units that hold no other unit of the same identifier: one sweep from the last start to the first."""
+    least: dict[str, int] = {}           # of an identifier, the first end among the units that start later
+    out = []
+    for start, end, name in sorted(found, key=lambda f: (-f[0], f[1])):
+        if least.get(name, end + 1) > end:
+            out.append((start, end, name))
+            least[name] = end
+    return out
+
+
 def recognise(text: str | None) -> list[tuple[int, int, str]]:
     """Known sentences: ``(start, end, identifier)`` in text order, without overlaps (the tightest unit of one
     sentence, the longest of different ones that start together)."""
@@ -180,7 +191,7 @@ def recognise(text: str | None) -> list[tuple[int, int, str]]:
         return []
     known = sentences()
     found = {(s, e, known[n]) for s, e, u in _units(text) if _TRIGGER.search(u) and (n := normal(u)) in known}
-    found = {f for f in found if not any(g != f and g[2] == f[2] and f[0] <= g[0] and g[1] <= f[1] for g in found)}
+    found = tightest(found)
     out: list[tuple[int, int, str]] = []
     for f in sorted(found, key=lambda f: (f[0], -f[1])):
         if not out or f[0] >= out[-1][1]:
