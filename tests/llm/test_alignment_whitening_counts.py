@@ -233,6 +233,18 @@ def test_contour_integration(spectrum):
         assert np.abs(vectors.T @ vectors - np.eye(len(want))).max() < 1e-13
 
 
+def test_contour_integration_among_close_eigenvalues():
+    # A mixture of vectors above and below an interval has a value inside it while they have not settled.
+    rng = np.random.default_rng(27)
+    x = np.floor(1024 * rng.standard_normal((rng.integers(500, 60_000), 128)))
+    m = np.cov(x.T, bias=True)
+    values, vectors = whitening.largest_pairs(m, 8)
+    want = np.linalg.eigvalsh(m)[::-1][:8]
+    assert np.abs(values - want).max() < 1e-12 * np.trace(m)
+    assert np.abs(m @ vectors - vectors * values).max() < 1e-12 * np.trace(m)
+    assert np.abs(vectors.T @ vectors - np.eye(8)).max() < 1e-13
+
+
 def test_inertia_counts():
     rng = np.random.default_rng(2)
     for n in (1, 2, 3, 10, 30):
