@@ -64,3 +64,32 @@ def test_period_mean_vector(spark):
                                "label int, vec array<double>")
     out = {r.label: (r.n_posts, r.vec) for r in period_mean_vector(df, ["label"], "vec").collect()}
     assert out == {1: (2, [2.0, 3.0]), 2: (1, [5.0, 5.0])}
+
+
+def test_word_vectors_broadcast_in_part_equal_a_plain_loop(spark):
+    """However few of the vectors are broadcast, posts and periods get the same sums, and tasks add up a post's vectors
+    before any is sent."""
+    from tidemark.operators.embedding import period_word_vector_sum, post_vectors
+
+    posts = [("a", 1, ["x", "y", "x", None]), ("a", 2, ["z", "u"]), ("a", 3, []), ("b", 4, ["u"]), (None, 5, ["x"] * 5),
+             ("b", 6, ["y", "w", "x"]), ("b", 6, ["z"]), ("b", None, ["x", "z"]), ("c", 7, None)]
+    df = spark.createDataFrame(posts, "k string, post_id long, tokens array<string>")
+    table = {"x": [1.0, 2.0], "y": [0.0, 4.0], "z": [-1.0, 0.5], "w": [3.0, 3.0]}
+    vec = spark.createDataFrame([*table.items(), (None, [9.0, 9.0])], "word string, vec array<float>")
+    want_posts, want_periods = {}, {}
+    for k, post, tokens in posts:
+        for t in tokens or []:
+            if t in table:
+                want_posts.setdefault((k, post), []).append(table[t])
+    for key, vs in want_posts.items():
+        want_posts[key] = [sum(c) / len(vs) for c in zip(*vs, strict=True)]
+        want_periods.setdefault(key[0], []).append(want_posts[key])
+    want_periods = {k: [sum(c) for c in zip(*vs, strict=True)] for k, vs in want_periods.items()}
+    for limit in (0, 150, 1 << 20):
+        by_post = post_vectors(df, vec, ["k", "post_id"], limit=limit)
+        by_period = period_word_vector_sum(df, vec, ["k"], limit=limit)
+        assert "ObjectHashAggregate" not in by_post._jdf.queryExecution().executedPlan().toString()
+        got = {(r.k, r.post_id): [round(x, 9) for x in r.vec] for r in by_post.collect()}
+        assert got == {key: [round(x, 9) for x in v] for key, v in want_posts.items()}, limit
+        got = {r.k: [round(x, 9) for x in r.vec_sum] for r in by_period.collect()}
+        assert got == {k: [round(x, 9) for x in v] for k, v in want_periods.items()}, limit
