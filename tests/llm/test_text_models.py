@@ -318,3 +318,38 @@ def test_network_scores_against_a_plain_loop():
     got = net.score(np.concatenate(texts).astype(np.uint16), np.array(list(map(len, texts))), -3.0)
     want = [plain(t, j) for t in texts for j in range(len(t))]
     assert np.abs(got - want).max() < 1e-3
+
+
+def test_network_learns_from_every_document(spark):
+    """A round's network is the mean of the tasks' networks, by windows; every document outside the start's sample
+    comes in one round, and the ids of the whole corpus are counted."""
+    rng = random.Random(5)
+    rows = [Row(doc_id=i, text=" ".join(rng.choice("red green blue one two".split()) for _ in range(rng.randint(0, 60))))
+            for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id").cache()
+    counts = lm.word_counts(docs)
+    ids = {r.id: r.n for r in lm.id_counts(counts, None).collect()}
+    encode = lm.load_encoding(None).encode_ordinary
+    assert ids == {i: sum(encode(" " + w.decode()).count(i) for r in rows for w in words(r.text)) for i in ids}
+    vocabulary = lm.Vocabulary(sorted(ids), lm.load_encoding(None).n_vocab)
+    start = lm.Network.new(np.ones(10), np.random.default_rng(3))
+    got = lm.train_round(docs, start, vocabulary, 1e-3)
+    mean, total = {k: 0.0 for k in start.p}, 0
+    for part in docs.select("text").rdd.glom().collect():
+        if part:
+            net = lm.Network({k: v.copy() for k, v in start.p.items()})
+            texts = [np.frombuffer(b"".join(map(vocabulary.numbers, words(r.text))), np.uint16) for r in part]
+            n = lm.train_on(net, texts, lm.Adam(net), np.random.default_rng(1), 1e-3)
+            assert n == sum(-(-(len(t) + 1) // lm.STRIDE) for t in texts)
+            mean, total = {k: mean[k] + n * (net.p[k] - start.p[k]) for k in mean}, total + n
+    for k, v in mean.items():
+        assert np.abs(got.p[k] - start.p[k] - v / total).max() < 2e-6, k
+        assert k == "b" or np.abs(v).max() > 0, k
+
+    used = []
+    plain, lm.train_round = lm.train_round, lambda d, net, *_: used.extend(r.doc_id for r in d.collect()) or net
+    try:
+        lm.fit(docs, counts, max_docs=8, steps=2)
+    finally:
+        lm.train_round = plain
+    assert len(used) == len(set(used)) and 20 <= len(used) < 40

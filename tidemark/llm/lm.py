@@ -1,10 +1,15 @@
 """Scoring texts with a causal self-attention language model.
 
 The model reads subword ids of a public vocabulary (lower-cased words, each
-with the space before it) and is trained in numpy on a bounded sample: one
-attention layer with relative positions over a short window and a two-level
-softmax (class, then member). A text is scored in overlapping windows, each
-id once, with a batch of windows in one masked attention.
+with the space before it): one attention layer with relative positions over a
+short window and a two-level softmax (class, then member). It starts from steps
+over a small sample on the driver and then learns from every other training
+document once: in each of ``ROUNDS`` rounds the tasks take steps over their own
+documents of that round, all from the same parameters, and the mean of what they
+reach, weighted by windows, starts the next round (local steps with averaging:
+Lin et al. 2018, "Don't use large mini-batches, use local SGD"). A text is scored
+in overlapping windows, each id once, with a batch of windows in one masked
+attention.
 
 A word's probability is the product of its ids' probabilities, mixed with its
 share of all words of the training corpus; the mixture's weight is fitted on
@@ -27,8 +32,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fold, fold_col, map_batches, small_batches, words, written
 from tidemark.llm.tokens import load_encoding
 
-FIT_DOCS = 800           # training documents the network is fitted on, the lowest by a hash of their ids
-STEPS, WINDOWS = 1200, 192   # optimiser steps, windows in each
+FIT_DOCS = 800           # training documents the network starts from, the lowest by a hash; all others follow in rounds
+STEPS, WINDOWS = 1200, 192   # the start's optimiser steps; windows in a step
+ROUNDS = 4               # rounds over all other training documents, each of which comes in one of them
+ROUND_RATE = 1e-3        # rate of the first round's steps
+HELD_IDS = 200_000       # ids of documents a task holds to draw its steps from
 TOP_WORDS = 150_000      # most frequent words sent to all tasks (about 4 MB)
 CACHE_WORDS = 250_000    # words whose ids a task keeps
 FLUSH_WORDS = 300_000    # distinct words a task counts before passing them on
@@ -214,19 +222,104 @@ def train(texts: list[np.ndarray], steps: int = STEPS, batch: int = WINDOWS, rat
     used = np.zeros(read.shape, bool)
     used[:, WINDOW - STRIDE:] = exists
     net = Network.new(np.bincount(numbers, minlength=CLASSES * MEMBERS), rng)
-    first = {k: np.zeros_like(v) for k, v in net.p.items()}
-    second = {k: np.zeros_like(v) for k, v in net.p.items()}
+    adam = Adam(net)
     for t in range(1, steps + 1):
         rows = rng.integers(0, len(read), batch)
-        _, g = net.gradients(before[read[rows]], numbers[read[rows]], used[rows])
-        lr = rate * min(1.0, t / 50) * (1 - 0.95 * t / steps)
+        adam.step(before[read[rows]], numbers[read[rows]], used[rows], rate * (1 - 0.95 * t / steps))
+    return Network(net.p)
+
+
+class Adam:
+    """Optimiser of a network's parameters, in place."""
+
+    def __init__(self, net: Network):
+        self.net, self.t = net, 0
+        self.first = {k: np.zeros_like(v) for k, v in net.p.items()}
+        self.second = {k: np.zeros_like(v) for k, v in net.p.items()}
+
+    def step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray, rate: float) -> None:
+        net, first, second = self.net, self.first, self.second
+        self.t += 1
+        _, g = net.gradients(x, y, used)
+        lr = rate * min(1.0, self.t / 50)
         for k, v in g.items():
             first[k] += 0.1 * (v - first[k])
             second[k] += 0.01 * (v * v - second[k])
-            net.p[k] = (net.p[k] - lr * (first[k] / (1 - 0.9 ** t))
-                        / (np.sqrt(second[k] / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
+            net.p[k] = (net.p[k] - lr * (first[k] / (1 - 0.9 ** self.t))
+                        / (np.sqrt(second[k] / (1 - 0.99 ** self.t)) + 1e-8)).astype(np.float32)
         net.bias = net.p["b"][np.maximum(_DISTANCE, 0)] + _CAUSAL
-    return Network(net.p)
+
+
+def train_on(net: Network, texts: list[np.ndarray], adam: Adam, rng: np.random.Generator, rate: float,
+             batch: int = WINDOWS) -> int:
+    """Steps over every window of the texts (numbers, without the end) once, in random order; the windows' number."""
+    texts = [np.append(t, END).astype(np.uint16) for t in texts]
+    numbers, lengths = np.concatenate(texts), np.array([len(t) for t in texts])
+    before = inputs(numbers, lengths)
+    read, _, exists = windows(lengths)
+    used = np.zeros(read.shape, bool)
+    used[:, WINDOW - STRIDE:] = exists
+    order = rng.permutation(len(read))
+    for i in range(0, len(order), batch):
+        rows = order[i:i + batch]
+        adam.step(before[read[rows]], numbers[read[rows]], used[rows], rate * len(rows) / batch)
+    return len(order)
+
+
+FIXED = 1 << 20          # parameters are averaged in whole multiples of 1 / FIXED, so in any order alike
+
+
+def train_round(docs: DataFrame, net: Network, vocabulary: Vocabulary, rate: float) -> Network:
+    """The mean, weighted by windows, of the networks the tasks reach from ``net`` by steps over their ``docs``.
+
+    A task sends one row for each parameter; Spark adds them up cell by cell.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.ids, vocabulary.size, vocabulary.path, net.p))
+    names = sorted(net.p)
+
+    def run(batches):
+        ids, size, path, p = shared.value
+        numbers = _Numbers(Vocabulary(ids, size, path))
+        mine = Network({k: v.copy() for k, v in p.items()})
+        adam, rng, held, n_ids, n = Adam(mine), np.random.default_rng(1), [], 0, 0
+        for b in batches:
+            for text in b["text"]:
+                held.append(np.frombuffer(b"".join(numbers[w] for w in words(text)), np.uint16))
+                n_ids += len(held[-1]) + 1
+                if n_ids >= HELD_IDS:
+                    n += train_on(mine, held, adam, rng, rate)
+                    held, n_ids = [], 0
+        if held:
+            n += train_on(mine, held, adam, rng, rate)
+        if n:
+            change = np.concatenate([(mine.p[k] - p[k]).ravel() for k in names]).astype(float)
+            yield {"cell": np.arange(-1, len(change)), "v": np.append(n, np.rint(change * FIXED).astype(np.int64) * n)}
+
+    cells = (map_batches(docs.select("text"), run, "cell long, v long").groupBy("cell")
+             .agg(F.sum(F.col("v").cast("decimal(38,0)")).cast("double").alias("v")).toArrow())
+    if not cells.num_rows:
+        return net
+    cell, v = cells.column("cell").to_numpy(), cells.column("v").to_numpy()
+    total = v[np.argsort(cell)]
+    change, at, out = total[1:] / total[0] / FIXED, 0, {}
+    for k in names:
+        out[k] = (net.p[k] + change[at:at + net.p[k].size].reshape(net.p[k].shape)).astype(np.float32)
+        at += net.p[k].size
+    return Network(out)
+
+
+def id_counts(counts: DataFrame, tokenizer: str | None) -> DataFrame:
+    """``id, n``: how often each id occurs in all training texts, from the counts of their words."""
+    def run(batches):
+        encode = load_encoding(tokenizer).encode_ordinary
+        seen: Counter = Counter()
+        for b in batches:
+            for word, n in zip(b["word"], b["n"], strict=True):
+                for i in encode(" " + word.decode("utf-8", "surrogatepass")):
+                    seen[i] += n
+        yield {"id": list(seen), "n": list(seen.values())}
+
+    return map_batches(counts, run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -283,30 +376,32 @@ def word_logp(net: Network, vocabulary: Vocabulary, numbers: _Numbers,
 
 
 def fit(docs: DataFrame, counts: DataFrame, max_docs: int = FIT_DOCS, top_words: int = TOP_WORDS,
-        tokenizer: str | None = None, steps: int = STEPS) -> Model:
+        tokenizer: str | None = None, steps: int = STEPS, rounds: int = ROUNDS) -> Model:
     """Fit on ``docs`` (``doc_id, text``), whose words have the given ``counts``.
 
-    The network learns from about ``max_docs`` documents at most, of which
-    each eighth serves for the mixture's weight alone.
+    The network starts from about ``max_docs`` documents at most, of which
+    each eighth serves for the mixture's weight alone, and goes on over all
+    other documents in rounds.
     """
     n_docs = docs.count()
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()[0]
     top = counts.orderBy(F.col("n").desc(), "word").limit(top_words).toArrow()
     top = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True))
-    share = min(1.0, max_docs / max(n_docs, 1))
-    sample = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * share))
-              .select("doc_id", "text").limit(2 * max_docs).collect())
+    share = int((1 << 20) * min(1.0, max_docs / max(n_docs, 1)))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
+    sample = docs.where(place < share).select("doc_id", "text").limit(2 * max_docs).collect()
     split = [words(r.text) for r in sorted(sample, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text or ""))]
     learn, tune = [s for i, s in enumerate(split) if i % 8], split[::8]
 
     encoding = load_encoding(tokenizer)
-    ids: Counter = Counter()
-    for ws in learn:
-        ids.update(encoding.encode_ordinary((b" " + b" ".join(ws)).decode("utf-8", "surrogatepass")))
-    kept = [i for i, _ in sorted(ids.items(), key=lambda x: (-x[1], x[0]))[:CLASSES * MEMBERS - 2]]
+    kept = [r.id for r in id_counts(counts, tokenizer).orderBy(F.desc("n"), "id").limit(CLASSES * MEMBERS - 2).collect()]
     vocabulary = Vocabulary(kept, encoding.n_vocab, tokenizer)
     numbers = _Numbers(vocabulary)
     net = train([np.frombuffer(b"".join(numbers[w] for w in ws), np.uint16) for ws in learn], steps)
+    if n_docs > len(sample):
+        turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(rounds))
+        for r in range(rounds):
+            net = train_round(docs.where((place >= share) & (turn == r)), net, vocabulary, ROUND_RATE * (1 - 0.9 * r / rounds))
 
     own: Counter = Counter(w for ws in tune for w in ws)
     spark = docs.sparkSession
