@@ -75,7 +75,7 @@ def test_word_vectors_broadcast_in_part_equal_a_plain_loop(spark):
              ("b", 6, ["y", "w", "x"]), ("b", 6, ["z"]), ("b", None, ["x", "z"]), ("c", 7, None)]
     df = spark.createDataFrame(posts, "k string, post_id long, tokens array<string>")
     table = {"x": [1.0, 2.0], "y": [0.0, 4.0], "z": [-1.0, 0.5], "w": [3.0, 3.0]}
-    vec = spark.createDataFrame([*table.items(), (None, [9.0, 9.0])], "word string, vec array<float>")
+    vec = spark.createDataFrame([*table.items(), (None, [9.0, 9.0]), ("u", None)], "word string, vec array<float>")
     want_posts, want_periods = {}, {}
     for k, post, tokens in posts:
         for t in tokens or []:
