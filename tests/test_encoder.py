@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.operators.embedding import encode_text
-from tidemark.operators.encoder import Encoder, contextual_encoder, random_weights, weight_shapes
+from tidemark.operators.encoder import (
+    Encoder,
+    contextual_encoder,
+    first_ids,
+    parts_at_spaces,
+    random_weights,
+    weight_shapes,
+)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -67,3 +74,30 @@ def test_encoder_on_texts(spark, weights):
         assert all(np.abs(np.array(got[i]) - want[i]).max() < 1e-4 for i in range(len(texts)))
     assert got[0] == got[1] and np.abs(np.array(got[3]) - got[4]).max() < 1e-4      # both cut at 128 subwords
     assert encode_text(df.where(F.lit(False)), "text", 16, make_encoder=make).count() == 0
+
+
+class _Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+        self.pre_tokenizer = tokenizer.pre_tokenizer
+
+    def encode_batch(self, texts, **how):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch(texts, **how)
+
+
+def test_texts_are_read_as_far_as_their_ids_reach():
+    words = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    spaced = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))    # its pieces begin with a space
+    assert parts_at_spaces(words) and not parts_at_spaces(spaced)
+    texts = ["", " ", "the goal " * 5000, "x" * 9000, "   \n" * 3000 + "It's Über-odd, no? " * 900, "é ö\n" * 4000,
+             "日本語の文章です。" * 500, "ΣΑΣ don't <|endoftext|> 12345 " * 300, "a" * 1023 + " b c"]
+    for tokenizer in (words, spaced):
+        for chars in (7, 100, 1024):
+            got = first_ids(tokenizer, texts, 20, chars)
+            assert got == [e.ids[:20] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    counted = _Counted(words)
+    first_ids(counted, ["the goal " * 5000], 126)
+    assert counted.chars <= 1024
