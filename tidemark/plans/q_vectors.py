@@ -95,7 +95,9 @@ def q_encode_text_contextual(spark, sf_dir):
     import public_tokenizers
 
     keys, dim = list(PERIOD_KEYS), 32
-    weights = random_weights(os.path.join(tempfile.mkdtemp(prefix="tidemark-weights-"), "encoder.npz"), 49_408, dim)
+    folder = tempfile.mkdtemp(prefix="tidemark-weights-")
+    # Spark's file distribution goes by names: each call has its own.
+    weights = random_weights(os.path.join(folder, f"{os.path.basename(folder)}.npz"), 49_408, dim)
     encoder = contextual_encoder(spark, weights, public_tokenizers.path("word_bpe_49k.json"), 49_406, 49_407)
     posts = document_posts(spark, sf_dir, labelled=False)
     enc = encode_text(posts, "text", dim, make_encoder=encoder, batch_size=512)
