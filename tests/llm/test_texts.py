@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -327,3 +328,26 @@ def test_many_notices_take_time_in_proportion():
     t1 = time.time()
     many = len(licenses.recognise(line * 4000))
     assert (few, many) == (500, 4000) and time.time() - t1 < 30 * max(t1 - t0, 0.01)
+
+
+def test_pii_texts_without_entities_are_told_apart_fast():
+    texts = ["plain words only", "Mr. Brown", "aMr Brown", "Mrx Brown", "Мария Господин Иванов", "Jürgen", "jürgen",
+             "x::y", "a:b:c:d:e:f:a:b", "a:bcde:", "TOKEN: abcdefgh", "toKen: abcdefgh", "ſecret = \"abcdefgh\"",
+             "APİ_KEY = \"abcdefgh\"", "ſk-" + "x" * 20, "AKİA" + "B" * 16, "akıa" + "B" * 16,
+             "GHP_" + "z" * 36, *["x" * i + " " + "abcdefAB" * 4 for i in range(4)], "a" * 31, "me@here.example", "5", "٣"]
+    signs = [k for k, p in pii.PATTERNS for _ in p.finditer(" ".join(texts))]
+    assert {"secret", "ip", "email"} <= set(signs)
+    for t in texts:
+        holds = any(p.search(t) for _, p in pii.PATTERNS) or pii._NAMED.search(t)
+        assert pii._MAYBE.search(t) or not holds, t
+    assert not pii._MAYBE.search("plain words only") and not pii._MAYBE.search("aMr Brown")
+    # One pass over a text is a scan: no position costs a try of every name.
+    long = "the words of a long text without anybody in it and so on " * 2_000
+    every = re.compile(rf"(?<!\w)(?:{pii._TITLED}|{pii._GIVEN})(?!\w)")
+    times = []
+    for scan in (pii.detect, every.search):
+        start = time.process_time()
+        for _ in range(5):
+            assert not scan(long)
+        times.append(time.process_time() - start)
+    assert times[0] < times[1] / 2
