@@ -75,3 +75,17 @@ def test_materialize_keeps_what_has_an_address(spark, tmp_path):
     finally:
         spark.conf.unset("tidemark.checkpoints")
     assert materialize(plan(), "x").inputFiles() != a.inputFiles()
+
+
+def test_materialize_with_python_needs_addresses_of_its_parts(spark, tmp_path):
+    root = str(tmp_path / "kept")
+    plan = _input(spark, str(tmp_path / "in"))
+    made = spark.createDataFrame([(1,)], "a int")
+    spark.conf.set("tidemark.checkpoints", root)
+    try:
+        for params, parts, folders in ((None, [], 0), (["v1"], [plan(), made], 0), (["v1"], [plan()], 1), (["v2"], [plan()], 2)):
+            coded = plan().mapInArrow(lambda it: it, plan().schema)
+            assert materialize(coded, "x", params=params, parts=parts).count() == plan().count()
+            assert (len(_folders(root)) if os.path.isdir(root) else 0) == folders
+    finally:
+        spark.conf.unset("tidemark.checkpoints")

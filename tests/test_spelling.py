@@ -4,7 +4,7 @@ import sys
 import os
 
 from tidemark.operators.lemma import lemmatize_tokens
-from tidemark.operators.spelling import correct_tokens, delete_keys, osa
+from tidemark.operators.spelling import candidate_pairs, correct_tokens, delete_keys, osa, with_delete_hashes
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -55,6 +55,30 @@ def test_delete_keys_count(spark):
     assert keys[1] == {"ab", "a", "b", ""}
 
 
+def test_delete_hashes_are_shared_as_the_keys_are(spark):
+    words = ["", "a", "b", "ab", "ba", "aab", "aaaa", "abcdefghij", "abcdefgihj", "été", "ete", "наука", "😀ab", "ab😀",
+             "x" * 20 + "yz", "x" * 20, "abcdefghijklmnopqrstuvwxyz"]
+    df = spark.createDataFrame([(w, i) for i, w in enumerate(words)] + [(None, -1)], "w string, i int")
+    for k, prefix in itertools.product((1, 2), (7, 20)):
+        keys = {r.i: set(r.k) for r in df.where("w is not null").select(
+            "i", delete_keys("w", k, prefix).alias("k")).collect()}
+        hashes = {}
+        for r in with_delete_hashes(df, k, prefix).collect():
+            assert r.w == words[r.i] and r.key not in hashes.setdefault(r.i, set())
+            hashes[r.i].add(r.key)
+        assert {i: len(h) for i, h in hashes.items()} == {i: len(x) for i, x in keys.items()}
+        for i, j in itertools.combinations(keys, 2):
+            assert len(keys[i] & keys[j]) == len(hashes[i] & hashes[j])
+
+
+def test_candidates_are_looked_for_without_strings_of_keys(spark):
+    toks = spark.createDataFrame([("gaol",), ("kikc",), (None,)], "token string")
+    terms = spark.createDataFrame([("goal", 3), ("kick", 2), (None, 1)], "term string, cnt long")
+    pairs = candidate_pairs(toks, terms)
+    assert {(r.token, r.term, r.dist) for r in pairs.collect()} == {("gaol", "goal", 1), ("kikc", "kick", 1)}
+    assert "transform(" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lemma_rules(spark):
     vocab = spark.createDataFrame([(w,) for w in ["box", "glass", "city", "man", "wolf", "dish"]],
                                   "term string")

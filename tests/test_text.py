@@ -85,3 +85,11 @@ def test_full_clean_keeps_duplicate_texts_apart(spark):
     out = sorted((r.post_id, r.match_id, r.clean)
                  for r in clean_text(posts, dictionary=dictionary).collect())
     assert out == [(0, "m", "goal goal"), (1, "m", "goal goal"), (2, "n", "")]
+
+
+def test_posts_are_cleaned_once_for_vocabulary_and_mapping(spark):
+    posts = spark.createDataFrame([(1, "Goal kikc", "x"), (2, None, "y"), (3, "", None)], "post_id long, text string, lang string")
+    terms = spark.createDataFrame([("goal", 3), ("kick", 2)], "term string, cnt long")
+    out = clean_text(posts, dictionary=terms, lemma_vocab=terms.select("term"))
+    assert {(r.post_id, r.lang, r.clean) for r in out.collect()} == {(1, "x", "goal kick"), (2, "y", ""), (3, None, "")}
+    assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
