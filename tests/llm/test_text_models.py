@@ -218,6 +218,41 @@ def test_gradients_match_differences():
         assert abs((up - down) / (2 * eps) - g[k][at]) < 1e-3 * max(1, abs(g[k][at])), k
 
 
+def test_parameters_are_stepped_as_one_array():
+    rng = np.random.default_rng(5)
+    net = lm.Network.new(rng.integers(1, 50, 200), rng)
+    old = {k: v.copy() for k, v in net.p.items()}
+    adam = lm.Adam(net)
+    x, y = rng.integers(0, 200, (2, 6, lm.WINDOW)).astype(np.uint16)
+    used = np.zeros(x.shape, bool)
+    used[:, lm.WINDOW - lm.STRIDE:] = True
+    _, g = net.gradients(x, y, used)
+    adam.step(x, y, used, 0.05)
+    assert adam.all.size == sum(v.size for v in old.values())
+    for k, v in net.p.items():                   # Adam's first step: the rate (0.05 / 50) times the gradient's sign
+        assert np.shares_memory(v, adam.all) and v.dtype == np.float32
+        assert np.allclose(v, old[k] - 1e-3 * g[k] / (np.abs(g[k]) + 1e-8), atol=2e-6), k
+
+
+def test_gradients_by_number_equal_those_by_place():
+    rng = np.random.default_rng(6)
+    x, d = rng.integers(0, 9, 50), rng.standard_normal((50, 3))
+    assert np.allclose(lm.sums_by(x, d, 12), [d[x == i].sum(0) for i in range(12)])
+    net = lm.Network.new(rng.integers(1, 50, 200), rng)
+    net.p["bc"][3] = 300                         # logits far beyond what exp can take
+    _, g = net.gradients(*rng.integers(0, 200, (2, 4, lm.WINDOW)), rng.random((4, lm.WINDOW)) < 0.5)
+    assert all(np.isfinite(v).all() for v in g.values())
+
+
+def test_a_worker_keeps_the_numbers_of_words():
+    ids = tuple(range(300, 900))
+    size = lm.load_encoding(None).n_vocab
+    kept = lm.known_numbers(ids, size, None)
+    assert kept[b"the"] == lm.Vocabulary(list(ids), size).numbers(b"the")
+    assert lm.known_numbers(ids, size, None) is kept and b"the" in kept
+    assert lm.known_numbers(ids[1:], size, None) is not kept
+
+
 def test_training_learns_a_repeated_pattern():
     texts = [np.array([2, 3, 4, 5] * 30, np.uint16) for _ in range(4)]
     flat, lengths = np.concatenate([np.append(t, 0) for t in texts]).astype(np.uint16), np.full(4, 121)

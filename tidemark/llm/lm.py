@@ -23,7 +23,8 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from functools import lru_cache
+from itertools import pairwise, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,7 +39,7 @@ ROUNDS = 4               # rounds over all other training documents, each of whi
 ROUND_RATE = 1e-3        # rate of the first round's steps
 HELD_IDS = 200_000       # ids of documents a task holds to draw its steps from
 TOP_WORDS = 150_000      # most frequent words sent to all tasks (about 4 MB)
-CACHE_WORDS = 250_000    # words whose ids a task keeps
+CACHE_WORDS = 250_000    # words whose ids a Python worker keeps
 FLUSH_WORDS = 300_000    # distinct words a task counts before passing them on
 WINDOW, STRIDE = 16, 12  # ids read, and ids scored, in a window
 CLASSES, MEMBERS = 32, 32
@@ -74,6 +75,12 @@ class _Numbers(dict):
         return out
 
 
+@lru_cache(maxsize=1)
+def known_numbers(ids: tuple[int, ...], size: int, path: str | None) -> _Numbers:
+    """Words' numbers, kept by a Python worker for its next task with the same vocabulary."""
+    return _Numbers(Vocabulary(list(ids), size, path))
+
+
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts laid end to end with the given numbers of predictions: the places each window
     reads (-1 before a text's start and after its end), the places its last ``STRIDE`` ids have
@@ -131,23 +138,30 @@ class Network:
         s = self.q[mine] @ self.k[x].transpose(0, 2, 1)
         s += self.bias[first:]
         np.exp(np.minimum(s, 60, out=s), out=s)
-        s /= s.sum(-1, keepdims=True)
-        return self.r[mine] + s @ self.v[x], s
+        s /= (s @ _ONES[:WINDOW])[..., None]
+        h = s @ self.v[x]
+        h += self.r[mine]
+        return h, s
+
+    def members(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of rows in order of their class (class i: those from ``at[i]``), every member's logit within it."""
+        z = np.empty((len(h), MEMBERS), h.dtype)
+        for i, (a, b) in enumerate(pairwise(at.tolist())):
+            if a < b:
+                np.dot(h[a:b], self.p["Um"][i], out=z[a:b])
+                z[a:b] += self.p["bm"][i]
+        return z
 
     def logp(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of each target."""
-        c, m = y // MEMBERS, y % MEMBERS
-        z = h @ self.p["Uc"] + self.p["bc"]
-        out = z[np.arange(len(y)), c].copy()
-        out -= np.log(np.exp(z, out=z).sum(-1))
-        order = np.argsort(c.astype(np.uint8), kind="stable")
-        at = np.searchsorted(c[order], np.arange(CLASSES + 1))
-        for i in range(CLASSES):
-            rows = order[at[i]:at[i + 1]]
-            if len(rows):
-                z = h[rows] @ self.p["Um"][i] + self.p["bm"][i]
-                target = z[np.arange(len(rows)), m[rows]].copy()
-                out[rows] += target - np.log(np.exp(z, out=z).sum(-1))
+        order, at = by_class(y)
+        h, y, rows = h[order], y[order], np.arange(len(y))
+        out = np.empty(len(y), h.dtype)
+        value = 0
+        for z, target in ((h @ self.p["Uc"] + self.p["bc"], y // MEMBERS), (self.members(h, at), y % MEMBERS)):
+            value += z[rows, target]
+            value -= np.log(np.exp(z, out=z) @ _ONES)
+        out[order] = value
         return out
 
     def score(self, numbers: np.ndarray, lengths: np.ndarray, rare_logp: float) -> np.ndarray:
@@ -165,49 +179,81 @@ class Network:
         return out
 
     def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss of the used targets, and its gradients."""
-        p, scale = self.p, np.float32(1 / np.sqrt(KEY_WIDTH))
-        e = p["E"][x]
-        q, k, v = e @ p["Wq"], e @ p["Wk"], e @ p["Wv"]
-        s = q @ k.transpose(0, 2, 1) * scale + self.bias
-        a = np.exp(np.minimum(s, 60))
-        a /= a.sum(-1, keepdims=True)
-        h = e @ p["Wr"] + a @ v
-        hs, ys = h[used], y[used].astype(np.int64)
+        """Mean loss of the used targets, and its gradients. Queries, keys, values and residuals depend on the
+        number alone: they are made once for every number."""
+        p, scale, x = self.p, np.float32(1 / np.sqrt(KEY_WIDTH)), x.astype(np.intp)
+        wqr, wkv = np.concatenate([p["Wq"] * scale, p["Wr"]], 1), np.concatenate([p["Wk"], p["Wv"]], 1)
+        first = int(used.any(0).argmax())          # no targets before: no queries either
+        used = used[:, first:]
+        qr, kv = (p["E"] @ wqr).take(x[:, first:], 0), (p["E"] @ wkv).take(x, 0)
+        q, k, v = qr[..., :KEY_WIDTH], kv[..., :KEY_WIDTH], kv[..., KEY_WIDTH:]
+        a = q @ k.transpose(0, 2, 1)
+        a += self.bias[first:]
+        np.exp(np.minimum(a, 60, out=a), out=a)
+        a /= (a @ _ONES[:WINDOW])[..., None]
+        h = a @ v
+        h += qr[..., KEY_WIDTH:]
+
+        place = np.flatnonzero(used)
+        ys = y[:, first:].ravel()[place].astype(np.int64)
+        order, at = by_class(ys)
+        place, ys = place[order], ys[order]
+        hs = h.reshape(-1, WIDTH).take(place, 0)
         n, c, m = len(ys), ys // MEMBERS, ys % MEMBERS
-        rows = np.arange(n)
-        z = hs @ p["Uc"] + p["bc"]
-        pc = np.exp(z - z.max(-1, keepdims=True))
-        pc /= pc.sum(-1, keepdims=True)
-        loss = -np.log(pc[rows, c]).sum()
-        pc[rows, c] -= 1
-        pc /= n
-        g = {"Uc": hs.T @ pc, "bc": pc.sum(0), "Um": np.zeros_like(p["Um"]), "bm": np.zeros_like(p["bm"])}
-        dhs = pc @ p["Uc"].T
-        for i in np.unique(c):
-            mine = np.flatnonzero(c == i)
-            z = hs[mine] @ p["Um"][i] + p["bm"][i]
-            pm = np.exp(z - z.max(-1, keepdims=True))
-            pm /= pm.sum(-1, keepdims=True)
-            loss -= np.log(pm[np.arange(len(mine)), m[mine]]).sum()
-            pm[np.arange(len(mine)), m[mine]] -= 1
-            pm /= n
-            g["Um"][i], g["bm"][i] = hs[mine].T @ pm, pm.sum(0)
-            dhs[mine] += pm @ p["Um"][i].T
-        dh = np.zeros_like(h)
-        dh[used] = dhs
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
-        dv, dq = a.transpose(0, 2, 1) @ dh, ds @ k * scale
-        dk = ds.transpose(0, 2, 1) @ q * scale
+        rows, loss = np.arange(n), 0.0
+        pc, pm = hs @ p["Uc"] + p["bc"], self.members(hs, at)
+        for z, target in ((pc, c), (pm, m)):
+            if max(z.max(), -z.min()) > 60:
+                z -= z.max(-1, keepdims=True)
+            loss -= z[rows, target].sum(dtype=float)
+            total = np.exp(z, out=z) @ _ONES
+            loss += np.log(total).sum(dtype=float)
+            z *= (np.float32(1 / n) / total)[:, None]
+            z[rows, target] -= np.float32(1 / n)
+        g = {"Uc": hs.T @ pc, "bc": np.ones(n, np.float32) @ pc, "Um": np.zeros_like(p["Um"]), "bm": np.zeros_like(p["bm"])}
+        dhm = np.empty_like(hs)
+        for i, (lo, hi) in enumerate(pairwise(at.tolist())):
+            if lo < hi:
+                np.dot(hs[lo:hi].T, pm[lo:hi], out=g["Um"][i])
+                np.dot(pm[lo:hi], p["Um"][i].T, out=dhm[lo:hi])
+        present = np.flatnonzero(np.diff(at))
+        g["bm"][present] = np.add.reduceat(pm, at[present], 0)
+
+        dqr = np.zeros_like(qr)
+        dqr.reshape(-1, KEY_WIDTH + WIDTH)[place, KEY_WIDTH:] = pc @ p["Uc"].T + dhm
+        dh = dqr[..., KEY_WIDTH:]
+        ds = dh @ v.transpose(0, 2, 1)
+        ds -= ((ds * a) @ _ONES[:WINDOW])[..., None]
+        ds *= a
+        np.matmul(ds, k, out=dqr[..., :KEY_WIDTH])
+        dkv = np.empty_like(kv)
+        np.matmul(ds.transpose(0, 2, 1), q, out=dkv[..., :KEY_WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dh, out=dkv[..., KEY_WIDTH:])
         flat = lambda t: t.reshape(-1, t.shape[-1])
-        fe = flat(e)
-        g |= {"Wq": fe.T @ flat(dq), "Wk": fe.T @ flat(dk), "Wv": fe.T @ flat(dv), "Wr": fe.T @ flat(dh),
-              "b": np.bincount(np.maximum(_DISTANCE, 0).ravel(), ds.sum(0).ravel(), WINDOW).astype(np.float32)}
-        de = dq @ p["Wq"].T + dk @ p["Wk"].T + dv @ p["Wv"].T + dh @ p["Wr"].T
-        g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], x.ravel(), flat(de))
-        return float(loss / n), g
+        e, dqr, dkv = p["E"].take(x, 0), flat(dqr), flat(dkv)
+        de = (dkv @ wkv.T).reshape(e.shape)
+        de[:, first:] += (dqr @ wqr.T).reshape(*used.shape, WIDTH)
+        dwqr, dwkv = flat(e[:, first:]).T @ dqr, flat(e).T @ dkv
+        g |= {"E": sums_by(x.ravel(), flat(de), len(p["E"])), "Wq": dwqr[:, :KEY_WIDTH] * scale, "Wr": dwqr[:, KEY_WIDTH:],
+              "Wk": dwkv[:, :KEY_WIDTH], "Wv": dwkv[:, KEY_WIDTH:],
+              "b": np.bincount(np.maximum(_DISTANCE[first:], 0).ravel(), ds.sum(0).ravel(), WINDOW).astype(ds.dtype)}
+        return loss / n, g
+
+
+_ONES = np.ones(max(WINDOW, CLASSES, MEMBERS), np.float32)
+
+
+def by_class(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the targets by class, and where in it each class starts (and the last ends)."""
+    c = (y // MEMBERS).astype(np.uint8)
+    return np.argsort(c, kind="stable"), np.append(0, np.cumsum(np.bincount(c, minlength=CLASSES)))
+
+
+def sums_by(x: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``d`` that have the same number in ``x``, for the numbers below ``n``."""
+    width = d.shape[1]
+    cell = (x[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cell, d.ravel(), n * width).reshape(n, width).astype(d.dtype)
 
 
 def train(texts: list[np.ndarray], steps: int = STEPS, batch: int = WINDOWS, rate: float = 4e-3,
@@ -230,23 +276,24 @@ def train(texts: list[np.ndarray], steps: int = STEPS, batch: int = WINDOWS, rat
 
 
 class Adam:
-    """Optimiser of a network's parameters, in place."""
+    """Optimiser of a network's parameters, in place: they lie one after another in one array."""
 
     def __init__(self, net: Network):
         self.net, self.t = net, 0
-        self.first = {k: np.zeros_like(v) for k, v in net.p.items()}
-        self.second = {k: np.zeros_like(v) for k, v in net.p.items()}
+        self.all = np.concatenate([v.ravel() for v in net.p.values()])
+        at = np.cumsum([0, *(v.size for v in net.p.values())]).tolist()
+        net.p = {k: self.all[a:b].reshape(v.shape) for (k, v), (a, b) in zip(net.p.items(), pairwise(at), strict=True)}
+        self.first, self.second = np.zeros_like(self.all), np.zeros_like(self.all)
 
     def step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray, rate: float) -> None:
         net, first, second = self.net, self.first, self.second
         self.t += 1
         _, g = net.gradients(x, y, used)
         lr = rate * min(1.0, self.t / 50)
-        for k, v in g.items():
-            first[k] += 0.1 * (v - first[k])
-            second[k] += 0.01 * (v * v - second[k])
-            net.p[k] = (net.p[k] - lr * (first[k] / (1 - 0.9 ** self.t))
-                        / (np.sqrt(second[k] / (1 - 0.99 ** self.t)) + 1e-8)).astype(np.float32)
+        v = np.concatenate([g[k].ravel() for k in net.p])
+        first += 0.1 * (v - first)
+        second += 0.01 * (v * v - second)
+        self.all -= lr * (first / (1 - 0.9 ** self.t)) / (np.sqrt(second / (1 - 0.99 ** self.t)) + 1e-8)
         net.bias = net.p["b"][np.maximum(_DISTANCE, 0)] + _CAUSAL
 
 
@@ -279,7 +326,7 @@ def train_round(docs: DataFrame, net: Network, vocabulary: Vocabulary, rate: flo
 
     def run(batches):
         ids, size, path, p = shared.value
-        numbers = _Numbers(Vocabulary(ids, size, path))
+        numbers = known_numbers(tuple(ids), size, path)
         mine = Network({k: v.copy() for k, v in p.items()})
         adam, rng, held, n_ids, n = Adam(mine), np.random.default_rng(1), [], 0, 0
         for b in batches:
@@ -432,7 +479,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     def run(batches):
         m = shared.value
         vocabulary, net = Vocabulary(m.vocabulary, m.vocabulary_size, m.path), Network(m.p)
-        numbers, top = _Numbers(vocabulary), m.top
+        numbers, top = known_numbers(tuple(m.vocabulary), m.vocabulary_size, m.path), m.top
         waiting: list[tuple[int, int | None, list[bytes]]] = []
         size = 0
 
